@@ -6,20 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash_dedup, quality_rules
+from . import decontamination, minhash_dedup, packing, pii, preference_format, quality_rules, url_filter
 from .shared import prepare, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op1(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op2(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality_rules.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op4(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.op6(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.op8(table(spark, sf_dir, "documents"))
+
+
+def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_format.op10(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op6_minhash_dedup)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_pii,
+        op3_quality_rules,
+        op4_url_filter,
+        op6_minhash_dedup,
+        op8_packing,
+        op10_preference_format,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": url_filter.OP4_SQL,
+    "op10_preference_format": preference_format.OP10_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
