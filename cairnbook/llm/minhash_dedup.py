@@ -9,8 +9,9 @@ sequence is its one shingle. One hash function serves all: the k smallest values
    documents share, or a large group of near copies) and generates no pairs of this kind.
 3. Classes whose retained values are mostly hot would miss pairs that way. They are listed under hot values too, and
    such a list, of any length, is compared in rounds with one pivot each: members within the threshold of the pivot are
-   linked to it and leave the list, except against members whose distance to the pivot does not rule a link out (the
-   Jaccard distance obeys the triangle inequality). What is left after the rounds generates its pairs as in 2.
+   linked to it and leave the list. Afterwards, members that are still in another component than the pivot are compared
+   with those that left, unless the distances to the pivot rule a link out (the Jaccard distance obeys the triangle
+   inequality). What is left after the rounds generates its pairs as in 2.
 4. The union of two sketches estimates the similarity of a pair; pairs well below the threshold go.
 5. Whole texts decide: 100 * intersection >= percent * union, on the full sets.
 6. Components of the links by alternating large-star and small-star steps.
@@ -112,9 +113,10 @@ def _sized(left: str = "n_a", right: str = "n_b", percent: int = PERCENT) -> Col
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str = "all") -> DataFrame:
     """(node, component) for edges (a, b): component is the smallest node reachable."""
-    edges = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges-0")
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
+    edges = scratch.keep(edges, f"{name}-edges-0")
     state, step = None, 0
     while True:
         step += 1
@@ -122,13 +124,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = scratch.keep(large, f"large-{step}")
+        large = scratch.keep(large, f"{name}-large-{step}")
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        small = scratch.keep(small, f"edges-{step}")
-        scratch.drop(f"edges-{step - 1}", f"large-{step}")
+        small = scratch.keep(small, f"{name}-edges-{step}")
+        scratch.drop(f"{name}-edges-{step - 1}", f"{name}-large-{step}")
         now = small.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         edges = small
         if now == state or not now[0]:
@@ -148,39 +150,53 @@ def _linked() -> Column:
     return F.col("common") * 100 >= F.col("united") * PERCENT
 
 
-def _pairs_of_lists(listed: DataFrame) -> DataFrame:
-    """Pairs (a < b) of classes that share a list, with sizes and how many lists they share."""
-    left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"))
-    right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"))
-    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized())
+def _pairs_of_lists(listed: DataFrame, apart: bool = False) -> DataFrame:
+    """Pairs (a < b) of classes that share enough lists; with apart, only of those in different components."""
+    more = [F.col("component")] if apart else []
+    left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"), *(c.alias("c_a") for c in more))
+    right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"), *(c.alias("c_b") for c in more))
+    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized() & (F.col("c_a") != F.col("c_b") if apart else F.lit(True)))
     met = met.groupBy("a", "b").agg(F.count("*").alias("overlap"), F.first("l_a").alias("l_a"), F.first("l_b").alias("l_b"))
     return met.where(F.col("overlap") * 4 >= F.least("l_a", "l_b")).select("a", "b")
 
 
-def _links_of_hot(hot_lists: DataFrame, reps: DataFrame, texts: DataFrame, scratch: Scratch) -> list[DataFrame]:
-    """Links among classes whose values are mostly hot: rounds with a pivot for each list, then the rest in pairs."""
-    links: list[DataFrame] = []
-    lists = scratch.keep(hot_lists, "hot-0")
+def _links_of_hot(hot_lists: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """``links`` and those among classes whose values are mostly hot: rounds with a pivot for each list, then what
+    components have not settled."""
+    lists, rounds = scratch.keep(hot_lists, "hot-0"), []
     for k in range(1, ROUNDS + 1):
         heads = lists.groupBy("value").agg(F.min("id").alias("pivot"), F.count("*").alias("members")).where("members > 1")
         at = scratch.keep(lists.join(heads, "value").where("id > pivot").select("value", "pivot", "id", "n", "listed"), f"at-{k}")
         if at.isEmpty():
-            return links
+            break
         checked = _verified(at.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts)
         checked = scratch.keep(checked, f"checked-{k}")
-        links.append(checked.where(_linked()).select("a", "b"))
+        links = links.unionByName(checked.where(_linked()).select("a", "b"))
         near = at.join(checked.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "common", "united"), ["pivot", "id"])
-        near = scratch.keep(near.withColumn("linked", _linked()).withColumn("far", 1 - F.col("common") / F.col("united")), f"near-{k}")
-        inside = near.where("linked").select("value", F.col("id").alias("x"), F.col("far").alias("far_x"))
-        allowed = 1 - PERCENT / 100 + 1e-9
-        border = near.where(~F.col("linked") & (F.col("far") <= 2 * allowed)).select("value", F.col("id").alias("y"), F.col("far").alias("far_y"))
-        border = inside.join(border, "value").where(F.col("far_x") + allowed >= F.col("far_y"))
-        border = border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        border = scratch.keep(_verified(_estimated(border, reps), texts).where(_linked()).select("a", "b"), f"border-{k}")
-        links.append(border)
+        near = near.select("*", _linked().alias("linked"), (1 - F.col("common") / F.col("united")).alias("far"), F.lit(k).alias("round"))
+        near = scratch.keep(near, f"near-{k}")
+        rounds.append(near)
         lists = scratch.keep(near.where("not linked").select("value", "id", "n", "listed"), f"hot-{k}")
-    rest = _verified(_estimated(_pairs_of_lists(lists), reps), texts).where(_linked()).select("a", "b")
-    return [*links, scratch.keep(rest, "hot-rest")]
+    if not rounds:
+        return links
+    near = rounds[0]
+    for more in rounds[1:]:
+        near = near.unionByName(more)
+    settled = scratch.keep(components(links, scratch, "settled"), "settled")
+    of = lambda name: settled.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
+    allowed = 1 - PERCENT / 100 + 1e-9
+    border = near.where(~F.col("linked") & (F.col("far") <= 2 * allowed))
+    border = border.join(of("id"), "id", "left").join(of("pivot"), "pivot", "left")
+    border = border.where(F.coalesce("id_in", "id") != F.coalesce("pivot_in", "pivot"))
+    border = border.select("value", "round", F.col("id").alias("y"), F.col("far").alias("far_y"))
+    inside = near.where("linked").select("value", "round", F.col("id").alias("x"), F.col("far").alias("far_x"))
+    border = inside.join(border, ["value", "round"]).where(F.col("far_x") + allowed >= F.col("far_y"))
+    border = border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    left = lists.join(of("id"), "id", "left").withColumn("component", F.coalesce("id_in", "id"))
+    mixed = left.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = _pairs_of_lists(left.join(mixed, "value"), apart=True)
+    more = _verified(_estimated(border.unionByName(rest).distinct(), reps), texts).where(_linked()).select("a", "b")
+    return links.unionByName(scratch.keep(more, "hot-rest"))
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -217,15 +233,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     warm = scratch.keep(warm.select("id", "n", F.slice("sketch", 1, HOT_LISTED).alias("values")), "warm")
     members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(warm.select("id")).distinct()
     texts = scratch.keep(source.join(members, "id", "left_semi").distinct(), "texts")
-    links = [scratch.keep(_verified(pairs, texts).where(_linked()).select("a", "b"), "links")]
+    links = scratch.keep(_verified(pairs, texts).where(_linked()).select("a", "b"), "links")
     hot_lists = warm.select(F.explode("values").alias("value"), "id", "n", F.size("values").alias("listed"))
-    links += _links_of_hot(hot_lists, reps, texts, scratch)
+    links = _links_of_hot(hot_lists, links, reps, texts, scratch)
+    links = scratch.keep(links.distinct(), "all-links")
     scratch.drop("pairs", "texts", "reps", "counts")
-
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    labels = scratch.keep(components(edges, scratch), "components")
+    labels = scratch.keep(components(links, scratch), "components")
     out = sig.select("id", *keyed).join(classes, keyed, "left")
     out = out.join(labels, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "id")

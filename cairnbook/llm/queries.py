@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, minhash_dedup, packing, pii, preference_format, quality_rules, url_filter
+from . import (
+    decontamination,
+    html_extract,
+    minhash_dedup,
+    packing,
+    pii,
+    preference_format,
+    quality_rules,
+    repeat_spans,
+    url_filter,
+    warc,
+)
 from .shared import prepare, table
 
 
@@ -27,15 +38,27 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.op4(spark, table(spark, sf_dir, "pages"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op5(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.op6(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.op7(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.op8(table(spark, sf_dir, "documents"))
 
 
+def op9_repeat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_spans.op9(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_format.op10(table(spark, sf_dir, "conversations"))
 
@@ -47,8 +70,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_pii,
         op3_quality_rules,
         op4_url_filter,
+        op5_warc,
         op6_minhash_dedup,
+        op7_html_extract,
         op8_packing,
+        op9_repeat_spans,
         op10_preference_format,
     )
 }
