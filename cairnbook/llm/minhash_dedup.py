@@ -7,11 +7,9 @@ sequence is its one shingle. One hash function serves all: the k smallest values
 2. Inverted lists: each class is listed under its smallest retained values; lists of up to ``hot`` classes generate
    pairs, and how often a pair meets is its overlap. A value of more than ``hot`` sketches is hot (a passage that many
    documents share, or a large group of near copies) and generates no pairs of this kind.
-3. Classes whose retained values are mostly hot would miss pairs that way. They are listed under hot values too, and
-   such a list, of any length, is compared in rounds with one pivot each: members within the threshold of the pivot are
-   linked to it and leave the list. Afterwards, members that are still in another component than the pivot are compared
-   with those that left, unless the distances to the pivot rule a link out (the Jaccard distance obeys the triangle
-   inequality). What is left after the rounds generates its pairs as in 2.
+3. Classes whose retained values are mostly hot would miss pairs that way. They are listed under hot values too; such a
+   list, of any length, is dealt by hash into blocks, each pair of blocks is one small task with both blocks' texts, and
+   a task compares all its full sets at once and returns a spanning forest of the links it finds.
 4. The union of two sketches estimates the similarity of a pair; pairs well below the threshold go.
 5. Whole texts decide: 100 * intersection >= percent * union, on the full sets.
 6. Components of the links by alternating large-star and small-star steps.
@@ -34,17 +32,17 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from . import rolling
-from .shared import Scratch, prepare
+from .shared import Scratch, prepare, sent_if_small
 
 SHINGLE = 5
 PERCENT = 85
 #: Values retained in a sketch; of these, how many list a class; longest list that generates pairs.
 SKETCH, LISTED, HOT = 32, 24, 64
-#: Share of hot values, in percent, from which a class is also listed under (this many of) its smallest values.
-MOSTLY_HOT, HOT_LISTED = 50, 8
+#: Share of hot values, in percent, from which a class is also listed under its smallest values, how many of these, and
+#: classes in a block of such a list.
+MOSTLY_HOT, HOT_LISTED, BLOCK = 50, 6, 256
 #: A pair goes on if its estimate is at most this much below the threshold (over 4.5 standard errors of the estimate).
 SLACK = 0.3
-ROUNDS = 4
 
 
 def sets_of(texts: pa.Array):
@@ -113,10 +111,10 @@ def _sized(left: str = "n_a", right: str = "n_b", percent: int = PERCENT) -> Col
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str = "all") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for edges (a, b): component is the smallest node reachable."""
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    edges = scratch.keep(edges, f"{name}-edges-0")
+    edges = scratch.keep(edges, f"edges-0")
     state, step = None, 0
     while True:
         step += 1
@@ -124,13 +122,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "all") -> DataFra
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = scratch.keep(large, f"{name}-large-{step}")
+        large = scratch.keep(large, f"large-{step}")
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        small = scratch.keep(small, f"{name}-edges-{step}")
-        scratch.drop(f"{name}-edges-{step - 1}", f"{name}-large-{step}")
+        small = scratch.keep(small, f"edges-{step}")
+        scratch.drop(f"edges-{step - 1}", f"large-{step}")
         now = small.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         edges = small
         if now == state or not now[0]:
@@ -150,53 +148,66 @@ def _linked() -> Column:
     return F.col("common") * 100 >= F.col("united") * PERCENT
 
 
-def _pairs_of_lists(listed: DataFrame, apart: bool = False) -> DataFrame:
-    """Pairs (a < b) of classes that share enough lists; with apart, only of those in different components."""
-    more = [F.col("component")] if apart else []
-    left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"), *(c.alias("c_a") for c in more))
-    right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"), *(c.alias("c_b") for c in more))
-    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized() & (F.col("c_a") != F.col("c_b") if apart else F.lit(True)))
+def _pairs_of_lists(listed: DataFrame) -> DataFrame:
+    """Pairs (a < b) of classes that share enough lists."""
+    left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"))
+    right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"))
+    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized())
     met = met.groupBy("a", "b").agg(F.count("*").alias("overlap"), F.first("l_a").alias("l_a"), F.first("l_b").alias("l_b"))
     return met.where(F.col("overlap") * 4 >= F.least("l_a", "l_b")).select("a", "b")
 
 
-def _links_of_hot(hot_lists: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """``links`` and those among classes whose values are mostly hot: rounds with a pivot for each list, then what
-    components have not settled."""
-    lists, rounds = scratch.keep(hot_lists, "hot-0"), []
-    for k in range(1, ROUNDS + 1):
-        heads = lists.groupBy("value").agg(F.min("id").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-        at = scratch.keep(lists.join(heads, "value").where("id > pivot").select("value", "pivot", "id", "n", "listed"), f"at-{k}")
-        if at.isEmpty():
-            break
-        checked = _verified(at.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), texts)
-        checked = scratch.keep(checked, f"checked-{k}")
-        links = links.unionByName(checked.where(_linked()).select("a", "b"))
-        near = at.join(checked.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "common", "united"), ["pivot", "id"])
-        near = near.select("*", _linked().alias("linked"), (1 - F.col("common") / F.col("united")).alias("far"), F.lit(k).alias("round"))
-        near = scratch.keep(near, f"near-{k}")
-        rounds.append(near)
-        lists = scratch.keep(near.where("not linked").select("value", "id", "n", "listed"), f"hot-{k}")
-    if not rounds:
-        return links
-    near = rounds[0]
-    for more in rounds[1:]:
-        near = near.unionByName(more)
-    settled = scratch.keep(components(links, scratch, "settled"), "settled")
-    of = lambda name: settled.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
-    allowed = 1 - PERCENT / 100 + 1e-9
-    border = near.where(~F.col("linked") & (F.col("far") <= 2 * allowed))
-    border = border.join(of("id"), "id", "left").join(of("pivot"), "pivot", "left")
-    border = border.where(F.coalesce("id_in", "id") != F.coalesce("pivot_in", "pivot"))
-    border = border.select("value", "round", F.col("id").alias("y"), F.col("far").alias("far_y"))
-    inside = near.where("linked").select("value", "round", F.col("id").alias("x"), F.col("far").alias("far_x"))
-    border = inside.join(border, ["value", "round"]).where(F.col("far_x") + allowed >= F.col("far_y"))
-    border = border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    left = lists.join(of("id"), "id", "left").withColumn("component", F.coalesce("id_in", "id"))
-    mixed = left.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = _pairs_of_lists(left.join(mixed, "value"), apart=True)
-    more = _verified(_estimated(border.unionByName(rest).distinct(), reps), texts).where(_linked()).select("a", "b")
-    return links.unionByName(scratch.keep(more, "hot-rest"))
+def forest(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets of shingles; with two sides, of the links from one to the other."""
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    value, where, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    column = np.full(len(value), -1, np.int64)
+    column[shared] = np.arange(len(shared))
+    column = column[where]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, len(shared), 4096):
+        mine = (column >= first) & (column < first + 4096)
+        held = np.zeros((len(sets), 4096), np.float32)
+        held[owner[mine], column[mine] - first] = 1
+        common += held @ held.T
+    common = common.astype(np.int64)
+    linked = common * 100 >= (size[:, None] + size[None, :] - common) * PERCENT
+    if side.min() != side.max():
+        linked &= side[:, None] != side[None, :]
+    parent, out = list(range(len(sets))), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+        a, b = root(i), root(j)
+        if a != b:
+            parent[b] = a
+            out.append((i, j))
+    return out
+
+
+def _links_of_hot(hot_lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links among classes in one list of any length, block by block."""
+    sizes = hot_lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = hot_lists.join(sizes, "value").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    dealt = dealt.select("value", "id", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("value", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids, found = rows.column("id").to_pylist(), []
+        if len(ids) > 1:
+            found = forest(list(sets_of(rows.column("text"))), rows.column("block").to_numpy())
+        pairs = [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in found if ids[i] != ids[j]]
+        return pa.table({"a": pa.array([x[0] for x in pairs], pa.int64()), "b": pa.array([x[1] for x in pairs], pa.int64())})
+
+    return dealt.join(texts, "id").groupBy("value", "low", "high").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -230,13 +241,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
     warm = reps.join(counts, "id", "left").withColumn("all", F.least(F.size("sketch"), F.lit(LISTED)))
     warm = warm.where((F.col("all") - F.coalesce("cool", F.lit(0))) * 100 > F.col("all") * MOSTLY_HOT)
-    warm = scratch.keep(warm.select("id", "n", F.slice("sketch", 1, HOT_LISTED).alias("values")), "warm")
+    warm = scratch.keep(warm.select("id", F.slice("sketch", 1, HOT_LISTED).alias("values")), "warm")
     members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(warm.select("id")).distinct()
-    texts = scratch.keep(source.join(members, "id", "left_semi").distinct(), "texts")
+    members = sent_if_small(scratch.keep(members, "members"))
+    texts = scratch.keep(source.join(members, "id", "left_semi"), "texts")
     links = scratch.keep(_verified(pairs, texts).where(_linked()).select("a", "b"), "links")
-    hot_lists = warm.select(F.explode("values").alias("value"), "id", "n", F.size("values").alias("listed"))
-    links = _links_of_hot(hot_lists, links, reps, texts, scratch)
-    links = scratch.keep(links.distinct(), "all-links")
+    hot_lists = warm.select(F.explode("values").alias("value"), "id")
+    links = scratch.keep(links.unionByName(_links_of_hot(hot_lists, texts)).distinct(), "all-links")
     scratch.drop("pairs", "texts", "reps", "counts")
     labels = scratch.keep(components(links, scratch), "components")
     out = sig.select("id", *keyed).join(classes, keyed, "left")

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,18 @@ class Scratch:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+#: Rows of a few numbers each up to which a side is sent to all executors.
+SMALL_ROWS = 4_000_000
+
+
+def sent_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """df with a broadcast hint if it is counted to have few rows; a larger side is left to a shuffle join.
+
+    For tables of keys and numbers, so that a join with whole texts doesn't move the texts.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def prepare(spark: SparkSession, rows: int = 1000) -> None:
     """Once a session: send this package to the executors, and bound Arrow batches to ``rows`` rows, so that a batch of
     long texts stays within an executor's memory."""
