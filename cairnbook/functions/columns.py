@@ -73,7 +73,7 @@ def below(c: Column, bounds: Sequence[tuple[object, str]], rest: str, inclusive:
 
 def parsed_date(c: Column) -> Column:
     """Dates in month-day-year or year-month-day."""
-    return F.coalesce(F.try_to_date(c, F.lit("MM-dd-yyyy")), F.try_to_date(c, F.lit("yyyy-MM-dd")))
+    return F.coalesce(F.try_to_date(c, "MM-dd-yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 #: Abbreviations of words after the first in physical column names.

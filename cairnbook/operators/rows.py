@@ -46,7 +46,7 @@ def merged(target: DataFrame, changes: DataFrame, keys: Sequence[str], evolve: b
     """
     if not evolve:
         merge_checks(changes, target.columns, keys)
-    kept = target.join(changes.select(*keys).distinct(), list(keys), "left_anti")
+    kept = target.join(changes.select(*keys).distinct(), list(keys), "left_anti").select(target.columns)
     return kept.unionByName(changes, allowMissingColumns=evolve)
 
 
