@@ -12,9 +12,10 @@ many sequences; null ids pass through. Other columns are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,56 +24,141 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import rolling
+
 SEQUENCE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 BATCH_TOKENS = 1 << 20
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n. The ratio is that of a 2,048-wide layer.
 LINEAR, QUADRATIC = 12 * 2048, 2
-_CACHE = 400_000
-#: Characters that str.split() takes for white space and the tokenizer doesn't.
-_ODD = re.compile("[\x1c-\x1f]")
-_BLANK = re.compile("[ \t\n\v\f\r]+")
+#: Distinct pieces that a worker knows at most, before it starts afresh.
+_CACHE = 600_000
+_MARKS = ("<|startoftext|>", "<|endoftext|>")
+#: Kinds of bytes: white space; letters; other ASCII; the rest, which stays with whatever it stands beside.
+_SPACE, _LETTER, _SIGN, _REST = range(4)
+_KIND = np.full(256, _REST, np.uint8)
+_KIND[:128] = _SIGN
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[rolling.SPACE] = _SPACE
+_KIND[ord("'")] = _REST
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and start, end and text number of each piece.
+
+    The tokenizer lower-cases, and never joins across white space, or a letter with a sign; texts are cut there, as far
+    as bytes show it: letters are those of ASCII and of the Latin-1 block (bytes C3 80 to C3 BF without 97 and B7).
+    Apostrophes (as in 's) and other scripts stay with their neighbours, so a piece may still be several tokens.
+    """
+    kind = _KIND[data]
+    lower = rolling.LOWER[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    if len(lead):
+        after = data[lead + 1]
+        lead = lead[(after != 0x97) & (after != 0xB7)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        lower[lead + 1] |= 0x20  # C3 80..9E are the capitals of C3 A0..BE
+        lower[lead[data[lead + 1] == 0x9F] + 1] = 0x9F  # a small letter without a capital
+    solid = kind != _SPACE
+    before = np.zeros_like(kind)
+    before[1:] = kind[:-1]
+    before[offsets[:-1][offsets[1:] > offsets[:-1]]] = _SPACE
+    starts = np.flatnonzero(solid & ((before == _SPACE) | (kind + before == _LETTER + _SIGN) & (kind != _REST) & (before != _REST)))
+    ends = np.empty_like(starts)
+    ends[:-1] = starts[1:]
+    if len(ends):
+        ends[-1] = len(data)
+    # a piece ends where the next begins, or at white space before that, or with its text
+    gap = np.flatnonzero(~solid)
+    if len(gap):
+        first = np.searchsorted(gap, starts)
+        near = np.where(first < len(gap), gap[np.minimum(first, len(gap) - 1)], len(data))
+        ends = np.minimum(ends, near)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    return lower, starts, np.minimum(ends, offsets[doc + 1]), doc
 
 
 class Encoder:
-    """Ids of whole texts. No token crosses white space, so each distinct word is encoded once and then looked up."""
+    """Ids of whole texts: each distinct piece is encoded once, found by its 64-bit hash from then on."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(names.values()) + 1, bool)
+        for name, i in names.items():
+            self.last[i] = name.endswith("</w>")
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self, new: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [np.array(x.ids, np.uint32) for x in found]
-        n = len(self.index)
-        self.index.update(zip(new, range(n, n + len(new)), strict=True))
-        self.ids = np.concatenate([self.ids, *ids])
-        ends = self.starts[-1] + np.cumsum([len(x) for x in ids])
-        self.starts = np.concatenate([self.starts, ends])
-
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
+        self.index: dict[int, int] = {}
+        self.ids, self.size, self.starts = np.zeros(1 << 20, np.uint32), 0, array("q", [0])
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, hashes: list[int], new: list[str]) -> None:
+        found: list[list[int]] = []
+        for at in range(0, len(new), 2000):
+            part = new[at : at + 2000]
+            ids = np.array(self._encoded([" ".join(part)])[0], np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part) and all(x.isalpha() for x in part):  # one token end each
+                bounds, flat = [0, *ends.tolist()], ids.tolist()
+                found += [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            else:
+                found += self._encoded(part)
+        flat = [i for x in found for i in x]
+        while self.size + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.size : self.size + len(flat)] = flat
+        n = len(self.starts) - 1
+        self.index.update(zip(hashes, range(n, n + len(new)), strict=True))
+        self.starts.extend((self.size + np.cumsum([len(x) for x in found])).tolist())
+        self.size += len(flat)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> list[np.ndarray]:
         """For each text its ids, then ``end``."""
         if len(self.index) > _CACHE:
             self.forget()
-        cut = [_BLANK.split(x) if _ODD.search(x) else x.split() for x in texts]
-        words = [w for x in cut for w in x]
-        new = list(dict.fromkeys(w for w in words if w not in self.index))
-        if new:
-            self.learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        size = self.starts[at + 1] - self.starts[at]
+        n = len(offsets) - 1
+        lower, start, stop, doc = pieces(data, offsets)
+        value, first, which = np.unique(rolling.hash_spans(lower, start, stop), return_index=True, return_inverse=True)
+        keys = value.tolist()
+        at = np.fromiter(map(self.index.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            whole = lower.tobytes()
+            words = [whole[a:b].decode() for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist(), strict=True)]
+            simple = np.array([w.isalpha() for w in words], bool)
+            for part in (np.flatnonzero(simple), np.flatnonzero(~simple)):
+                self.learn([keys[i] for i in new[part].tolist()], [words[i] for i in part.tolist()])
+            at[new] = [self.index[keys[i]] for i in new.tolist()]
+        starts = np.array(self.starts, np.int64)
+        begin, size = starts[at][which], (starts[at + 1] - starts[at])[which]
         total = np.concatenate([[0], np.cumsum(size)])
-        flat = self.ids[np.arange(total[-1]) + np.repeat(self.starts[at] - total[:-1], size)]
-        last = np.cumsum([len(x) for x in cut])
-        bounds = np.concatenate([[0], total[last]])
-        return [np.append(flat[a:b], np.uint32(end)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        flat = self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)]
+        bounds = total[np.searchsorted(doc, np.arange(n + 1))]
+        out = [np.append(flat[a:b], np.uint32(end)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        raw = data.tobytes()
+        if any(m.encode() in raw for m in _MARKS):  # the tokenizer's own marks are one token each, wherever they stand
+            for i in range(n):
+                text = raw[offsets[i] : offsets[i + 1]].decode()
+                if any(m in text for m in _MARKS):
+                    out[i] = np.array([*self._encoded([text])[0], end], np.uint32)
+        return out
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder a Python worker: its words stay known to the worker's next tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def cost(n):
@@ -115,7 +201,7 @@ def packed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        coder = encoder(tokenizer_path)
         first = TaskContext.get().partitionId() << 36
         ids: list[int | None] = []
         docs: list[np.ndarray] = []
@@ -134,11 +220,10 @@ def packed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], _PIECE.names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                for i, x in zip(part.column(0).to_pylist(), encoder.encode(texts, end_id), strict=True):
-                    ids.append(i)
+            names = iter(batch.column(0).to_pylist())
+            for data, offsets in rolling.chunks(batch.column(1), 1 << 20):
+                for x in coder.encode(data, offsets, end_id):
+                    ids.append(next(names))
                     docs.append(x)
                     tokens += len(x)
                     if tokens >= batch_tokens:
