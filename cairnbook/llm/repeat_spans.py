@@ -34,7 +34,7 @@ from pyspark.sql.functions import arrow_udf
 
 from . import rolling
 from .rolling import U
-from .shared import Scratch, prepare
+from .shared import Scratch, prepare, sent_if_small
 
 WINDOW, GRAM = 400, 64
 #: Different segments of one anchor up to which a task sorts them; segments that make a batch.
@@ -275,9 +275,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     segment = ["gram", "back", "size", "h1", "h2"]
     runs = source.select("id", "tag", F.explode(_runs_udf(window, gram)("text")).alias("r")).select("id", "tag", "r.*")
     runs = scratch.keep(runs, "runs")
-    grams = runs.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    twice = scratch.keep(runs.join(grams, "gram", "left_semi"), "twice")
-    scratch.drop("runs")
+    grams = scratch.keep(runs.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    twice = scratch.keep(runs.join(sent_if_small(grams), "gram", "left_semi"), "twice")
+    scratch.drop("runs", "grams")
     kinds = scratch.keep(twice.groupBy(*segment).agg(F.count("*").alias("n"), F.min(F.struct("id", "tag", "start")).alias("one")), "kinds")
     mixed = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("gram", "kinds")
     same = twice.join(kinds.where("n > 1").select(*segment), segment, "left_semi").select("id", "tag", "start", (F.col("start") + F.col("size")).alias("end"))

@@ -50,6 +50,13 @@ class Scratch:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of df has it."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 #: Rows of a few numbers each up to which a side is sent to all executors.
 SMALL_ROWS = 4_000_000
 

@@ -17,18 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnbook.llm import decontamination, minhash_dedup, packing, pii, quality_rules
-from cairnbook.llm.shared import Scratch, prepare, table
+from cairnbook.llm.shared import Scratch, free_name, prepare, sent_if_small, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return quality_rules.verdict(docs, into="_quality").where("_quality.kept").drop("_quality")
+    own = free_name(docs, "quality")
+    return quality_rules.verdict(docs, into=own).where(F.col(own)["kept"]).drop(own)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(spark, docs.select("doc_id", "text"))
-    gone = found.where("not kept").select("doc_id").distinct()
-    docs = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = Scratch(spark, "gone").keep(found.where("not kept").select("doc_id").distinct(), "ids")
+    docs = docs.join(sent_if_small(gone), "doc_id", "left_anti").select(docs.columns)
     again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return docs
@@ -40,13 +41,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(spark, docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    found = Scratch(spark, "leaks").keep(found.select("doc_id").distinct(), "ids")
+    return docs.join(sent_if_small(found), "doc_id", "left_anti").select(docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    text = pii.masked(F.coalesce("text", F.lit("")), F.col("_pii")["all"])
-    found = pii.detected(docs, into="_pii")
-    found = found.withColumn("text", F.when(F.size(F.col("_pii")["all"]) > 0, text).otherwise(F.col("text")))
+    own = free_name(docs, "pii")
+    spans = F.col(own)["all"]
+    text = pii.masked(F.coalesce("text", F.lit("")), spans)
+    found = pii.detected(docs, into=own)
+    found = found.withColumn("text", F.when(F.size(spans) > 0, text).otherwise(F.col("text")))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
