@@ -80,23 +80,46 @@ def _filler(*keys: str) -> Callable[[str], Column]:
     return lambda c: filled(c, running, whole, ("reporting_period_end_date", "source_file"))
 
 
+def _notes_together(df: DataFrame, *more: str) -> DataFrame:
+    """df dealt by asset number without the 'A's of split notes (``_base``): one shuffle serves all windows over an
+    asset, a date, or a note and its base, as long as they are partitioned by ``_base`` too."""
+    return df.withColumn("_base", F.regexp_replace("asset_num", "A+$", "")).repartition("_base", *more)
+
+
+def _beside(values: list[str], keys: list[str], step: int) -> Column:
+    """The values of the note whose number has one 'A' less (step -1) or more (step 1), on the same date."""
+    line = Window.partitionBy(*keys).orderBy(F.length("asset_num"))
+    find = F.lag if step < 0 else F.lead
+    return F.when(find(F.length("asset_num")).over(line) == F.length("asset_num") + step, find(F.struct(*values)).over(line))
+
+
 @model
-def int_properties_cleaned(w: Warehouse) -> DataFrame:
+def property_snapshots(w: Warehouse) -> DataFrame:
     """Property snapshots, filled; a split-note row ('A' after the asset number) takes what it lacks from its base row."""
-    keys = ["asset_num", "property_num", "reporting_date"]
-    fill = _filler("asset_num", "property_num")
-    rows = w.properties.select(
-        "asset_num", "property_num", F.col("reporting_period_end_date").alias("reporting_date"), "trust", "company", "property_name", "source_file",
+    line = ["_base", "asset_num", "property_num"]
+    fill = _filler(*line)
+    rows = _notes_together(w.properties, "property_num").select(
+        *line, F.col("reporting_period_end_date").alias("reporting_date"), "trust", "company", "property_name", "source_file",
         *((fill(c) if n in FILLED else F.col(c)).alias(n) for n, c in PROPERTY.items()),
     )
-    rows = first_per_key(rows, keys, [F.desc("source_file"), F.asc("trust")]).drop("source_file")
-    base = rows.select(F.concat("asset_num", F.lit("A")).alias("asset_num"), "property_num", "reporting_date", *(F.col(n).alias(f"b_{n}") for n in PROPERTY))
-    joined = rows.join(base, keys, "left")
-    values = {n: F.coalesce(n, f"b_{n}", *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n in PROPERTY}
-    out = joined.select(*keys, "trust", "company", "property_name", *(v.alias(n) for n, v in values.items()))
+    rows = first_per_key(rows, [*line, "reporting_date"], [F.desc("source_file"), F.asc("trust")])
+    rows = rows.withColumn("_note", _beside(list(PROPERTY), ["_base", "property_num", "reporting_date"], -1))
+    values = {n: F.coalesce(n, F.col("_note")[n], *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n in PROPERTY}
+    out = rows.select(*line, "reporting_date", "trust", "company", "property_name", *(v.alias(n) for n, v in values.items()))
     return out.withColumn("geo_id", surrogate_key("property_state", "property_city", "property_zip", "property_address"))
 
 
+@model
+def int_properties_cleaned(w: Warehouse) -> DataFrame:
+    return w["property_snapshots"].drop("_base")
+
+
+def _trusts(w: Warehouse) -> DataFrame:
+    """trust and trust_id of each row of the trust dimension."""
+    rows = w.loans.select("trust", "company").distinct()
+    return F.broadcast(rows.select("trust", surrogate_key("trust").alias("trust_id")))
+
+
 # --- dimensions -------------------------------------------------------------------------------------------------------
 
 
@@ -181,21 +204,31 @@ TYPE_NAMES = {
     "RT": "Retail", "OF": "Office", "MF": "Multifamily", "IN": "Industrial", "HC": "Healthcare", "LO": "Lodging/Hotel",
     "MU": "Mixed Use", "SS": "Self Storage", "WH": "Warehouse", "MH": "Mobile Home",
 }
+PLACE = ("property_state", "property_city", "property_zip", "property_address")
 TRACKED = {"property_type_code": "first_row", "property_status_code": "first_row", "square_feet": -1, "unit_count": -1, "geo_id": "first_row", "trust": "first_row"}
 
 
-@model
-def dim_property(w: Warehouse) -> DataFrame:
-    """A version whenever a tracked attribute changes to a value; a change to null is none."""
-    line = Window.partitionBy("asset_num", "property_num").orderBy("reporting_date")
+def _versioned(w: Warehouse) -> DataFrame:
+    """Snapshots, whether each begins a version, and the version that is valid at its date.
+
+    A version begins whenever a tracked attribute changes to a value; a change to null begins none.
+    """
+    line = Window.partitionBy("_base", "asset_num", "property_num").orderBy("reporting_date")
     changed = F.lit(False)
     for c, before in TRACKED.items():
         changed = changed | F.coalesce(F.coalesce(F.lag(c).over(line), F.lit(before)) != F.col(c), F.lit(False))
-    versions = w["int_properties_cleaned"].withColumn("_changed", changed).where("_changed").withColumn("property_id", F.concat_ws("_", "asset_num", "property_num"))
-    trusts = F.broadcast(w["dim_trust"].select("trust_id", F.col("trust_name").alias("trust")))
-    until = F.lead("reporting_date").over(Window.partitionBy("property_id").orderBy("reporting_date"))
+    kept = ["property_type_code", "property_status_code", "square_feet", "unit_count", "geo_id", *PLACE]
+    rows = w["property_snapshots"].withColumn("_changed", changed)
+    version = F.last(F.when(F.col("_changed"), F.struct(*kept)), True).over(line)
+    return rows.withColumns({"_version": version, "property_id": F.concat_ws("_", "asset_num", "property_num")})
+
+
+@model
+def dim_property(w: Warehouse) -> DataFrame:
+    until = F.lead("reporting_date").over(Window.partitionBy("_base", "asset_num", "property_num").orderBy("reporting_date"))
     kind = ladder([(F.col("property_type_code") == code, name) for code, name in TYPE_NAMES.items()], "Other")
-    return versions.withColumn("end_date", F.coalesce(until, F.lit(FOREVER).cast("date"))).join(trusts, "trust").select(
+    rows = _versioned(w).where("_changed").withColumn("end_date", F.coalesce(until, F.lit(FOREVER).cast("date")))
+    return rows.join(_trusts(w), "trust").select(
         "property_id", F.col("reporting_date").alias("effective_date"), "end_date", "property_name", "property_type_code",
         kind.alias("property_type_description"), "property_status_code", "year_built", "square_feet", "unit_count",
         F.col("company").alias("issuer"), "trust_id", "geo_id",
@@ -213,26 +246,24 @@ LOAN = {
 
 def _loan_rows(w: Warehouse) -> DataFrame:
     """One row per loan and date: the last by file, with the maturity filled over all rows of the loan."""
-    fill = _filler("asset_num")
+    fill = _filler("_base", "asset_num")
     status = F.col("payment_status_loan_code")
-    rows = w.loans.select(
-        F.col("asset_num").alias("loan_id"), F.col("reporting_period_end_date").alias("reporting_date"), F.col("trust").alias("trust_name"),
+    rows = _notes_together(w.loans).select(
+        "_base", "asset_num", F.col("reporting_period_end_date").alias("reporting_date"), F.col("trust").alias("trust_name"),
         F.col("company").alias("issuer"), "source_file", *(F.col(c).alias(n) for n, c in LOAN.items()), fill("maturity_date").alias("maturity_date"),
         F.when(status.isin("A", "B") | status.isNull(), "0").otherwise(status).alias("delinquency_status"),
         (F.col("scheduled_prin_amt") + F.col("scheduled_intr_amt")).alias("pmt_received"),
     )
-    return first_per_key(rows, ["loan_id", "reporting_date"], [F.desc("source_file"), F.asc("trust_name")]).drop("source_file")
+    return first_per_key(rows, ["_base", "asset_num", "reporting_date"], [F.desc("source_file"), F.asc("trust_name")]).drop("source_file")
 
 
 @model
 def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
     """A base note takes what it lacks from its split note ('A' after the loan's number)."""
-    rows = _loan_rows(w)
     values = [*LOAN, "maturity_date", "delinquency_status", "pmt_received"]
-    split = rows.where(F.col("loan_id").endswith("A")).select(F.expr("substring(loan_id, 1, length(loan_id) - 1)").alias("loan_id"), "reporting_date", *(F.col(n).alias(f"s_{n}") for n in values))
-    rows = rows.join(split, ["loan_id", "reporting_date"], "left").withColumns({n: F.coalesce(n, f"s_{n}") for n in values})
-    trusts = F.broadcast(w["dim_trust"].select("trust_id", "trust_name"))
-    rows = rows.join(trusts, "trust_name")
+    rows = _loan_rows(w).withColumn("_note", _beside(values, ["_base", "reporting_date"], 1))
+    rows = rows.withColumns({n: F.coalesce(n, F.col("_note")[n]) for n in values}).withColumnRenamed("asset_num", "loan_id")
+    rows = rows.withColumnRenamed("trust_name", "trust").join(_trusts(w), "trust")
     status, short = F.col("delinquency_status"), F.col("pmt_due") - F.col("pmt_received")
     return rows.select(
         surrogate_key("loan_id", "reporting_date", "trust_id").alias("loan_performance_id"), "loan_id", "reporting_date", "trust_id",
@@ -250,8 +281,8 @@ def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
 
 @model
 def fct_loan_modifications(w: Warehouse) -> DataFrame:
-    line = Window.partitionBy("loan_id").orderBy("reporting_date")
-    rows = _loan_rows(w).withColumns({
+    line = Window.partitionBy("_base", "asset_num").orderBy("reporting_date")
+    rows = _loan_rows(w).withColumn("loan_id", F.col("asset_num")).withColumns({
         "previous_intr_rate": F.lag("current_intr_rate").over(line), "previous_maturity_date": F.lag("maturity_date").over(line), "previous_date": F.lag("reporting_date").over(line),
     })
     rate, before = F.col("current_intr_rate"), F.col("previous_intr_rate")
@@ -268,17 +299,17 @@ def fct_loan_modifications(w: Warehouse) -> DataFrame:
     )
 
 
-@model
-def fct_property_metrics(w: Warehouse) -> DataFrame:
+def _property_facts(w: Warehouse) -> DataFrame:
+    """Metrics of each property month with the attributes of the version valid then, and its place.
+
+    The version comes from the window that finds it, not from a join of snapshots and versions by their intervals.
+    """
     own = [
         "property_id", "reporting_date", "trust", F.col("company").alias("issuer"), "asset_num", "property_num", "current_valuation", "securitization_valuation",
         "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr",
         *(F.col(c).isNotNull().alias(f"has_{c}") for c in ("largest_tenant", "second_largest_tenant", "third_largest_tenant")),
     ]
-    rows = w["int_properties_cleaned"].withColumn("property_id", F.concat_ws("_", "asset_num", "property_num")).select(*own)
-    versions = w["dim_property"].select("property_id", "effective_date", "end_date", "property_type_code", "square_feet", "unit_count", "property_status_code")
-    rows = as_of_versions(rows, versions, "property_id", "reporting_date")
-    rows = rows.join(F.broadcast(w["dim_trust"].select("trust_id", F.col("trust_name").alias("trust"))), "trust")
+    rows = _versioned(w).where("_version is not null").select(*own, "_version.*").join(_trusts(w), "trust")
     now, then = F.col("current_valuation"), F.col("securitization_valuation")
     per = lambda n: F.when(F.col(n) > 0, ratio("current_revenue", n))
     return rows.select(
@@ -289,10 +320,15 @@ def fct_property_metrics(w: Warehouse) -> DataFrame:
         F.when(then == 0, 0.0).otherwise(ratio(now - then, then)).alias("valuation_change_pct"),
         (F.coalesce("current_occupancy_pct", F.lit(0)) - F.coalesce("securitization_occupancy_pct", F.lit(0))).alias("occupancy_change_pct"),
         F.when(F.col("current_revenue") == 0, 0.0).otherwise(ratio("current_expenses", "current_revenue")).alias("expense_ratio"),
-        per("square_feet").alias("revenue_per_sqft"), per("unit_count").alias("revenue_per_unit"),
+        per("square_feet").alias("revenue_per_sqft"), per("unit_count").alias("revenue_per_unit"), *PLACE,
     )
 
 
+@model
+def fct_property_metrics(w: Warehouse) -> DataFrame:
+    return _property_facts(w).drop(*PLACE)
+
+
 # --- marts ------------------------------------------------------------------------------------------------------------
 
 
@@ -330,12 +366,19 @@ def loan_aging_metrics(w: Warehouse) -> DataFrame:
     )
 
 
+def _placed_rows(w: Warehouse, rows: DataFrame) -> DataFrame:
+    """rows with the place columns of the geography hierarchy: null for a state that it does not have."""
+    states = F.broadcast(w["dim_geo_state"].drop("state_id"))
+    rows = rows.join(states, F.col("property_state") == F.col("state_code"), "left").withColumnsRenamed({"property_address": "_address"})
+    known = lambda c: F.when(F.col("state_code").isNotNull(), F.col(c))
+    rows = rows.withColumns({"property_address": known("_address"), "zip_code": known("property_zip"), "city_name": known("property_city")})
+    return rows.drop("_address", "property_state", "property_city", "property_zip")
+
+
 def _property_months(w: Warehouse, *more: str) -> DataFrame:
-    """Property metrics with the attributes of the version valid then, and where it stands."""
-    own = ["property_id", "reporting_date", "current_valuation", "securitization_valuation", "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr", "valuation_change_pct"]
-    versions = w["dim_property"].select("property_id", "effective_date", "end_date", "geo_id", "property_type_code", "square_feet", "unit_count")
-    rows = as_of_versions(w["fct_property_metrics"].select(*own), versions, "property_id", "reporting_date")
-    return rows.join(w["geo"].select("geo_id", *more), "geo_id", "left").drop("geo_id", "effective_date", "end_date")
+    """Property metrics with the attributes of the version valid then, and the named parts of where it stands."""
+    own = ["property_id", "reporting_date", "current_valuation", "securitization_valuation", "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr", "valuation_change_pct", "property_type_code", "square_feet", "unit_count"]
+    return _placed_rows(w, _property_facts(w)).select(*own, *more)
 
 
 @model
