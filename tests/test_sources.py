@@ -73,6 +73,17 @@ def test_stored_tables(spark, tmp_path):
     assert list(tables.records(spark, "select * from t where k = 1")) == [{"k": 1, "v": "a"}]
 
 
+def test_catalogue_table(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b", 1), (1, "a", 1)], "k int, v string, m int")
+    tables.save_table(df, "test_saved", f"{tmp_path}/t", partition=["m"], sort=["k"])
+    try:
+        assert spark.table("test_saved").count() == 2
+        stats = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED test_saved").collect()}
+        assert "2 rows" in stats["Statistics"]
+    finally:
+        spark.sql("DROP TABLE test_saved")
+
+
 def test_upserts(spark, tmp_path):
     target = f"{tmp_path}/t"
     tables.upsert(spark, spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, m int"), target, ["k"])
