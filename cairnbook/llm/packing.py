@@ -33,7 +33,7 @@ BATCH_TOKENS = 1 << 20
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n. The ratio is that of a 2,048-wide layer.
 LINEAR, QUADRATIC = 12 * 2048, 2
 #: Distinct pieces that a worker knows at most, before it starts afresh.
-_CACHE = 600_000
+_CACHE = 300_000
 _MARKS = ("<|startoftext|>", "<|endoftext|>")
 #: Kinds of bytes: white space; letters; other ASCII; the rest, which stays with whatever it stands beside.
 _SPACE, _LETTER, _SIGN, _REST = range(4)
@@ -221,7 +221,7 @@ def packed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
         for batch in batches:
             names = iter(batch.column(0).to_pylist())
-            for data, offsets in rolling.chunks(batch.column(1), 1 << 20):
+            for data, offsets in rolling.chunks(batch.column(1)):
                 for x in coder.encode(data, offsets, end_id):
                     ids.append(next(names))
                     docs.append(x)

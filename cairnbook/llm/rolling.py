@@ -15,7 +15,7 @@ import pyarrow as pa
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
