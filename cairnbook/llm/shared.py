@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +33,20 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Intermediate tables, written to the shared folder and read back: a lost executor never loses them, and lineage ends there.
 
-    ``keep`` writes a table, ``drop`` deletes one that no later step reads.
+    ``keep`` writes a table, ``drop`` deletes one that no later step reads; what is left goes when the program ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        atexit.register(self._end)
+
+    def _end(self) -> None:
+        if SparkContext._active_spark_context is self.spark.sparkContext:
+            with contextlib.suppress(Exception):  # the session may be going down
+                self.drop("")
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}" if name else self.root
 
     def keep(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
