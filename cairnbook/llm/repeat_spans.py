@@ -39,7 +39,7 @@ from .shared import Scratch, prepare, sent_if_small
 WINDOW, GRAM = 400, 64
 #: Different segments of one anchor up to which a task sorts them; segments that make a batch.
 LARGE, BATCH = 20_000, 10_000
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _SECOND = rolling._Powers(0xC2B2AE3D27D4EB4F)
 _POSITION = (1 << 26) - 1
 
