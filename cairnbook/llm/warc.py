@@ -7,7 +7,8 @@ fields, Content-Length against the block, the closing line ends, block and paylo
 stored HTTP header states. What a record fails is named in its ``error``.
 
 Of pages with equal payloads of ``min_bytes`` or more, the one with the smallest page_id is written as response and the
-others as revisits that refer to it. Digests are compared in a shuffle of their own, without payloads.
+others as revisits that refer to it. Digests are compared in a shuffle of their own, without payloads, and those that
+occur more than once are sent to the pages, if they are few enough.
 
 Null html is an empty payload; a null url has no WARC-Target-URI; pages with null ids are always responses. Pages with
 one id and equal payload are all responses if that id is the smallest. An empty table gives no archives, and no records.
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Scratch, prepare
+from .shared import Scratch, prepare, sent_if_small
 
 SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 DICTIONARY = 0x184D2A5D
@@ -219,18 +220,18 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
     return archives.select("content").mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, error string")
 
 
-def with_first(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def with_first(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> DataFrame:
     """pages with ``first``: the page_id that a page's payload is already stored under, null for responses."""
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     pages = pages.select("page_id", "url", "html", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("size"))
     firsts = pages.groupBy("sha").agg(F.min("page_id").alias("least"), F.count("*").alias("n"), F.max("size").alias("size"))
     firsts = firsts.where((F.col("n") > 1) & (F.col("size") >= min_bytes)).select("sha", "least")
-    joined = pages.join(firsts, "sha", "left")
+    joined = pages.join(sent_if_small(scratch.keep(firsts, "firsts")), "sha", "left")
     return joined.select("page_id", "url", "html", F.when(F.col("page_id") > F.col("least"), F.col("least")).alias("first"))
 
 
 def op5(spark: SparkSession, pages: DataFrame) -> DataFrame:
     prepare(spark)
     scratch = Scratch(spark, "warc")
-    archives = scratch.keep(written(with_first(pages)), "archives", compression="uncompressed")
+    archives = scratch.keep(written(with_first(pages, scratch)), "archives", compression="uncompressed")
     return read(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
