@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import FOREVER, below, double, filled, ladder, mean, month_part, months_between_parts, ratio, surrogate_key
+from ..functions.columns import FOREVER, below, double, ladder, mean, month_part, months_between_parts, ratio, surrogate_key
 from ..operators.rows import as_of_versions, first_per_key
 from .states import STATES
 
@@ -74,10 +74,21 @@ FILLED = frozenset(PROPERTY) - {"square_feet", "unit_count", "year_built", "prop
 DEFAULTS = {"property_state": "UNK", "property_city": "Unknown", "property_zip": "UNK", "property_address": "Unknown"}
 
 
-def _filler(*keys: str) -> Callable[[str], Column]:
-    whole = Window.partitionBy(*keys)
-    running = whole.orderBy("reporting_period_end_date")
-    return lambda c: filled(c, running, whole, ("reporting_period_end_date", "source_file"))
+def _latest_filled(df: DataFrame, keys: list[str], trust: str, columns: dict[str, str], fill: set[str]) -> DataFrame:
+    """One row per key and date, the last by file, with ``columns`` (new name: old name); those in ``fill`` carry the
+    latest value up to the date forward, or the first one back.
+
+    One sort serves all: on the row that stays, the running value has seen every row of its date.
+    """
+    line = Window.partitionBy(*keys).orderBy("reporting_period_end_date", "source_file", F.desc(trust))
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    values = [
+        (F.coalesce(F.last(old, True).over(line.rowsBetween(Window.unboundedPreceding, 0)), F.first(old, True).over(whole)) if new in fill else F.col(old)).alias(new)
+        for new, old in columns.items()
+    ]
+    after = F.lead("reporting_period_end_date").over(line)
+    rows = df.select(*keys, F.col("reporting_period_end_date").alias("reporting_date"), *values, after.alias("_after"))
+    return rows.where(F.col("_after").isNull() | (F.col("_after") != F.col("reporting_date"))).drop("_after")
 
 
 def _notes_together(df: DataFrame, *more: str) -> DataFrame:
@@ -97,12 +108,8 @@ def _beside(values: list[str], keys: list[str], step: int) -> Column:
 def property_snapshots(w: Warehouse) -> DataFrame:
     """Property snapshots, filled; a split-note row ('A' after the asset number) takes what it lacks from its base row."""
     line = ["_base", "asset_num", "property_num"]
-    fill = _filler(*line)
-    rows = _notes_together(w.properties, "property_num").select(
-        *line, F.col("reporting_period_end_date").alias("reporting_date"), "trust", "company", "property_name", "source_file",
-        *((fill(c) if n in FILLED else F.col(c)).alias(n) for n, c in PROPERTY.items()),
-    )
-    rows = first_per_key(rows, [*line, "reporting_date"], [F.desc("source_file"), F.asc("trust")])
+    columns = {"trust": "trust", "company": "company", "property_name": "property_name"} | PROPERTY
+    rows = _latest_filled(_notes_together(w.properties, "property_num"), line, "trust", columns, FILLED)
     rows = rows.withColumn("_note", _beside(list(PROPERTY), ["_base", "property_num", "reporting_date"], -1))
     values = {n: F.coalesce(n, F.col("_note")[n], *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n in PROPERTY}
     out = rows.select(*line, "reporting_date", "trust", "company", "property_name", *(v.alias(n) for n, v in values.items()))
@@ -246,15 +253,14 @@ LOAN = {
 
 def _loan_rows(w: Warehouse) -> DataFrame:
     """One row per loan and date: the last by file, with the maturity filled over all rows of the loan."""
-    fill = _filler("_base", "asset_num")
+    more = {"trust_name": "trust", "issuer": "company", "maturity_date": "maturity_date"}
+    own = {c: c for c in ("payment_status_loan_code", "scheduled_prin_amt", "scheduled_intr_amt")}
+    rows = _latest_filled(_notes_together(w.loans), ["_base", "asset_num"], "trust", LOAN | more | own, {"maturity_date"})
     status = F.col("payment_status_loan_code")
-    rows = _notes_together(w.loans).select(
-        "_base", "asset_num", F.col("reporting_period_end_date").alias("reporting_date"), F.col("trust").alias("trust_name"),
-        F.col("company").alias("issuer"), "source_file", *(F.col(c).alias(n) for n, c in LOAN.items()), fill("maturity_date").alias("maturity_date"),
-        F.when(status.isin("A", "B") | status.isNull(), "0").otherwise(status).alias("delinquency_status"),
-        (F.col("scheduled_prin_amt") + F.col("scheduled_intr_amt")).alias("pmt_received"),
-    )
-    return first_per_key(rows, ["_base", "asset_num", "reporting_date"], [F.desc("source_file"), F.asc("trust_name")]).drop("source_file")
+    rows = rows.withColumns({
+        "delinquency_status": F.when(status.isin("A", "B") | status.isNull(), "0").otherwise(status), "pmt_received": F.col("scheduled_prin_amt") + F.col("scheduled_intr_amt"),
+    })
+    return rows.drop(*own)
 
 
 @model
