@@ -331,6 +331,11 @@ def test_templates_are_what_pages_share(spark):
     assert text[12].startswith("Welcome to the site\n\n")
     assert html_extract.op7(spark, pages.limit(0)).collect() == []
 
+    # copies of any one page take no other page's place in the sample
+    rows = [(i, f"http://h{h}/x{i}", page(i)) for h in range(6) for i in [*range(6), *[h] * 20]]
+    again = html_extract.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {(r.page_id, r.text) for r in again.collect()} == {(i, " ".join(words(40, i))) for i in range(6)}
+
 
 # --- 8: packing -------------------------------------------------------------------------------------------------------
 
