@@ -337,6 +337,22 @@ def test_templates_are_what_pages_share(spark):
     assert {(r.page_id, r.text) for r in again.collect()} == {(i, " ".join(words(40, i))) for i in range(6)}
 
 
+def test_templates_are_judged_on_all_pages(spark):
+    def page(i, layout, licence):
+        text = f"<p>{' '.join(words(40, i))}</p>" + "<p>Free to copy under licence</p>" * licence
+        if layout == 0:
+            return f"<body><p>Welcome to the site</p><div>{text}</div></body>"
+        return f"<body><section><p>Wiki of the site</p></section><section>{text}</section></body>"
+
+    # host a: a paragraph of most pages stays; b: two layouts each lose their own head; c: as a, in another layout too
+    rows = [(i, "http://a/", page(i, 0, i % 10 > 0)) for i in range(60)]
+    rows += [(100 + i, "http://b/", page(i, i % 2, False)) for i in range(40)]
+    rows += [(200 + i, "http://c/", page(i, i % 2, i % 20 > 1)) for i in range(60)]
+    out = html_extract.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
+    licence = lambda i: "\n\nFree to copy under licence" * (i % 10 > 0 if i < 100 else i >= 200 and i % 20 > 1)
+    assert {r.page_id: r.text for r in out.collect()} == {i: " ".join(words(40, i % 100)) + licence(i) for i, _, _ in rows}
+
+
 # --- 8: packing -------------------------------------------------------------------------------------------------------
 
 
