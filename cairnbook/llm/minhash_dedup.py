@@ -105,7 +105,7 @@ def estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
-def _sized(left: str = "n_a", right: str = "n_b", percent: int = PERCENT) -> Column:
+def _sized(left: str = "n_a", right: str = "n_b", *, percent: int) -> Column:
     """Sets so different in size that they can't be similar enough are out."""
     a, b = F.col(left), F.col(right)
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
@@ -144,20 +144,20 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", _compare("text_a", "text_b").alias("c")).select("a", "b", "c.*")
 
 
-def _linked() -> Column:
-    return F.col("common") * 100 >= F.col("united") * PERCENT
+def _linked(percent: int) -> Column:
+    return F.col("common") * 100 >= F.col("united") * percent
 
 
-def _pairs_of_lists(listed: DataFrame) -> DataFrame:
+def _pairs_of_lists(listed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of classes that share enough lists."""
     left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"))
     right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"))
-    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized())
+    met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized(percent=percent))
     met = met.groupBy("a", "b").agg(F.count("*").alias("overlap"), F.first("l_a").alias("l_a"), F.first("l_b").alias("l_b"))
     return met.where(F.col("overlap") * 4 >= F.least("l_a", "l_b")).select("a", "b")
 
 
-def forest(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
+def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets of shingles; with two sides, of the links from one to the other."""
     size = np.array([len(x) for x in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), size)
@@ -173,7 +173,7 @@ def forest(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
         held[owner[mine], column[mine] - first] = 1
         common += held @ held.T
     common = common.astype(np.int64)
-    linked = common * 100 >= (size[:, None] + size[None, :] - common) * PERCENT
+    linked = common * 100 >= (size[:, None] + size[None, :] - common) * percent
     if side.min() != side.max():
         linked &= side[:, None] != side[None, :]
     parent, out = list(range(len(sets))), []
@@ -192,7 +192,7 @@ def forest(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _links_of_hot(hot_lists: DataFrame, texts: DataFrame) -> DataFrame:
+def _links_of_hot(hot_lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links among classes in one list of any length, block by block."""
     sizes = hot_lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -203,23 +203,23 @@ def _links_of_hot(hot_lists: DataFrame, texts: DataFrame) -> DataFrame:
     def compare(rows: pa.Table) -> pa.Table:
         ids, found = rows.column("id").to_pylist(), []
         if len(ids) > 1:
-            found = forest(list(sets_of(rows.column("text"))), rows.column("block").to_numpy())
+            found = forest(list(sets_of(rows.column("text"))), rows.column("block").to_numpy(), percent)
         pairs = [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in found if ids[i] != ids[j]]
         return pa.table({"a": pa.array([x[0] for x in pairs], pa.int64()), "b": pa.array([x[1] for x in pairs], pa.int64())})
 
     return dealt.join(texts, "id").groupBy("value", "low", "high").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches leave the threshold possible."""
     left = reps.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     right = reps.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(estimate(F.col("sketch_a"), F.col("sketch_b")) >= PERCENT / 100 - SLACK).select("a", "b")
+    return both.where(estimate(F.col("sketch_a"), F.col("sketch_b")) >= percent / 100 - SLACK).select("a", "b")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, n_shingles, component_id, kept."""
+def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: id_col, n_shingles, component_id, kept. percent: similarity from which texts are linked."""
     prepare(spark)
     scratch = Scratch(spark, "minhash")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -236,7 +236,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     cool = smallest.select("id", "n", F.size("listed").alias("all"), F.explode("listed").alias("value")).join(hot, "value", "left_anti")
     counts = scratch.keep(cool.groupBy("id").agg(F.count("*").alias("cool")), "counts")
     listed = cool.select("value", "id", "n", F.col("all").alias("listed"))
-    pairs = _estimated(_pairs_of_lists(listed), reps)
+    pairs = _estimated(_pairs_of_lists(listed, percent), reps, percent)
     pairs = scratch.keep(pairs, "pairs")
 
     warm = reps.join(counts, "id", "left").withColumn("all", F.least(F.size("sketch"), F.lit(LISTED)))
@@ -245,9 +245,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(warm.select("id")).distinct()
     members = sent_if_small(scratch.keep(members, "members"))
     texts = scratch.keep(source.join(members, "id", "left_semi"), "texts")
-    links = scratch.keep(_verified(pairs, texts).where(_linked()).select("a", "b"), "links")
+    links = scratch.keep(_verified(pairs, texts).where(_linked(percent)).select("a", "b"), "links")
     hot_lists = warm.select(F.explode("values").alias("value"), "id")
-    links = scratch.keep(links.unionByName(_links_of_hot(hot_lists, texts)).distinct(), "all-links")
+    links = scratch.keep(links.unionByName(_links_of_hot(hot_lists, texts, percent)).distinct(), "all-links")
     scratch.drop("pairs", "texts", "reps", "counts")
     labels = scratch.keep(components(links, scratch), "components")
     out = sig.select("id", *keyed).join(classes, keyed, "left")

@@ -26,8 +26,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.verdict(docs, into=own).where(F.col(own)["kept"]).drop(own)
 
 
+#: Similarity, in percent, from which the near-duplicates stage links two documents.
+NEAR_PERCENT = 85
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash_dedup.near_duplicates(spark, docs.select("doc_id", "text"))
+    found = minhash_dedup.near_duplicates(spark, docs.select("doc_id", "text"), percent=NEAR_PERCENT)
     gone = Scratch(spark, "gone").keep(found.where("not kept").select("doc_id").distinct(), "ids")
     docs = docs.join(sent_if_small(gone), "doc_id", "left_anti").select(docs.columns)
     again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")

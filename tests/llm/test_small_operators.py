@@ -127,6 +127,16 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, hot):
     assert minhash_dedup.op6(spark, documents(spark, [])).collect() == []
 
 
+def test_near_duplicates_from_another_percent(spark):
+    shingles, texts = (88, 84, 82, 80, 79), []  # of the shorter text of each pair; the longer has 100
+    for k, n in enumerate(shingles):
+        base = words(104, 50 + k)
+        texts += [(10 * k, " ".join(base)), (10 * k + 1, " ".join(base[: n + 4]))]
+    for percent in (80, 85):
+        found = minhash_dedup.near_duplicates(spark, documents(spark, texts), percent=percent).collect()
+        assert {r.doc_id for r in found if not r.kept} == {10 * k + 1 for k, n in enumerate(shingles) if n >= percent}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id as a", "id + 1 as b").union(spark.createDataFrame([(200, 100)], "a long, b long"))
     found = {r.node: r.component for r in minhash_dedup.components(edges, Scratch(spark, "test")).collect()}
