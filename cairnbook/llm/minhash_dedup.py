@@ -5,10 +5,10 @@ sequence is its one shingle. One hash function serves all: the k smallest values
 
 1. Documents with equal sets form a class, at no cost in pairs; from here on classes are compared.
 2. Inverted lists: each class is listed under its smallest retained values; lists of up to ``hot`` classes generate
-   pairs, and how often a pair meets is its overlap. A value of more than ``hot`` sketches is hot (a passage that many
+   pairs, and how often a pair meets is its overlap, which must be a quarter of what the one with fewer such values has. A value of more than ``hot`` sketches is hot (a passage that many
    documents share, or a large group of near copies) and generates no pairs of this kind.
-3. Classes whose retained values are mostly hot would miss pairs that way. They are listed under hot values too; such a
-   list, of any length, is dealt by hash into blocks, each pair of blocks is one small task with both blocks' texts, and
+3. Classes with more than a quarter of hot values could miss pairs that way. They are listed under their smallest hot
+   values too (of two texts similar enough, one with less has a partner with cool values to spare); such a list, of any length, is dealt by hash into blocks, each pair of blocks is one small task with both blocks' texts, and
    a task compares all its full sets at once and returns a spanning forest of the links it finds.
 4. The union of two sketches estimates the similarity of a pair; pairs well below the threshold go.
 5. Whole texts decide: 100 * intersection >= percent * union, on the full sets.
@@ -38,9 +38,9 @@ SHINGLE = 5
 PERCENT = 85
 #: Values retained in a sketch; of these, how many list a class; longest list that generates pairs.
 SKETCH, LISTED, HOT = 32, 24, 64
-#: Share of hot values, in percent, from which a class is also listed under its smallest values, how many of these, and
-#: classes in a block of such a list.
-MOSTLY_HOT, HOT_LISTED, BLOCK = 50, 6, 256
+#: Share of hot values, in percent, above which a class is also listed under its smallest values and its smallest hot
+#: ones, how many of each, and classes in a block of such a list.
+PARTLY_HOT, HOT_LISTED, BLOCK = 25, 6, 256
 #: A pair goes on if its estimate is at most this much below the threshold (over 4.5 standard errors of the estimate).
 SLACK = 0.3
 
@@ -233,22 +233,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     hot = reps.select(F.explode("sketch").alias("value")).groupBy("value").count().where(F.col("count") > HOT)
     hot = scratch.keep(hot.select("value"), "hot")
     smallest = reps.select("id", "n", F.slice("sketch", 1, LISTED).alias("listed"))
-    cool = smallest.select("id", "n", F.size("listed").alias("all"), F.explode("listed").alias("value")).join(hot, "value", "left_anti")
-    counts = scratch.keep(cool.groupBy("id").agg(F.count("*").alias("cool")), "counts")
-    listed = cool.select("value", "id", "n", F.col("all").alias("listed"))
+    cool = smallest.select("id", "n", F.explode("listed").alias("value")).join(hot, "value", "left_anti")
+    cool = scratch.keep(cool.groupBy("id", "n").agg(F.collect_list("value").alias("cool")), "cool")  # LISTED values at most
+    listed = cool.select(F.explode("cool").alias("value"), "id", "n", F.size("cool").alias("listed"))
     pairs = _estimated(_pairs_of_lists(listed, percent), reps, percent)
     pairs = scratch.keep(pairs, "pairs")
 
-    warm = reps.join(counts, "id", "left").withColumn("all", F.least(F.size("sketch"), F.lit(LISTED)))
-    warm = warm.where((F.col("all") - F.coalesce("cool", F.lit(0))) * 100 > F.col("all") * MOSTLY_HOT)
-    warm = scratch.keep(warm.select("id", F.slice("sketch", 1, HOT_LISTED).alias("values")), "warm")
+    warm = reps.join(cool.select("id", "cool"), "id", "left").withColumn("listed", F.slice("sketch", 1, LISTED))
+    warm = warm.withColumn("hot", F.array_except("listed", F.coalesce("cool", F.array().cast("array<long>"))))
+    warm = warm.where(F.size("hot") * 100 > F.size("listed") * PARTLY_HOT)
+    values = F.array_union(F.slice("listed", 1, HOT_LISTED), F.slice("hot", 1, HOT_LISTED))
+    warm = scratch.keep(warm.select("id", values.alias("values")), "warm")
     members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(warm.select("id")).distinct()
     members = sent_if_small(scratch.keep(members, "members"))
     texts = scratch.keep(source.join(members, "id", "left_semi"), "texts")
     links = scratch.keep(_verified(pairs, texts).where(_linked(percent)).select("a", "b"), "links")
     hot_lists = warm.select(F.explode("values").alias("value"), "id")
     links = scratch.keep(links.unionByName(_links_of_hot(hot_lists, texts, percent)).distinct(), "all-links")
-    scratch.drop("pairs", "texts", "reps", "counts")
+    scratch.drop("pairs", "texts", "reps", "cool")
     labels = scratch.keep(components(links, scratch), "components")
     out = sig.select("id", *keyed).join(classes, keyed, "left")
     out = out.join(labels, F.col("rep") == F.col("node"), "left")

@@ -127,6 +127,18 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, hot):
     assert minhash_dedup.op6(spark, documents(spark, [])).collect() == []
 
 
+def test_near_duplicates_that_share_a_hot_passage(spark):
+    passage, texts = words(420, 77), []  # hot: more than HOT texts have it
+    for seed in (6031, 6067, 6252, 6317):  # of their 24 listed values, 12 and 15 to 18 are hot, and at most 5 others common
+        own = words(280, seed)
+        texts += [(seed, " ".join(passage + own)), (seed + 1, " ".join(passage + own[:183]))]
+    texts += [(i, " ".join(passage + words(280, i))) for i in range(60)]
+    components, _ = brute_components(texts)
+    assert [i for i, c in components.items() if i != c] == [6032, 6068, 6253, 6318]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.op6(spark, documents(spark, texts)).collect()}
+    assert got == components
+
+
 def test_near_duplicates_from_another_percent(spark):
     shingles, texts = (88, 84, 82, 80, 79), []  # of the shorter text of each pair; the longer has 100
     for k, n in enumerate(shingles):
