@@ -4,7 +4,7 @@ A text becomes a template: letters lower-cased, punctuation dropped, numbers, na
 placeholders (a name is a capitalised word inside a sentence; a unit follows a number; runs of names are one name).
 Windows of ``WINDOW`` template tokens, most of them literal, are hashed; windows of the documents are hash-joined to
 those of the benchmark. Of one document, one item and one alignment, the slots must be consistent: one benchmark value
-always stands for one document value, and the reverse. An item leaks into a document if consistent alignments cover at
+always stands for one document value (two may fall on the same). An item leaks into a document if consistent alignments cover at
 least ``COVERAGE`` of its windows; it is re-parameterised if a slot's value differs. Items shorter than a window are
 matched as a whole.
 
@@ -215,8 +215,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: st
     run = met.groupBy("doc_id", "item_id", "diagonal").agg(
         F.collect_set("item_position").alias("positions"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("bound")
     )
-    size_of = lambda field: F.size(F.array_distinct(F.transform("bound", lambda x: x[field])))
-    run = run.where((size_of("item_slots") == F.size("bound")) & (size_of("slots") == F.size("bound")))
+    run = run.where(F.size(F.array_distinct(F.transform("bound", lambda x: x["item_slots"]))) == F.size("bound"))
     run = run.withColumn("changed", F.exists("bound", lambda x: x["item_slots"] != x["slots"]))
     found = run.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("positions")))).cast("long").alias("n_windows"),

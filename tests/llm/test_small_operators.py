@@ -199,6 +199,13 @@ def test_leaks_without_the_prefilter(spark, monkeypatch):
     assert [(r.doc_id, r.item_id) for r in decontamination.op1(spark, docs, bench).collect()] == [(1, 3)]
 
 
+def test_two_values_of_an_item_may_fall_on_one(spark):
+    bench = spark.createDataFrame([(1, "The farmer put 3 apples and 5 pears into the basket before he went to the market.")], "item_id long, text string")
+    told = "The farmer put {} apples and {} pears into the basket before he went to the market."
+    docs = documents(spark, [(1, told.format(4, 4)), (2, told.format(3, 5)), (3, "clean " * 40)])
+    assert {(r.doc_id, r.reparameterised) for r in decontamination.op1(spark, docs, bench).collect()} == {(1, True), (2, False)}
+
+
 # --- 2: personal data -------------------------------------------------------------------------------------------------
 
 BASE = {
