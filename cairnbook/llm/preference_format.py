@@ -1,13 +1,13 @@
 """Chat formatting of preference pairs, with SQL operations only.
 
 A pair is a chosen and a rejected conversation. Their longest common prefix of turns (equal role and text) is the
-prompt, rendered once; the turns after it are the two completions. Every turn becomes one row, rendered with markers,
-with the span of it that is trained on: the text and end marker of assistant turns in completions, nothing elsewhere.
-Rows stay one a turn, so that no conversation, however long, is gathered in one task; ``assembled`` joins the turns of
-conversations that are known to be short.
+prompt, rendered once; the turns after it are the two completions. A pair is one record: the prompt, both completions,
+and for each completion the spans that are trained on, the text and end marker of its assistant turns; nothing else is.
+Pairs of over ``BLOCK`` turns become one record for each ``BLOCK`` turn numbers, in order of ``block``, so that no
+conversation, however long, is gathered in one row; joined in that order the records are the pair.
 
 Turns are aligned by their number. Null role or text counts as empty; of several different rows for one turn the
-first by role, then text, stands, and repeated rows count once. Rows with null conversation or turn are not rendered,
+first by role, then text, stands, and repeated rows count once. Rows with null pair or turn are not rendered,
 nor pairs with a side that has no turns. Pairs that agree in all turns are all prompt. Markers inside a text are broken
 up, so that a text can't close its own turn. Other columns are not read.
 """
@@ -18,92 +18,113 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|{}|>\n", "<|end|>\n"
+#: Turn numbers of one record.
+BLOCK = 256
 
 
-def _turns(conversations: DataFrame) -> DataFrame:
-    said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = conversations.where("conv_id is not null and turn is not null")
-    return rows.groupBy("conv_id", "turn").agg(F.min(said).alias("said"))
+def _rendered(said: Column) -> Column:
+    head, tail = OPEN.split("{}")
+    return F.concat(F.lit(head), said["role"], F.lit(tail), F.replace(said["text"], F.lit("<|"), F.lit("< |")), F.lit(CLOSE))
 
 
-def _rendered(role: Column, text: Column) -> Column:
-    head, tail = OPEN.split("{}")
-    return F.concat(F.lit(head), role, F.lit(tail), F.replace(text, F.lit("<|"), F.lit("< |")), F.lit(CLOSE))
+def _trained(shown: Column) -> Column:
+    """start:end of each assistant turn's text and end marker, among rendered turns that follow each other."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
+
+    def step(so_far: Column, x: Column) -> Column:
+        end = so_far["at"] + F.length(x["rendered"])
+        start = so_far["at"] + F.length(x["role"]) + len(OPEN.format(""))
+        span = F.when(x["role"] == "assistant", F.array(F.concat_ws(":", start, end - 1))).otherwise(F.array().cast("array<string>"))
+        return F.struct(end.alias("at"), F.concat(so_far["spans"], span).alias("spans"))
+
+    return F.aggregate(shown, state, step, lambda x: F.array_join(x["spans"], ","))
 
 
-def formatted(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row per rendered turn: pair_id, part (prompt, chosen, rejected), turn, role, rendered, train_start, train_end.
+def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One record per pair (and block): pair_id, block, prompt, chosen, rejected, chosen_spans, rejected_spans and the
+    numbers of turns of the three parts.
 
-    conversations: conv_id, turn, role, text. pairs: pair_id, chosen_id, rejected_id.
+    turns: pair_id, side (chosen or rejected), turn, role, text.
     """
-    turns = _turns(conversations)
-    side = lambda name: pairs.select("pair_id", F.col(f"{name}_id").alias("conv_id")).join(turns, "conv_id").select("pair_id", "turn", F.col("said").alias(name))
-    both = side("chosen").join(side("rejected"), ["pair_id", "turn"], "full")
+    said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    own = lambda name: F.min(F.when(F.col("side") == name, said)).alias(name)
+    both = turns.where("pair_id is not null and turn is not null").groupBy("pair_id", "turn").agg(own("chosen"), own("rejected"))
     same = F.coalesce(F.col("chosen") == F.col("rejected"), F.lit(False))
-    ends = both.groupBy("pair_id").agg(
-        F.min(F.when(~same, F.col("turn"))).alias("split"), F.count("chosen").alias("n_c"), F.count("rejected").alias("n_r")
-    )
-    ends = ends.where("n_c > 0 and n_r > 0").select("pair_id", "split")
-    both = both.join(ends, "pair_id")
+    ends = both.groupBy("pair_id").agg(F.min(F.when(~same, F.col("turn"))).alias("split"), F.count("chosen").alias("n_c"), F.count("rejected").alias("n_r"))
+    both = both.join(ends.where("n_c > 0 and n_r > 0").select("pair_id", "split"), "pair_id")
     prompt = F.col("split").isNull() | (F.col("turn") < F.col("split"))
-    parts = F.when(prompt, F.array(F.struct(F.lit("prompt").alias("part"), F.col("chosen").alias("said")))).otherwise(
-        F.array(
-            F.struct(F.lit("chosen").alias("part"), F.col("chosen").alias("said")),
-            F.struct(F.lit("rejected").alias("part"), F.col("rejected").alias("said")),
-        )
-    )
-    rows = both.select("pair_id", "turn", F.explode(parts).alias("x")).select("pair_id", "x.part", "turn", "x.said.role", "x.said.text")
-    rows = rows.where("role is not null").withColumn("rendered", _rendered(F.col("role"), F.col("text")))
-    trained = (F.col("part") != "prompt") & (F.col("role") == "assistant")
-    start = F.length("role") + len(OPEN.format(""))
-    end = F.length("rendered") - 1
-    zero = F.lit(0)
+    turns = F.array_sort(F.collect_list(F.struct("turn", prompt.alias("in_prompt"), "chosen", "rejected")))
+    rows = both.groupBy("pair_id", F.floor(F.col("turn") / block).cast("long").alias("block")).agg(turns.alias("turns"))
+
+    def part(name: str, in_prompt: bool) -> Column:
+        own = F.filter("turns", lambda x: (x["in_prompt"] if in_prompt else ~x["in_prompt"]) & x[name].isNotNull())
+        return F.transform(own, lambda x: F.struct(x[name]["role"].alias("role"), _rendered(x[name]).alias("rendered")))
+
+    parts = {"prompt": part("chosen", True), "chosen": part("chosen", False), "rejected": part("rejected", False)}
+    rows = rows.select("pair_id", "block", *(v.alias(k) for k, v in parts.items()))
+    text = lambda k: F.array_join(F.transform(k, lambda x: x["rendered"]), "").alias(k)
     return rows.select(
-        "pair_id", "part", "turn", "role", "rendered",
-        F.when(trained, start).otherwise(zero).cast("long").alias("train_start"),
-        F.when(trained, end).otherwise(zero).cast("long").alias("train_end"),
+        "pair_id", "block", *(text(k) for k in parts),
+        *(_trained(F.col(k)).alias(f"{k}_spans") for k in ("chosen", "rejected")),
+        *(F.size(k).cast("long").alias(f"{k}_turns") for k in parts),
     )
 
 
-def assembled(rows: DataFrame) -> DataFrame:
-    """pair_id, prompt, chosen, rejected: the parts of ``formatted`` as whole strings, for conversations of bounded length."""
-    text = lambda part: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("turn", "rendered")))), lambda x: x["rendered"]), "").alias(part)
-    return rows.groupBy("pair_id").agg(*(text(p) for p in ("prompt", "chosen", "rejected")))
+def paired(conversations: DataFrame, pairs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``formatted`` for pairs (pair_id, chosen_id, rejected_id) of conversations (conv_id, turn, role, text)."""
+    side = lambda name: F.struct(F.lit(name).alias("side"), F.col(f"{name}_id").alias("conv_id"))
+    sides = pairs.select("pair_id", F.explode(F.array(side("chosen"), side("rejected"))).alias("s")).select("pair_id", "s.*")
+    return formatted(sides.join(conversations.select("conv_id", "turn", "role", "text"), "conv_id"), block)
 
 
 def op10(conversations: DataFrame) -> DataFrame:
-    """Conversations 2i (chosen) and 2i + 1 (rejected) are a pair."""
-    known = conversations.select("conv_id").where("conv_id % 2 = 0").distinct()
-    pairs = known.select((F.col("conv_id") / 2).cast("long").alias("pair_id"), F.col("conv_id").alias("chosen_id"), (F.col("conv_id") + 1).alias("rejected_id"))
-    return formatted(conversations, pairs)
+    """Each conversation, up to its last assistant turn, is chosen over the same one with that turn broken off half-way.
 
-
-OP10_SQL = r"""
+    Conversations without an assistant turn make no pair. Of different rows for a last turn the first by role decides.
+    """
+    rows = conversations.where("conv_id is not null and turn is not null")
+    one = F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))
+    rows = rows.groupBy(F.col("conv_id").alias("pair_id"), "turn").agg(one.alias("said")).select("pair_id", "turn", "said.*")
+    last = rows.where("role = 'assistant'").groupBy("pair_id").agg(F.max("turn").alias("last"))
+    rows = rows.join(last, "pair_id").where("turn <= last")
+    half = F.substr("text", F.lit(1), F.floor(F.length("text") / 2).cast("int"))
+    broken = F.when(F.col("turn") == F.col("last"), half).otherwise(F.col("text"))
+    side = lambda name, text: F.struct(F.lit(name).alias("side"), text.alias("text"))
+    sides = F.explode(F.array(side("chosen", F.col("text")), side("rejected", broken))).alias("s")
+    return formatted(rows.select("pair_id", "turn", "role", sides).select("pair_id", "turn", "role", "s.*"))
+
+
+OP10_SQL = rf"""
 WITH turns AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn,
-         min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said
+  SELECT conv_id AS pair_id, turn, min({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) AS said
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
-paired AS (
-  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, c.said AS chosen, r.said AS rejected,
-         c.pair_id IS NOT NULL AS has_c, r.pair_id IS NOT NULL AS has_r
-  FROM (SELECT * FROM turns WHERE side = 0) c FULL JOIN (SELECT * FROM turns WHERE side = 1) r
-    ON c.pair_id = r.pair_id AND c.turn = r.turn),
-ends AS (
-  SELECT pair_id, min(CASE WHEN NOT (has_c AND has_r AND chosen = rejected) THEN turn END) AS split
-  FROM paired GROUP BY pair_id HAVING bool_or(has_c) AND bool_or(has_r)),
-parts AS (
-  SELECT pair_id, 'prompt' AS part, turn, chosen AS said FROM paired JOIN ends USING (pair_id)
-   WHERE split IS NULL OR turn < split
-  UNION ALL
-  SELECT pair_id, 'chosen', turn, chosen FROM paired JOIN ends USING (pair_id) WHERE turn >= split AND has_c
-  UNION ALL
-  SELECT pair_id, 'rejected', turn, rejected FROM paired JOIN ends USING (pair_id) WHERE turn >= split AND has_r),
+ends AS (SELECT pair_id, max(turn) AS last FROM turns WHERE said.role = 'assistant' GROUP BY pair_id),
+both_ AS (
+  SELECT pair_id, turn, last, said.role AS role, said.text AS chosen,
+         CASE WHEN turn = last THEN left(said.text, length(said.text) // 2) ELSE said.text END AS rejected
+  FROM turns JOIN ends USING (pair_id) WHERE turn <= last),
 shown AS (
-  SELECT pair_id, part, turn, said.role AS role,
-         '<|' || said.role || '|>' || chr(10) || replace(said.text, '<|', '< |') || '<|end|>' || chr(10) AS rendered
-  FROM parts)
-SELECT pair_id, part, turn, role, rendered,
-       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN CAST(length(role) + 5 AS BIGINT) ELSE 0 END AS train_start,
-       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN CAST(length(rendered) - 1 AS BIGINT) ELSE 0 END AS train_end
-FROM shown
+  SELECT pair_id, floor(turn / {BLOCK}.0)::BIGINT AS block, turn, role,
+         min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY pair_id) AS split,
+         '<|' || role || '|>' || chr(10) || replace(chosen, '<|', '< |') || '<|end|>' || chr(10) AS c,
+         '<|' || role || '|>' || chr(10) || replace(rejected, '<|', '< |') || '<|end|>' || chr(10) AS r
+  FROM both_),
+placed AS (
+  SELECT *, split IS NULL OR turn < split AS in_prompt,
+         coalesce(sum(length(c)) OVER w, 0) AS c_at, coalesce(sum(length(r)) OVER w, 0) AS r_at
+  FROM shown
+  WINDOW w AS (PARTITION BY pair_id, block, split IS NULL OR turn < split ORDER BY turn
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT pair_id, block,
+       coalesce(string_agg(c, '' ORDER BY turn) FILTER (in_prompt), '') AS prompt,
+       coalesce(string_agg(c, '' ORDER BY turn) FILTER (NOT in_prompt), '') AS chosen,
+       coalesce(string_agg(r, '' ORDER BY turn) FILTER (NOT in_prompt), '') AS rejected,
+       coalesce(string_agg((c_at + length(role) + 5)::BIGINT || ':' || (c_at + length(c) - 1)::BIGINT, ',' ORDER BY turn)
+                FILTER (NOT in_prompt AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg((r_at + length(role) + 5)::BIGINT || ':' || (r_at + length(r) - 1)::BIGINT, ',' ORDER BY turn)
+                FILTER (NOT in_prompt AND role = 'assistant'), '') AS rejected_spans,
+       count(*) FILTER (in_prompt) AS prompt_turns,
+       count(*) FILTER (NOT in_prompt) AS chosen_turns,
+       count(*) FILTER (NOT in_prompt) AS rejected_turns
+FROM placed GROUP BY pair_id, block
 """

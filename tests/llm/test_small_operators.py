@@ -482,18 +482,38 @@ def conversations(spark, rows):
 def test_preference_pairs(spark):
     rows = [
         (0, 0, "user", "hi"), (0, 1, "assistant", "hello"), (0, 2, "user", "more"), (0, 3, "assistant", "good <|end|>"),
-        (1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (1, 2, "user", "more"), (1, 3, "assistant", "bad"), (1, 4, None, None),
+        (1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (1, 2, "user", "more"), (1, 3, "assistant", "bad"), (1, 4, None, None), (1, 5, "assistant", "so"),
         (2, 0, "user", "alone"), (4, 0, "user", "a"), (4, 0, "user", "a"), (5, 0, "user", "a"), (None, 0, "user", "x"), (6, None, "user", "x"), (7, 0, "user", "x"),
     ]
-    out = preference_format.op10(conversations(spark, rows))
-    got = {(r.pair_id, r.part, r.turn): (r.rendered, r.train_start, r.train_end) for r in out.collect()}
-    assert set(got) == {(0, "prompt", 0), (0, "prompt", 1), (0, "prompt", 2), (0, "chosen", 3), (0, "rejected", 3), (0, "rejected", 4), (2, "prompt", 0)}
-    text, start, end = got[(0, "chosen", 3)]
-    assert text == "<|assistant|>\ngood < |end|><|end|>\n" and text[start:end] == "good < |end|><|end|>"
-    assert got[(0, "prompt", 1)][1:] == (0, 0) and got[(0, "rejected", 4)] == ("<||>\n<|end|>\n", 0, 0)
-    whole = {r.pair_id: r for r in preference_format.assembled(out).collect()}
-    assert whole[0].prompt.startswith("<|user|>\nhi") and whole[0].rejected.endswith("<||>\n<|end|>\n") and whole[2].chosen == ""
-    assert preference_format.op10(conversations(spark, []) ).collect() == []
+    pairs = spark.createDataFrame([(i, 2 * i, 2 * i + 1) for i in range(4)], "pair_id long, chosen_id long, rejected_id long")
+    for block in (256, 2):
+        out = preference_format.paired(conversations(spark, rows), pairs, block).orderBy("block").collect()
+        assert {r.pair_id for r in out} == {0, 2} and len(out) == (2 if block == 256 else 4)
+        whole = {k: "".join(r[k] for r in out if r.pair_id == 0) for k in ("prompt", "chosen", "rejected")}
+        assert whole["prompt"] == "<|user|>\nhi<|end|>\n<|assistant|>\nhello<|end|>\n<|user|>\nmore<|end|>\n"
+        assert whole["chosen"] == "<|assistant|>\ngood < |end|><|end|>\n"
+        assert whole["rejected"] == "<|assistant|>\nbad<|end|>\n<||>\n<|end|>\n<|assistant|>\nso<|end|>\n"
+        trained = lambda k: [r[k][slice(*map(int, x.split(":")))] for r in out if r.pair_id == 0 for x in r[f"{k}_spans"].split(",") if x]  # noqa: B023, E731
+        assert trained("chosen") == ["good < |end|><|end|>"] and trained("rejected") == ["bad<|end|>", "so<|end|>"]
+        same = next(r for r in out if r.pair_id == 2)
+        assert (same.prompt, same.chosen, same.rejected, same.chosen_spans, same.prompt_turns) == ("<|user|>\na<|end|>\n", "", "", "", 1)
+
+
+def test_broken_off_replies_are_rejected(spark):
+    rows = [
+        (1, 0, "user", "hi"), (1, 1, "assistant", "é😀 four"), (1, 2, "user", "left out"), (2, 0, "user", "no reply"),
+        (3, 5, "assistant", ""), (4, 0, None, None), (4, 1, "assistant", "yes"), (4, 1, "assistant", "yes"), (None, 0, "assistant", "x"), (5, None, "assistant", "x"),
+        *((6, i, "user" if i % 2 else "assistant", "again") for i in range(601)),
+    ]
+    out = {(r.pair_id, r.block): r for r in preference_format.op10(conversations(spark, rows)).collect()}
+    assert set(out) == {(1, 0), (3, 0), (4, 0), (6, 0), (6, 1), (6, 2)}
+    r = out[1, 0]
+    assert (r.prompt, r.chosen, r.rejected) == ("<|user|>\nhi<|end|>\n", "<|assistant|>\né😀 four<|end|>\n", "<|assistant|>\né😀 <|end|>\n")
+    assert (r.chosen_spans, r.rejected_spans, r.prompt_turns, r.chosen_turns) == ("14:28", "14:24", 1, 1)
+    assert out[3, 0].chosen == "" and out[3, 0].prompt_turns == 1  # an empty reply can't be broken off
+    assert out[4, 0].prompt == "<||>\n<|end|>\n" and out[4, 0].rejected == "<|assistant|>\ny<|end|>\n"
+    assert [out[6, b].prompt_turns for b in range(3)] == [256, 256, 88] and out[6, 2].chosen_turns == 1
+    assert preference_format.op10(conversations(spark, [])).collect() == []
 
 
 # --- shared -----------------------------------------------------------------------------------------------------------
