@@ -23,6 +23,9 @@ KINDS = (*BASE, "iban", "ssn", "secret")
 ACCEPT = 60
 #: Code points before a span in which words count.
 NEAR = 40
+#: Values that are summed at once; sizes, in code points, in which long texts are cut up.
+PIECE, CHUNKS = 128, (1 << 22, 1 << 16, 1 << 10)
+_SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -104,39 +107,72 @@ def _valid(kind: str, x: Column, before: Column) -> Column:
     return F.lit(True)
 
 
+def _running(values: Column, step: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """What ``step`` gives, from 0 on, before each value of an int array and, last, after all: running sums or maxima.
+
+    An array grows by copying, so values are taken in pieces of ``PIECE``, the pieces' totals likewise, and so on: time
+    stays in proportion to the array.
+    """
+
+    def within(piece: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.array(first).alias("out"))
+
+        def more(s: Column, x: Column) -> Column:
+            return _let(step(s["at"], x), lambda at: F.struct(at.alias("at"), F.concat(s["out"], F.array(at)).alias("out")))
+
+        return F.aggregate(piece, state, more, lambda s: s["out"])
+
+    def split(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PIECE).cast("int"))
+        pieces = F.transform(starts, lambda i: F.slice(v, i * PIECE + 1, F.lit(PIECE)))
+        totals = F.transform(pieces, lambda piece: F.aggregate(piece, F.lit(0), step))
+        ahead = F.zip_with(pieces, _running(totals, step, levels - 1), lambda piece, first: F.slice(within(piece, first), 1, F.size(piece)))
+        return F.concat(F.flatten(F.filter(ahead, lambda x: x.isNotNull())), F.array(F.aggregate(v, F.lit(0), step)))
+
+    if levels == 1:
+        return within(values, F.lit(0))
+    return _let(values, lambda v: F.when(F.size(v) <= PIECE, within(v, F.lit(0))).otherwise(split(v)))
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """The confirmed spans of one pattern, in order."""
     kind = pattern.split()[-1]
     rank = F.lit(KINDS.index(kind))
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
+    none = F.array().cast(_SPANS)
     hits = F.regexp_extract_all(text, F.lit(PATTERNS[pattern]), F.lit(0))
     gaps = F.split(text, PATTERNS[pattern], -1)
 
     def located(both: Column) -> Column:
-        """Starts are running sums of the lengths of gaps and hits."""
-        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-
-        def step(so_far: Column, x: Column) -> Column:
-            start = so_far["at"] + F.length(x["gaps"])
-            return F.struct((start + F.length(x["hits"])).alias("at"), F.concat(so_far["starts"], F.array(start)).alias("starts"))
-
-        zipped = F.slice(F.arrays_zip(both["gaps"], both["hits"]), 1, F.size(both["hits"]))
-        return F.arrays_zip(both["gaps"], both["hits"], F.aggregate(zipped, state, step, lambda x: x["starts"]).alias("starts"))
+        """A hit starts after the gaps and hits before it and its own gap."""
+        lengths = F.zip_with(both["gaps"], both["hits"], lambda gap, hit: F.length(gap) + F.coalesce(F.length(hit), F.lit(0)))
+        return F.arrays_zip(both["gaps"], both["hits"], _running(lengths, lambda at, x: at + x).alias("before"))
 
     def confirmed(x: Column) -> Column:
-        span = F.struct(x["starts"].alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), (x["starts"] + F.length(x["hits"])).alias("end"))
+        start = x["before"] + F.length(x["gaps"])
+        span = F.struct(start.alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), (start + F.length(x["hits"])).alias("end"))
         return F.when(x["hits"].isNotNull() & _valid(pattern, x["hits"], x["gaps"]), span)
 
     gate = text.contains(GATES[pattern]) if len(GATES[pattern]) == 1 else text.rlike(GATES[pattern])
     return F.when(gate, F.array_compact(F.transform(_let(F.struct(hits.alias("hits"), gaps.alias("gaps")), located), confirmed))).otherwise(none)
 
 
+def _new(found: Column, known: Column, kind: str) -> Column:
+    """The spans of one kind that are not among the known ones; compared as whole numbers, which Spark hashes."""
+    number = lambda spans: F.transform(spans, lambda x: F.shiftleft(x["start"].cast("long"), 31) + x["end"])
+    same = F.filter(known, lambda x: x["kind"] == kind)
+    start = lambda x: F.shiftright(x, 31).cast("int").alias("start")
+    end = lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("end")
+    new = F.array_except(number(found), number(same))
+    return F.transform(new, lambda x: F.struct(start(x), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end(x)))
+
+
 def spans(text: Column) -> Column:
     """struct<base, all> of a text column; each an array<struct<start, rank, kind, end>> by start, then kind."""
     text = F.coalesce(text, F.lit(""))
     base = F.array_sort(F.concat(*(_spans(text, p) for p in BASE)))
-    added = F.concat(*(_spans(text, p) for p in PATTERNS if p not in BASE))
-    together = lambda b: F.struct(b.alias("base"), F.array_sort(F.array_union(b, added)).alias("all"))
+    added = [_spans(text, p) for p in PATTERNS if p not in BASE and p in KINDS]
+    inner = _spans(text, "inner card")
+    together = lambda b: F.struct(b.alias("base"), F.array_sort(F.concat(b, *added, _new(inner, b, "card"))).alias("all"))
     return _let(base, together)
 
 
@@ -145,17 +181,40 @@ def digest(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
+def _chunks(text: Column, sizes: tuple[int, ...] = CHUNKS) -> Column:
+    """The text in chunks of the last of ``sizes`` code points: a position in a long string is found by counting."""
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / sizes[0]).cast("int"))
+    cut = F.transform(starts, lambda i: F.substr(text, i * sizes[0] + 1, F.lit(sizes[0])))
+    return F.flatten(F.transform(cut, lambda x: _chunks(x, sizes[1:]))) if sizes[1:] else cut
+
+
+def _between(chunks: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end of a text in chunks."""
+    size = CHUNKS[-1]
+    number = lambda at: F.floor(at / size).cast("int")
+    first, last = number(start), number(end - 1)
+    within = F.substr(F.get(chunks, first), start % size + 1, end - start)
+    over = F.concat(
+        F.substr(F.get(chunks, first), start % size + 1), F.array_join(F.slice(chunks, first + 2, last - first - 1), ""),
+        F.substr(F.get(chunks, last), F.lit(1), end - last * size),
+    )
+    return F.when(start >= end, "").when(first == last, within).otherwise(over)
+
+
 def masked(text: Column, found: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans go together."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        more = F.concat(state["out"], F.substr(text, state["at"] + 1, x["start"] - state["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
-        fresh = x["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.when(fresh, more).otherwise(state["out"]).alias("out"))
 
-    done = F.aggregate(found, start, step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    def replaced(x: Column) -> Column:
+        """before: the end of all spans before each."""
+        before = _running(F.transform(x["found"], lambda s: s["end"]), lambda at, end: F.greatest(at, end))
+        placed = F.zip_with(x["found"], F.slice(before, 1, F.size(x["found"])), lambda s, b: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), b.alias("before")))
+        fresh = F.filter(placed, lambda s: s["start"] >= s["before"])
+        parts = F.transform(fresh, lambda s: F.concat(_between(x["chunks"], s["before"], s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        tail = _let(F.array_max(F.transform(x["found"], lambda s: s["end"])), lambda end: _between(x["chunks"], end, x["length"]))
+        return F.concat(F.array_join(parts, ""), tail)
+
+    whole = F.struct(_chunks(text).alias("chunks"), found.alias("found"), F.length(text).alias("length"))
+    return F.when(F.size(found) > 0, _let(whole, replaced)).otherwise(text)
 
 
 def detected(docs: DataFrame, text_col: str = "text", into: str = "pii") -> DataFrame:

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -265,6 +266,41 @@ def test_pii_validators_context_and_masks(spark):
     assert rows[2] == "" and rows[3] == "clean text 1.2.3"
 
 
+def test_pii_in_long_texts(spark):
+    """A text of a megabyte with 300,000 numbers, and long ones full of spans: minutes, if time grew with the square."""
+    rng = random.Random(4)
+    texts = [
+        (1, " ".join(str(rng.randrange(100, 999)) for _ in range(300_000))), (2, "x 10.0.0.1 é, " * 40_000),
+        (3, "a@b.c +1 555 123 4567 " * 20_000), (4, "4111111111111111 and 4845168114407329;" * 15_000), (5, "é" * 3_000_000 + " a@b.c " + "😀" * 5000),
+    ]
+    began = time.time()
+    spans = F.col("found")["all"]
+    found = pii.detected(documents(spark, texts), into="found").select("doc_id", pii.digest(F.col("found.base")).alias("d"), pii.masked(F.col("text"), spans).alias("m"))
+    got = {r.doc_id: r for r in found.collect()}
+    assert time.time() - began < 120
+    for i, t in texts:
+        assert got[i].d == ",".join(brute_pii(t))
+    assert got[1].m == texts[0][1] and got[2].m == "x <IP> é, " * 40_000 and got[3].m == "<EMAIL> <PHONE> " * 20_000
+    assert got[4].m == "<CARD> and <CARD>;" * 15_000 and got[5].m == texts[4][1].replace("a@b.c", "<EMAIL>")
+
+
+def test_overlapping_spans_are_masked_together(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice("aé😀 .") for _ in range(rng.choice([5, 1023, 1024, 1025, 5000])))
+        starts = sorted(rng.randrange(len(text)) for _ in range(rng.choice([1, 3, 300])))
+        rows.append((i, text, [(a, 0, "ip", min(len(text), a + rng.randrange(1, 40))) for a in starts]))
+    df = spark.createDataFrame(rows, f"id int, text string, found {pii._SPANS}")
+    got = {r.id: r.m for r in df.select("id", pii.masked(F.col("text"), F.col("found")).alias("m")).collect()}
+    for i, text, found in rows:
+        out, at = "", 0
+        for a, _, _, b in found:
+            out += text[at:a] + "<IP>" if a >= at else ""
+            at = max(at, b)
+        assert got[i] == out + text[at:]
+
+
 def test_native_plans(spark):
     for df in (pii.op2(documents(spark, EDGES)), preference_format.op10(conversations(spark, [(0, 0, "user", "a")]))):
         assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
