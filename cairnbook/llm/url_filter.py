@@ -3,15 +3,17 @@
 Level 0 encodes the listed keys. Of the corpus's complete key universe, the unlisted keys that pass it (its false
 positives) are encoded in level 1; the listed keys that pass level 1 in level 2; and so on, until a level has no false
 positives. A key's first level that it does not pass then tells membership exactly, for every key of the universe,
-without a join: the levels are short binary literals in the plan.
+without a join.
 
-Keys are a host and its parent domains, so a listed domain blocks its subdomains. Level 0 is sized so that it lets about
-as many false positives through as there are listed keys; the levels are then a few bytes a listed key, whatever the
-size of the corpus. Lists of more than ``LARGEST`` keys are joined instead.
+A level's bits are set on the executors, in words of 32 that an aggregation joins; what the driver gets of a level is one
+binary value of a bit for each bit, which goes into the plan once. Level 0 is sized so that it lets about as many false
+positives through as there are listed keys, so all levels together are a few bytes a listed key, whatever the size of the
+corpus. Lists of more than ``LARGEST`` keys (levels of about 10 MB) are joined by host instead, with the same result.
 
-Rules (allow or block, by host and path prefix) come first: the longest that fits decides. Null urls and urls without
-"://" have an empty host and path: no rule fits, no key is listed, they are allowed. Repeated pages are judged each;
-an empty list or table gives no blocks. Other columns pass through.
+Keys are a host and its parent domains, so a listed domain blocks its subdomains. Rules (allow or block, by host and
+path prefix) come first: the longest that fits decides. Null urls and urls without "://" have an empty host and path: no
+rule fits, no key is listed, they are allowed. Repeated pages are judged each; an empty list or table gives no blocks.
+Columns named host, path, rule or verdict are replaced; other columns pass through.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, free_name
 
 #: (verdict, host, path)
 RULES = (
@@ -33,8 +35,9 @@ RULES = (
 )
 #: Names known for spam, under each of the three domains.
 NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-LISTED = tuple(f"{name}.example.{top}" for name in NAMES for top in ("com", "net", "org"))
-LARGEST = 1_000_000
+#: Numbered mirrors of each name that are listed too.
+MIRRORS = 1000
+LARGEST = 4_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,26 +70,35 @@ def keys_of(host: Column) -> Column:
 
 
 class Level:
-    """One Bloom filter: ``k`` positions a key in a string of one byte a bit."""
+    """One Bloom filter: ``k`` positions a key in ``size`` bits, in words of 32 bits, high bytes first."""
 
     def __init__(self, number: int, size: int, k: int):
-        self.number, self.size, self.k, self.bits = number, size, k, bytes(size)
+        self.number, self.words, self.k, self.bits = number, -(-size // 32), k, b""
+        self.size = 32 * self.words
 
     def positions(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(self.number), F.lit(j), key), F.lit(self.size)).cast("int") for j in range(self.k)]
+        return [F.pmod(F.xxhash64(F.lit(self.number), F.lit(j), key), F.lit(self.size)) for j in range(self.k)]
 
     def fill(self, keys: DataFrame) -> None:
-        """keys has as many rows as the level was sized for, at most; only their bit positions come to the driver."""
-        bits = bytearray(self.size)
-        for row in keys.select(F.explode(F.array(*self.positions(F.col("key")))).alias("p")).distinct().collect():
-            bits[row.p] = 1
-        self.bits = bytes(bits)
+        """Sets the keys' bits: an aggregation of (word, bits), brought together as one value of size / 8 bytes."""
+        at = keys.select(F.explode(F.array(*self.positions(F.col("key")))).alias("at"))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 32).cast("int"))
+        words = at.select(F.floor(F.col("at") / 32).alias("word"), one.alias("bits"))
+        words = words.unionByName(keys.sparkSession.range(self.words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits")))
+        words = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        shown = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: F.lpad(F.hex(x["bits"]), 8, "0"))
+        self.bits = bytes(words.agg(F.unhex(F.array_join(shown, "")).alias("bits")).first().bits)
 
     def passes(self, key: Column) -> Column:
-        out = F.lit(True)
-        for p in self.positions(key):
-            out = out & (F.substr(F.lit(self.bits), p + 1, F.lit(1)) == F.lit(b"\x01"))
-        return out
+        def all_set(bits: Column) -> Column:
+            out = F.lit(True)
+            for p in self.positions(key):
+                byte = F.floor(p / 32) * 4 + 3 - F.floor(p % 32 / 8)
+                value = F.ascii(F.decode(F.substr(bits, (byte + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+                out = out & (F.call_function("shiftright", value, (p % 8).cast("int")) % 2 == 1)
+            return out
+
+        return F.transform(F.array(F.lit(self.bits)), all_set)[0]
 
 
 def build(listed: DataFrame, universe: DataFrame, scratch: Scratch) -> list[Level]:
@@ -121,23 +133,30 @@ def filtered(spark: SparkSession, pages: DataFrame, listed: DataFrame, url_col:
     hosts = pages.select(host_of(url).alias("host")).distinct()
     universe = scratch.keep(hosts.select(F.explode(keys_of(F.col("host"))).alias("key")).distinct(), "universe")
     listed = listed.select("key").distinct()
+    own, ruled = free_name(pages, "_listed"), free_name(pages, "_rule")
     out = pages.withColumns({"host": host_of(url), "path": path_of(url)})
-    rule = rule_of(F.col("host"), F.col("path"), rules)
     if listed.count() <= LARGEST:
         levels = build(listed, universe, scratch)
         bad = F.exists(keys_of(F.col("host")), lambda key: member(key, levels)) if levels else F.lit(False)
     else:
         blocked = hosts.select("host", F.explode(keys_of(F.col("host"))).alias("key")).join(listed, "key", "left_semi")
-        out = out.join(blocked.select("host", F.lit(True).alias("_listed")).distinct(), "host", "left")
-        bad = F.coalesce("_listed", F.lit(False))
-    out = out.withColumn("_rule", rule).withColumn("_bad", bad)
-    verdict = F.coalesce(F.col("_rule")["verdict"], F.when(F.col("_bad"), "block").otherwise("allow"))
-    return out.withColumns({"rule": F.col("_rule")["rule"], "verdict": verdict}).drop("_rule", "_bad", "_listed")
+        out = out.join(blocked.select("host", F.lit(True).alias(own)).distinct(), "host", "left")
+        bad = F.coalesce(own, F.lit(False))
+    out = out.withColumns({ruled: rule_of(F.col("host"), F.col("path"), rules), own: bad})
+    verdict = F.coalesce(F.col(ruled)["verdict"], F.when(F.col(own), "block").otherwise("allow"))
+    return out.withColumns({"rule": F.col(ruled)["rule"], "verdict": verdict}).drop(ruled, own)
+
+
+def known_spam(spark: SparkSession) -> DataFrame:
+    """The query's list (key): each of ``NAMES``, bare and with the numbers up to ``MIRRORS``, under three domains."""
+    each = lambda values, name: F.explode(F.array(*map(F.lit, values))).alias(name)
+    rows = spark.range(MIRRORS + 1).select("id", each(NAMES, "name")).select("id", "name", each(("com", "net", "org"), "top"))
+    number = F.when(F.col("id") > 0, F.col("id").cast("string")).otherwise("")
+    return rows.select(F.concat("name", number, F.lit(".example."), "top").alias("key"))
 
 
 def op4(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
-    return filtered(spark, pages.select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
+    return filtered(spark, pages.select("page_id", "url"), known_spam(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
 OP4_SQL = """
@@ -149,11 +168,14 @@ WITH parts AS (
   FROM pages),
 rules(verdict, h, p) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'),
                                 ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
-listed AS (SELECT n || '.example.' || t AS h
+listed AS (SELECT n || CASE WHEN m > 0 THEN m::VARCHAR ELSE '' END || '.example.' || t AS h
            FROM unnest(['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) a(n),
-                unnest(['com', 'net', 'org']) b(t))
+                unnest(['com', 'net', 'org']) b(t), range(0, 1001) c(m)),
+named AS (SELECT host, unnest(list_transform(range(1, len(labels) + 1), i -> array_to_string(labels[i:], '.'))) AS h
+          FROM (SELECT DISTINCT host, string_split(host, '.') AS labels FROM parts)),
+spam AS (SELECT DISTINCT host FROM named JOIN listed USING (h))
 SELECT page_id, host, path, best.rule AS rule,
-       coalesce(best.verdict, CASE WHEN EXISTS (SELECT 1 FROM listed WHERE host = h OR ends_with(host, '.' || h))
+       coalesce(best.verdict, CASE WHEN host IN (SELECT host FROM spam)
                                    THEN 'block' ELSE 'allow' END) AS verdict
 FROM (SELECT *, (SELECT max({'size': length(h || p), 'rule': h || p, 'verdict': verdict}) FROM rules
                  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS best FROM parts)

@@ -320,7 +320,7 @@ def test_url_filter(spark):
     assert url_filter.op4(spark, pages.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("listed", [0, 1, 40, 500])
+@pytest.mark.parametrize("listed", [0, 1, 40, 2900])
 def test_cascade_is_exact(spark, listed):
     universe = spark.range(3000).selectExpr("concat('k', id) as key")
     chosen = universe.where(f"cast(substring(key, 2) as int) < {listed}")
@@ -329,6 +329,23 @@ def test_cascade_is_exact(spark, listed):
     assert sorted(r.key for r in found.collect()) == sorted(r.key for r in chosen.collect())
 
 
+def test_columns_of_a_level(spark):
+    """The bits are those that the keys' positions name, and only one value of them comes to the driver."""
+    keys = spark.range(300).selectExpr("concat('k', id) as key")
+    level = url_filter.Level(0, 5000, 3)
+    level.fill(keys)
+    at = {r.at for r in keys.select(F.explode(F.array(*level.positions(F.col("key")))).alias("at")).collect()}
+    assert len(level.bits) * 8 == level.size >= 5000
+    assert at == {i for i in range(level.size) if level.bits[i // 32 * 4 + 3 - i % 32 // 8] >> i % 8 & 1}
+
+
+def test_urls_keep_other_columns(spark):
+    pages = spark.createDataFrame([(1, "http://www.spam-farm7.example.org/x", "a", "b"), (2, None, None, None)], "page_id long, url string, _rule string, _listed string")
+    out = url_filter.filtered(spark, pages, url_filter.known_spam(spark))
+    assert out.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    assert {(r.page_id, r._rule, r._listed, r.verdict) for r in out.collect()} == {(1, "a", "b", "block"), (2, None, None, "allow")}
+
+
 def test_long_list_is_joined(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "LARGEST", 1)
     pages = spark.createDataFrame([(1, "http://www.spam-farm.example.org/x"), (2, "http://ok.com/x"), (3, None)], "page_id long, url string")
