@@ -171,7 +171,7 @@ rules(verdict, h, p) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com
 listed AS (SELECT n || CASE WHEN m > 0 THEN m::VARCHAR ELSE '' END || '.example.' || t AS h
            FROM unnest(['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) a(n),
                 unnest(['com', 'net', 'org']) b(t), range(0, 1001) c(m)),
-named AS (SELECT host, unnest(list_transform(range(1, len(labels) + 1), i -> array_to_string(labels[i:], '.'))) AS h
+named AS (SELECT host, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS h
           FROM (SELECT DISTINCT host, string_split(host, '.') AS labels FROM parts)),
 spam AS (SELECT DISTINCT host FROM named JOIN listed USING (h))
 SELECT page_id, host, path, best.rule AS rule,
