@@ -499,15 +499,34 @@ def brute_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize("large", [20_000, 2])
-def test_repeats_against_brute_force(spark, large):
+def brute_passages(texts, n):
+    """Words of each text inside n words in a row that stand twice or more in all the texts together."""
+    split = [re.findall(r"[^ \t-\r]+", t or "") for t in texts]
+    count = collections.Counter(tuple(ws[i : i + n]) for ws in split for i in range(len(ws) - n + 1))
+    return [len({j for i in range(len(ws) - n + 1) if count[tuple(ws[i : i + n])] > 1 for j in range(i, i + n)}) for ws in split]
+
+
+@pytest.mark.parametrize(("large", "slab"), [(20_000, 1 << 22), (2, 1 << 22), (20_000, 100)])
+def test_repeats_against_brute_force(spark, large, slab, monkeypatch):
     passage = " ".join(words(60, 5))
     texts = [None, "", "ab" * 300, "é" * 90 + "q" + "é" * 90, "x" * 2000, passage, *(" ".join(words(20, i)) + passage[: 80 + 20 * i] + " ".join(words(15, 50 + i)) for i in range(12))]
-    texts += [texts[-1], texts[-1].replace("a", "b", 1)]
+    texts += [texts[-1], texts[-1].replace("a", "b", 1), "so it goes and " * 9, *(f"start{i}  " + " \t".join("abcdefghijk") + f"\nend{i}" for i in range(3))]
     ids = [*range(len(texts) - 1), None]
     docs = spark.createDataFrame([(i, t, 0) for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, start int")
-    got = repeat_spans.without_repeats(spark, docs, window=60, gram=16, large=large).collect()
-    assert sorted(repr((i, *b)) for i, b in zip(ids, brute_repeats(texts, 60), strict=True)) == sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got)
+    if slab < 1000:  # single texts, so that the slabs' workers see the size too
+        for data in (t.encode() for t in texts if t and len(t) > 60):
+            monkeypatch.setattr(repeat_spans, "SLAB", slab)
+            values = rolling.BYTE[np.frombuffer(data, np.uint8)]
+            starts = []
+            for at, piece, own in repeat_spans._slabs(values, np.array([0, len(values)]), 60):
+                _, first, last, _ = repeat_spans.anchors(len(piece), own, repeat_spans.Hashes(piece), 60, 16)
+                starts += [at + x for f, z in zip(first, last, strict=True) for x in range(f, z + 1)]
+            assert starts == list(range(len(data) - 59))
+        return
+    got = repeat_spans.without_repeats(spark, docs, window=60, gram=16, passage=9, passage_gram=3, large=large).collect()
+    want = zip(ids, brute_repeats(texts, 60), brute_passages(texts, 9), strict=True)
+    assert sorted(repr((i, *b, n)) for i, b, n in want) == sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_words)) for r in got)
+    assert any(r.n_passage_words and not r.n_removed for r in got)
     assert repeat_spans.op9(spark, docs.limit(0)).collect() == []
 
 
@@ -517,7 +536,7 @@ def test_columns_find_common_windows():
         m, back = rng.randrange(2, 12), rng.randrange(0, 6)
         backs = [rng.randrange(0, back + 1) for _ in range(m)]
         contents = [bytes(rng.choice(b"ab") for _ in range(b + rng.randrange(1, 12))) for b in backs]
-        found = repeat_spans.sorted_columns(contents, np.array(backs), 5)
+        found = repeat_spans.sorted_columns(repeat_spans.symbols_of(contents, False), np.array(backs), 5)
         for i, (x, b) in enumerate(zip(contents, backs, strict=True)):
             for j in range(found.shape[1]):
                 mine = x[b - j : b - j + 5] if b >= j else b""
