@@ -435,6 +435,67 @@ def test_templates_are_judged_on_all_pages(spark):
     assert {r.page_id: r.text for r in out.collect()} == {i: " ".join(words(40, i % 100)) + licence(i) for i, _, _ in rows}
 
 
+def nameless(html):
+    """A page whose tags and classes tell nothing about its parts."""
+    return re.sub(r' class="[^"]*"', "", re.sub(r"<(/?)(?:article|nav|footer|header|section|aside|main)\b[^>]*>", r"<\1div>", html or ""))
+
+
+def test_wrapper_without_telling_names(spark):
+    def page(i):
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words(6, i))
+        notice = f"<div>{' '.join(words(5, 200 + i))}</div>" * (i % 3 > 0)  # varies, and not on all pages
+        text = f"<h2>{' '.join(words(3, 300 + i))}</h2>" + "".join(f"<p>{' '.join(words(25, 400 + 10 * i + k))}</p>" for k in range(3 + i % 2))
+        also = "<ul><li><a href='/a'>Read the first of these</a></li></ul>"
+        return f"<body><div>Welcome to the site</div><div><ul>{menu}</ul></div>{notice}<div>{text}{also}</div><div>{' '.join(words(4, 600 + i))}</div></body>"
+
+    want = {i: "\n\n".join([" ".join(words(3, 300 + i)), *(" ".join(words(25, 400 + 10 * i + k)) for k in range(3 + i % 2))]) for i in range(24)}
+    rows = [(i, "http://h/", page(i)) for i in range(24)] + [(100, "http://one.page/", page(0))]
+    got = {r.page_id: r.text for r in html_extract.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i: got[i] for i in want} == want
+    assert got[100].startswith("Welcome to the site")  # one page shows no slots
+
+
+def test_wrapper_finds_what_names_tell(spark, folder):
+    """On the test pages the content found without any telling name is the one that their markup names."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    rows = [(r.page_id, "http://h/", nameless(r.html)) for r in pages]
+    got = {r.page_id: r.text for r in html_extract.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    named = {r.page_id: html_extract.main_text(r.html) for r in pages}
+    bare = {i: html_extract.main_text(h) for i, _, h in rows}
+    assert sum(got[i] == named[i] for i in named) >= 0.9 * len(named) and not any(bare[i] == named[i] for i in named)
+
+
+def brute_match(a, b):
+    """The largest mapping of two trees with equal roots, by trying every choice of child pairs in order."""
+    if a.tag != b.tag:
+        return 0
+    own = 1 + sum(x.text == y.text for x, y in zip(a.blocks, b.blocks, strict=False))
+    n, m, most = len(a.children), len(b.children), 0
+    for k in range(min(n, m) + 1):
+        for left in itertools.combinations(range(n), k):
+            for right in itertools.combinations(range(m), k):
+                most = max(most, sum(brute_match(a.children[i], b.children[j]) for i, j in zip(left, right, strict=True)))
+    return own + most
+
+
+def test_tree_matching_against_brute_force():
+    rng = random.Random(8)
+
+    def grow(depth):
+        node = html_extract.Node(rng.choice("xy"))
+        node.blocks = [html_extract.Block(rng.choice("pq"), False, (), (), False, False)] if rng.random() < 0.6 else []
+        node.children = [grow(depth - 1) for _ in range(rng.randrange(4))] if depth else []
+        return node
+
+    for _ in range(300):
+        a, b = grow(2), grow(2)
+        b.tag = a.tag
+        size, pairs = html_extract.match(a, b)
+        assert size == brute_match(a, b) == html_extract.match(b, a)[0]
+        assert len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == len(pairs)
+        assert size == len(pairs) + sum(x.text == y.text for x, y in html_extract.slots(pairs))
+
+
 # --- 8: packing -------------------------------------------------------------------------------------------------------
 
 
