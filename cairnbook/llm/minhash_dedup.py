@@ -4,12 +4,18 @@ A document's set is the hashes of its distinct 5-word shingles (ASCII letters lo
 sequence is its one shingle. One hash function serves all: the k smallest values of a set are its sketch.
 
 1. Documents with equal sets form a class, at no cost in pairs; from here on classes are compared.
-2. Inverted lists: each class is listed under its smallest retained values; lists of up to ``hot`` classes generate
-   pairs, and how often a pair meets is its overlap, which must be a quarter of what the one with fewer such values has. A value of more than ``hot`` sketches is hot (a passage that many
-   documents share, or a large group of near copies) and generates no pairs of this kind.
-3. Classes with more than a quarter of hot values could miss pairs that way. They are listed under their smallest hot
-   values too (of two texts similar enough, one with less has a partner with cool values to spare); such a list, of any length, is dealt by hash into blocks, each pair of blocks is one small task with both blocks' texts, and
-   a task compares all its full sets at once and returns a spanning forest of the links it finds.
+2. Inverted lists: each class is listed under its smallest retained values; lists of up to ``HOT`` classes generate
+   pairs, and how often a pair meets is its overlap, which must be a quarter of what the one with fewer such values has.
+   A value of more than ``HOT`` sketches is hot (a passage that many documents share, or a large group of near copies)
+   and generates no pairs of this kind.
+3. Classes with more than a quarter of hot values (warm) could miss each other that way. They get sketches of ``WIDE``
+   values and are listed again, under the smallest of these that are not hot: texts that share a long passage meet by
+   what else they say. What then has fewer than ``VERY_HOT`` percent of values that are not hot is part of a large group of near
+   copies, and is listed under its smallest hot values. In such a list, a few pivots (first those with the fewest values
+   of their own: the original of a group of copies has none) are compared with all members, and never need to be again;
+   members that are not alike enough to the first pivot can't be linked with what is linked to it, as one minus the
+   similarity is a distance, so the list is split; lists that have become one component are done. Lists of up to
+   ``BLOCK`` classes are compared whole in one task; so are, block by block, lists that pivots don't shorten.
 4. The union of two sketches estimates the similarity of a pair; pairs well below the threshold go.
 5. Whole texts decide: 100 * intersection >= percent * union, on the full sets.
 6. Components of the links by alternating large-star and small-star steps.
@@ -26,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -38,9 +44,11 @@ SHINGLE = 5
 PERCENT = 85
 #: Values retained in a sketch; of these, how many list a class; longest list that generates pairs.
 SKETCH, LISTED, HOT = 32, 24, 64
-#: Share of hot values, in percent, above which a class is also listed under its smallest values and its smallest hot
-#: ones, how many of each, and classes in a block of such a list.
-PARTLY_HOT, HOT_LISTED, BLOCK = 25, 6, 256
+#: Share of hot values, in percent, above which a class is warm; values in the sketch of a warm class, and how many of
+#: those that are not hot list it; share of such values, in percent, below which it is also listed under hot ones.
+PARTLY_HOT, WIDE, WIDE_LISTED, VERY_HOT = 25, 256, 48, 30
+#: Of a list of hot values: values that list a class, classes in a block, pivots of a round.
+HOT_LISTED, BLOCK, PIVOTS = 5, 256, 4
 #: A pair goes on if its estimate is at most this much below the threshold (over 4.5 standard errors of the estimate).
 SLACK = 0.3
 
@@ -99,9 +107,18 @@ def _compare(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(common, pa.int64()), pa.array(united, pa.int64())], ["common", "united"])
 
 
-def estimate(a: Column, b: Column) -> Column:
+@arrow_udf(T.ArrayType(T.LongType()))
+def _wide(texts: pa.Array) -> pa.Array:
+    """The ``WIDE`` smallest values of each text's set."""
+    sketches = [own[:WIDE] for own in sets_of(texts)]
+    ends = np.cumsum([0, *map(len, sketches)])
+    values = np.concatenate([np.zeros(0, np.int64), *sketches])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+
+
+def estimate(a: Column, b: Column, size: int = SKETCH) -> Column:
     """The share of the smallest values of the union of two sketches that both hold."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
@@ -148,13 +165,13 @@ def _linked(percent: int) -> Column:
     return F.col("common") * 100 >= F.col("united") * percent
 
 
-def _pairs_of_lists(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of classes that share enough lists."""
+def _pairs_of_lists(listed: DataFrame, percent: int, share: int = 4) -> DataFrame:
+    """Pairs (a < b) of classes that share enough lists: one of ``share`` of those that the one in fewer is in."""
     left = listed.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("listed").alias("l_a"))
     right = listed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("listed").alias("l_b"))
     met = left.join(right, "value").where((F.col("a") < F.col("b")) & _sized(percent=percent))
     met = met.groupBy("a", "b").agg(F.count("*").alias("overlap"), F.first("l_a").alias("l_a"), F.first("l_b").alias("l_b"))
-    return met.where(F.col("overlap") * 4 >= F.least("l_a", "l_b")).select("a", "b")
+    return met.where(F.col("overlap") * share >= F.least("l_a", "l_b")).select("a", "b")
 
 
 def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -192,11 +209,11 @@ def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple
     return out
 
 
-def _links_of_hot(hot_lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links_in_blocks(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links among classes in one list of any length, block by block."""
-    sizes = hot_lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    sizes = lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = hot_lists.join(sizes, "value").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    dealt = lists.join(sizes, "value").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     dealt = dealt.select("value", "id", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = dealt.select("value", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
@@ -210,12 +227,82 @@ def _links_of_hot(hot_lists: DataFrame, texts: DataFrame, percent: int) -> DataF
     return dealt.join(texts, "id").groupBy("value", "low", "high").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+SALTS = 16
+
+
+def _against_pivots(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (pivot, id) with the sizes of intersection and union; a pivot's text goes to ``SALTS`` tasks, as it has many."""
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    left = texts.join(pairs.select(F.col("pivot").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("pivot"), F.col("text").alias("text_a"), salt)
+    both = pairs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(texts, "id").join(left, ["pivot", "salt"])
+    return both.select("pivot", "id", _compare("text_a", "text").alias("c")).groupBy("pivot", "id").agg(F.max("c").alias("c")).select("pivot", "id", "c.*")
+
+
+def _links_of_hot(lists: DataFrame, texts: DataFrame, known: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Links (a, b) that join up the classes of lists of any length (value, id, own: how many values it has that are not
+    hot); known: links among them that are already found."""
+    links, rest, before, step = known, [], None, 0
+    while True:
+        labels = scratch.keep(components(links, scratch), f"labels-{step}")
+        state = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        sizes = state.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
+        sizes = scratch.keep(sizes.where("low < high").select("value", "members"), f"sizes-{step}")
+        state = scratch.keep(state.join(sent_if_small(sizes), "value"), f"state-{step}")
+        long = state.where(F.col("members") > BLOCK)
+        now = long.count()
+        stuck = before is not None and now > before * 0.75
+        rest.append(state.where(F.lit(True) if stuck else F.col("members") <= BLOCK).select("value", "id"))
+        if stuck or not now:
+            break
+        before, step = now, step + 1
+        order = [F.col("own"), F.xxhash64("id")]
+        if step % 2 == 0:  # now those that few others are linked with
+            alone = long.groupBy("value", "component").agg(F.count("*").alias("with"))
+            long, order = long.join(alone, ["value", "component"]), [F.col("with"), *order]
+        rank = F.row_number().over(Window.partitionBy("value").orderBy(*order))
+        pivots = long.withColumn("rank", rank).where(F.col("rank") <= PIVOTS)
+        pivots = scratch.keep(pivots.select("value", F.col("id").alias("pivot"), F.col("component").alias("of"), "rank"), f"pivots-{step}")
+        met = long.join(sent_if_small(pivots), "value").where((F.col("id") != F.col("pivot")) & ((F.col("rank") == 1) | (F.col("component") != F.col("of"))))
+        compared = scratch.keep(_against_pivots(met.select("pivot", "id").distinct(), texts), f"compared-{step}")
+        found = compared.where(_linked(percent)).select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+        links = scratch.keep(links.unionByName(found).distinct(), f"hot-links-{step}")
+        # split the lists by their first pivots; pivots are done
+        first = pivots.where("rank = 1").select("value", "pivot")
+        left = long.select("value", "id", "own").join(pivots.select("value", F.col("pivot").alias("id")), ["value", "id"], "left_anti")
+        placed = left.join(sent_if_small(first), "value").join(compared, ["pivot", "id"])
+        near = F.col("common") * 100 >= F.col("united") * (2 * percent - 100)
+        placed = scratch.keep(placed.select("value", "id", "own", _linked(percent).alias("linked"), near.alias("near")), f"placed-{step}")
+        counts = placed.groupBy("value").agg(F.count_if("linked").alias("n_linked"), F.count_if(~F.col("near")).alias("n_far"))
+        both = placed.join(sent_if_small(counts), "value")
+        close = both.where("near and n_linked > 0").select(F.xxhash64("value", F.lit(2 * step)).alias("value"), "id", "own")
+        apart = both.where("not linked and (n_linked = 0 or n_far > 0)").select(F.xxhash64("value", F.lit(2 * step + 1)).alias("value"), "id", "own")
+        lists = scratch.keep(close.unionByName(apart), f"lists-{step}")
+    for lists in rest:
+        links = links.unionByName(_links_in_blocks(lists, texts, percent))
+    return links.distinct()
+
+
+def _estimated(pairs: DataFrame, reps: DataFrame, percent: int, size: int = SKETCH) -> DataFrame:
     """The pairs whose sketches leave the threshold possible."""
     left = reps.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     right = reps.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(estimate(F.col("sketch_a"), F.col("sketch_b")) >= percent / 100 - SLACK).select("a", "b")
+    return both.where(estimate(F.col("sketch_a"), F.col("sketch_b"), size) >= percent / 100 - SLACK).select("a", "b")
+
+
+def _hot_values(sketches: DataFrame) -> DataFrame:
+    return sketches.select(F.explode("sketch").alias("value")).groupBy("value").count().where(F.col("count") > HOT).select("value")
+
+
+def _cool(values: DataFrame, hot: DataFrame) -> DataFrame:
+    """(id, n, cool): the values of each class (id, n, value) that are not hot, in order."""
+    return values.join(hot, "value", "left_anti").groupBy("id", "n").agg(F.array_sort(F.collect_list("value")).alias("cool"))
+
+
+def _listed(cool: DataFrame, most: int) -> DataFrame:
+    """(value, id, n, listed): the classes under their ``most`` smallest values that are not hot."""
+    own = F.slice("cool", 1, most)
+    return cool.select(F.explode(own).alias("value"), "id", "n", F.size(own).alias("listed"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -230,27 +317,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     reps = sig.join(classes, keyed).where("id = rep").select("id", F.col("n_shingles").alias("n"), "sketch")
     reps = scratch.keep(reps, "reps")
 
-    hot = reps.select(F.explode("sketch").alias("value")).groupBy("value").count().where(F.col("count") > HOT)
-    hot = scratch.keep(hot.select("value"), "hot")
-    smallest = reps.select("id", "n", F.slice("sketch", 1, LISTED).alias("listed"))
-    cool = smallest.select("id", "n", F.explode("listed").alias("value")).join(hot, "value", "left_anti")
-    cool = scratch.keep(cool.groupBy("id", "n").agg(F.collect_list("value").alias("cool")), "cool")  # LISTED values at most
-    listed = cool.select(F.explode("cool").alias("value"), "id", "n", F.size("cool").alias("listed"))
-    pairs = _estimated(_pairs_of_lists(listed, percent), reps, percent)
+    hot = scratch.keep(_hot_values(reps), "hot")
+    listed = F.slice("sketch", 1, LISTED)
+    cool = scratch.keep(_cool(reps.select("id", "n", F.explode(listed).alias("value")), hot), "cool")
+    pairs = _estimated(_pairs_of_lists(_listed(cool, LISTED), percent), reps, percent)
     pairs = scratch.keep(pairs, "pairs")
 
-    warm = reps.join(cool.select("id", "cool"), "id", "left").withColumn("listed", F.slice("sketch", 1, LISTED))
-    warm = warm.withColumn("hot", F.array_except("listed", F.coalesce("cool", F.array().cast("array<long>"))))
-    warm = warm.where(F.size("hot") * 100 > F.size("listed") * PARTLY_HOT)
-    values = F.array_union(F.slice("listed", 1, HOT_LISTED), F.slice("hot", 1, HOT_LISTED))
-    warm = scratch.keep(warm.select("id", values.alias("values")), "warm")
-    members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(warm.select("id")).distinct()
+    none = F.array().cast("array<long>")
+    warm = reps.select("id", "n", F.size(listed).alias("listed")).join(cool, ["id", "n"], "left")
+    warm = warm.where((F.col("listed") - F.size(F.coalesce("cool", none))) * 100 > F.col("listed") * PARTLY_HOT)
+    warm = sent_if_small(scratch.keep(warm.select("id").distinct(), "warm"))
+    wide = source.join(warm, "id", "left_semi").select("id", _wide("text").alias("sketch")).where(F.size("sketch") > 0)
+    wide = scratch.keep(wide.join(sig.select("id", F.col("n_shingles").alias("n")).distinct(), "id"), "wide")
+    hot = scratch.keep(_hot_values(wide), "wide-hot")
+    cool = scratch.keep(_cool(wide.select("id", "n", F.explode("sketch").alias("value")), hot), "wide-cool")
+    met = scratch.keep(_pairs_of_lists(_listed(cool, WIDE_LISTED), percent, share=8), "met")
+    pairs = scratch.keep(pairs.unionByName(_estimated(met, wide, percent, WIDE)).distinct(), "all-pairs")
+
+    very = wide.join(cool, ["id", "n"], "left").withColumn("cool", F.coalesce("cool", none))
+    very = very.where(F.size("cool") * 100 < F.size("sketch") * VERY_HOT)
+    values = F.slice(F.array_except("sketch", "cool"), 1, HOT_LISTED)
+    lists = very.select(F.explode(values).alias("value"), "id", F.size("cool").alias("own")).groupBy("value", "id").agg(F.min("own").alias("own"))
+    lists = scratch.keep(lists, "lists")
+    members = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(lists.select("id")).distinct()
     members = sent_if_small(scratch.keep(members, "members"))
     texts = scratch.keep(source.join(members, "id", "left_semi"), "texts")
     links = scratch.keep(_verified(pairs, texts).where(_linked(percent)).select("a", "b"), "links")
-    hot_lists = warm.select(F.explode("values").alias("value"), "id")
-    links = scratch.keep(links.unionByName(_links_of_hot(hot_lists, texts, percent)).distinct(), "all-links")
-    scratch.drop("pairs", "texts", "reps", "cool")
+    ids = sent_if_small(scratch.keep(lists.select("id").distinct(), "very-hot"))
+    known = links.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi").select("a", "b")
+    links = scratch.keep(links.unionByName(_links_of_hot(lists, texts, known, scratch, percent)).distinct(), "all-links")
+    scratch.drop("pairs", "all-pairs", "met", "texts", "reps", "cool", "wide", "wide-cool")
     labels = scratch.keep(components(links, scratch), "components")
     out = sig.select("id", *keyed).join(classes, keyed, "left")
     out = out.join(labels, F.col("rep") == F.col("node"), "left")

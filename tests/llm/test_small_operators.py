@@ -140,6 +140,23 @@ def test_near_duplicates_that_share_a_hot_passage(spark):
     assert got == components
 
 
+def test_near_duplicates_in_large_groups(spark):
+    """Two families of near copies that share half of their text, all values hot; most are linked by way of the originals only."""
+    rng, shared, texts = random.Random(7), words(100, 1), []
+    for family in (0, 1):
+        base = shared + words(120, 10 + family)
+        for k in range(420 - 60 * family):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 9, 14])):
+                w[rng.randrange(len(w))] = f"new{family}{k}"
+            texts.append((1000 * family + k, " ".join(w)))
+    rng.shuffle(texts)
+    components, _ = brute_components(texts)
+    assert len(set(components.values())) > 20
+    got = {r.doc_id: r.component_id for r in minhash_dedup.op6(spark, documents(spark, texts)).collect()}
+    assert got == components
+
+
 def test_near_duplicates_from_another_percent(spark):
     shingles, texts = (88, 84, 82, 80, 79), []  # of the shorter text of each pair; the longer has 100
     for k, n in enumerate(shingles):
