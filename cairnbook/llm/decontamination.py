@@ -5,8 +5,11 @@ placeholders (a name is a capitalised word inside a sentence; a unit follows a n
 Windows of ``WINDOW`` template tokens, most of them literal, are hashed; windows of the documents are hash-joined to
 those of the benchmark. Of one document, one item and one alignment, the slots must be consistent: one benchmark value
 always stands for one document value (two may fall on the same). An item leaks into a document if consistent alignments cover at
-least ``COVERAGE`` of its windows; it is re-parameterised if a slot's value differs. Items shorter than a window are
-matched as a whole.
+least ``COVERAGE`` of its windows; it is re-parameterised if a slot's value differs. Items shorter than a window, of
+one token even, are matched as a whole. Items without a window of enough literal tokens (rows of numbers, sums,
+conversions, lists of names) would match anything of that form; their windows are hashed with the slots' values, so they are found
+where they stand word for word. (The first word of an item is literal; in a document it is a name where it is capitalised
+and follows a word or comma. One window of a long item is lost by that, but an item shorter than a window.)
 
 Where the benchmark's windows are few enough (``PREFILTER``), the tasks that read the documents drop windows that no
 item has, before the join; beyond it all windows are joined.
@@ -26,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 
 from . import rolling
 from .rolling import U
-from .shared import prepare
+from .shared import Scratch, prepare
 
 WINDOW = 8
 #: Literal tokens in a window, at least.
@@ -132,6 +135,7 @@ _WINDOWS = T.ArrayType(
     T.StructType([
         T.StructField("hash", T.LongType()),
         T.StructField("position", T.IntegerType()),
+        T.StructField("exact", T.BooleanType()),
         T.StructField("slots", T.ArrayType(T.LongType())),
     ])
 )
@@ -140,6 +144,7 @@ _WINDOWS = T.ArrayType(
 def windows_udf(sizes: list[int], known: np.ndarray | None, whole_only: bool = False):
     """A function from texts to their windows of the given sizes; only those in ``known``, if it is given.
 
+    A window is hashed by its template, and one of too few literal tokens by its template and slots (``exact``).
     whole_only: of the sizes below WINDOW, only windows that are the whole text.
     """
     table = None
@@ -150,29 +155,34 @@ def windows_udf(sizes: list[int], known: np.ndarray | None, whole_only: bool = F
 
     @arrow_udf(_WINDOWS)
     def windows(texts: pa.Array) -> pa.Array:
-        ends, hashes, positions, slots, slot_ends = [0], [], [], [], [0]
+        ends, hashes, positions, exact, slots, slot_ends = [0], [], [], [], [], [0]
         for data, offsets in rolling.chunks(texts):
             token, slot, doc = templates(data, offsets)
             n = len(offsets) - 1
             first = np.searchsorted(doc, np.arange(n + 1))
             literal = np.concatenate([[0], np.cumsum(slot == 0)])
+            full = rolling.mix(token + rolling.mix(slot + U(29)))
             found = []
             for size in sizes:
                 at, h = rolling.hash_windows(token, doc, size)
-                keep = literal[at + size] - literal[at] >= min(LITERAL, size)
+                poor = literal[at + size] - literal[at] < min(LITERAL, size)
+                if poor.any():
+                    h = np.where(poor, rolling.hash_windows(full, doc, size)[1], h)
+                keep = np.ones(len(at), bool)
                 if whole_only and size < WINDOW:
                     keep &= first[doc[at] + 1] - first[doc[at]] == size
                 if table is not None:
                     keep &= table[(h & U((1 << 22) - 1)).astype(np.int64)]
-                at, h = at[keep], h[keep]
+                at, h, poor = at[keep], h[keep], poor[keep]
                 if table is not None and len(h):
-                    where = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    at, h = at[known[where] == h], h[known[where] == h]
-                found.append((at, h, np.full(len(at), size)))
-            at, h, size = (np.concatenate(x) for x in zip(*found, strict=True))
+                    there = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                    at, h, poor = at[there], h[there], poor[there]
+                found.append((at, h, np.full(len(at), size), poor))
+            at, h, size, poor = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.argsort(at, kind="stable")
             at, h, size = at[order], h[order], size[order]
             hashes.append(h.view(np.int64))
+            exact.append(poor[order])
             positions.append((at - first[doc[at]]).astype(np.int32))
             ends.extend((ends[-1] + np.searchsorted(doc[at], np.arange(n), "right")).tolist())
             for a, k in zip(at.tolist(), size.tolist(), strict=True):
@@ -183,9 +193,10 @@ def windows_udf(sizes: list[int], known: np.ndarray | None, whole_only: bool = F
             [
                 pa.array(np.concatenate([empty, *hashes]), pa.int64()),
                 pa.array(np.concatenate([empty, *positions]).astype(np.int32), pa.int32()),
+                pa.array(np.concatenate([np.zeros(0, bool), *exact]), pa.bool_()),
                 pa.ListArray.from_arrays(pa.array(slot_ends, pa.int32()), pa.array(np.concatenate([empty, *slots]), pa.int64())),
             ],
-            ["hash", "position", "slots"],
+            ["hash", "position", "exact", "slots"],
         )
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
 
@@ -195,18 +206,17 @@ def windows_udf(sizes: list[int], known: np.ndarray | None, whole_only: bool = F
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, n_windows, item_windows, reparameterised."""
     prepare(spark)
-    sizes = list(range(3, WINDOW + 1))
+    sizes = list(range(1, WINDOW + 1))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id is not null")
     item_windows = items.select("item_id", F.explode(windows_udf(sizes, None, whole_only=True)("text")).alias("w"))
-    item_windows = item_windows.select("item_id", "w.hash", F.col("w.position").alias("item_position"), F.col("w.slots").alias("item_slots"))
-    item_windows = item_windows.dropDuplicates(["item_id", "hash", "item_position"])
+    item_windows = item_windows.select("item_id", "w.hash", F.col("w.position").alias("item_position"), F.col("w.slots").alias("item_slots"), "w.exact")
+    item_windows = Scratch(spark, "leaks").keep(item_windows.dropDuplicates(["item_id", "hash", "item_position"]), "items")
+    rich = item_windows.where("not exact").select("item_id").distinct()
+    item_windows = item_windows.where("not exact").unionByName(item_windows.where("exact").join(rich, "item_id", "left_anti").select(item_windows.columns)).drop("exact")
     total = item_windows.groupBy("item_id").agg(F.countDistinct("item_position").alias("item_windows"))
-    distinct = item_windows.select("hash", F.size("item_slots").alias("size")).distinct()
-    head = distinct.limit(PREFILTER + 1).toArrow() if distinct.count() <= PREFILTER else None
-    known, used = None, sizes
-    if head is not None:
-        known = head["hash"].to_numpy()
-        used = sorted(set(head["size"].to_pylist())) or [WINDOW]
+    distinct = item_windows.select("hash").distinct()
+    used = sorted(item_windows.agg(F.collect_set(F.size("item_slots")).alias("sizes")).first().sizes) or [WINDOW]  # eight numbers at most
+    known = distinct.toArrow()["hash"].to_numpy() if distinct.count() <= PREFILTER else None
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     mine = rows.select("doc_id", F.explode(windows_udf(used, known)("text")).alias("w"))
     mine = mine.select("doc_id", "w.hash", "w.position", "w.slots")

@@ -224,6 +224,97 @@ def test_two_values_of_an_item_may_fall_on_one(spark):
     assert {(r.doc_id, r.reparameterised) for r in decontamination.op1(spark, docs, bench).collect()} == {(1, True), (2, False)}
 
 
+def test_short_and_number_heavy_items_match_whole(spark):
+    items = ["yes no", "1 2 3 4 5 6 7 8 9 10", "12 + 30 = 42 and 5 * 6 = 30", "Unobtainium", "What is 17 times 23?", "7", ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [(10 + i, f"Here stands: {t} among others") for i, t in enumerate(items)]
+    texts += [(30, "2 3 4 5 6 7 9 8 10 11"), (31, "no yes"), (32, "What is 18 times 23?"), (33, "12 + 31 = 43 and 5 * 6 = 30")]
+    got = {(r.doc_id, r.item_id, r.reparameterised) for r in decontamination.op1(spark, documents(spark, texts), bench).collect()}
+    assert got == {(10 + i, i, False) for i in range(5)} | {(i, 5, False) for i in (11, 15, 30)}
+
+
+def brute_template(text):
+    """[(token, value or None)] of an ASCII text, by regular expressions."""
+    out, last = [], None
+    for m in re.finditer(r"[0-9]+(?:[.,][0-9]+)*|[A-Za-z]+", text):
+        word, ahead = m[0].lower(), text[: m.start()]
+        ink = ahead.rstrip(" \t\r\n\v\f")
+        inside = ink and re.match(r"[A-Za-z0-9',]", ink[-1]) and "\n" not in ahead[len(ink) :]
+        kind = "lit"
+        if word[0].isdigit():
+            kind = "num"
+        elif last == "num" and word in decontamination.UNITS:
+            kind = "unit"
+        elif inside and re.match(r"[A-Z][a-z]", m[0]):
+            kind = "name"
+        if kind == "name" and last == "name":
+            out[-1] = ("name", (*out[-1][1], word))
+        else:
+            out.append((word, None) if kind == "lit" else (kind, (word,)))
+        last = kind
+    return out
+
+
+def brute_leaks(texts, items):
+    def windows(tokens, size, exact):
+        for i in range(len(tokens) - size + 1):
+            own = tokens[i : i + size]
+            poor = sum(v is None for _, v in own) < min(4, size)
+            if poor == exact:
+                yield i, tuple(own) if exact else tuple(t for t, _ in own), [v for _, v in own]
+
+    found = set()
+    for item_id, item in items:
+        tokens = brute_template(item)
+        size = min(8, len(tokens))
+        exact = size > 0 and not any(True for _ in windows(tokens, size, False))
+        own = list(windows(tokens, size, exact)) if size else []
+        for doc_id, text in texts:
+            diagonals = collections.defaultdict(list)
+            for p, key, values in windows(brute_template(text or ""), size, exact) if own else ():
+                for i, k, mine in own:
+                    if k == key:
+                        diagonals[p - i].append((i, {(a, b) for a, b in zip(mine, values, strict=True) if a is not None}))
+            good = {}
+            for d, hits in diagonals.items():
+                bound = set().union(*(b for _, b in hits))
+                if len({a for a, _ in bound}) == len(bound):
+                    good[d] = ({i for i, _ in hits}, any(a != b for a, b in bound))
+            covered = set().union(*(p for p, _ in good.values()))
+            if good and len(covered) >= 0.5 * len({i for i, _, _ in own}):
+                found.add((doc_id, item_id, all(c for _, c in good.values())))
+    return found
+
+
+def test_leaks_against_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = "the baker sold bread in a small town while rain fell on every old roof and people went home".split()
+
+    def word():
+        kind = rng.random()
+        if kind < 0.15:
+            return rng.choice(["3", "17", "2.5", "1,000", "40"]) + rng.choice([" kg", " days", "", ""])
+        return rng.choice(["Anna", "Tom Harris", "Oslo"]) if kind < 0.3 else rng.choice(vocabulary) + rng.choice(["", "", "", ",", "."])
+
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 2, 4, 7, 9, 14, 25])))) for i in range(40)]
+    items += [(90, "4 5 6 7 8 9 1 2 3"), (91, "3 kg 17 days 40 kg 3 days 2.5"), (92, "he")]
+    texts = []
+    for k in range(120):
+        item = rng.choice(items)[1]
+        if k % 3 == 0:  # other values, each in place of one
+            for a, b in (("Anna", "Maria"), ("Tom Harris", "Jim"), ("17", "99"), ("40", rng.choice(["41", "99"])), ("kg", "miles")):
+                item = re.sub(rf"\b{a}\b", b, item)
+        if k % 3 == 1:  # a part, or with a slip
+            ws = item.split()
+            ws[rng.randrange(len(ws))] = rng.choice(["Maria", "77", "else"])
+            item = " ".join(ws[: rng.randrange(1, len(ws) + 1)])
+        texts.append((k, " ".join(word() for _ in range(rng.randrange(12))) + f" {item} " + " ".join(word() for _ in range(rng.randrange(12)))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.reparameterised) for r in decontamination.op1(spark, documents(spark, texts), bench).collect()}
+    want = brute_leaks(texts, items)
+    assert got == want and len(want) > 60 and any(c for *_, c in want)
+
+
 # --- 2: personal data -------------------------------------------------------------------------------------------------
 
 BASE = {
