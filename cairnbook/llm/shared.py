@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 import zipfile
@@ -19,14 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests, a laptop), one temporary folder a session."""
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir; where that is unset and all runs in one process (tests, a laptop), one
+    temporary folder a session. On a cluster it must be set: executors do not share a machine's folders."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = getattr(spark.sparkContext, "_cairnbook_folder", None)
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = getattr(context, "_cairnbook_folder", None)
         if folder is None:
             folder = "file://" + tempfile.mkdtemp(prefix="cairnbook-")
-            spark.sparkContext._cairnbook_folder = folder
+            context._cairnbook_folder = folder
     return folder.rstrip("/")
 
 

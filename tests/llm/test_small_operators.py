@@ -80,7 +80,7 @@ def test_quality_against_brute_force(spark):
 # --- 6: near-duplicates -----------------------------------------------------------------------------------------------
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     def shingles(text):
         ws = re.findall(r"[^ \t-\r]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
         return {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} if len(ws) >= 5 else ({tuple(ws)} if ws else set())
@@ -94,7 +94,7 @@ def brute_components(texts):
         return i
 
     for (i, a), (j, b) in itertools.combinations(sets, 2):
-        if a and 100 * len(a & b) >= 85 * len(a | b):
+        if a and 100 * len(a & b) >= percent * len(a | b):
             x, y = root(i), root(j)
             parent[max(x, y)] = min(x, y)
     return {i: root(i) for i in parent}, {i: len(s) for i, s in sets}
