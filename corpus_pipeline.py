@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 #: Similarity, in percent, from which the near-duplicates stage links two documents.
-NEAR_PERCENT = 85
+NEAR_PERCENT = 80
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
