@@ -39,13 +39,23 @@ def merge_checks(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) ->
         raise ValueError(f"columns that are missing: {', '.join(sorted(lacking))}")
 
 
+def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df as it is; a job that reads it fails where two rows have the same keys, none of them null."""
+    known = " and ".join(f"`{k}` is not null" for k in keys)
+    n = F.when(F.expr(known), F.count("*").over(Window.partitionBy(*keys))).otherwise(1)
+    fails = F.assert_true(F.col("_n") == 1, F.lit(f"several changes with one key ({', '.join(keys)})"))
+    return df.withColumn("_n", n).where(fails.isNull()).drop("_n")
+
+
 def merged(target: DataFrame, changes: DataFrame, keys: Sequence[str], evolve: bool = False) -> DataFrame:
     """``target`` with ``changes`` inserted or put in place of the rows with their keys.
 
-    evolve: columns that only one side has are kept, null on the other.
+    evolve: columns that only one side has are kept, null on the other. Of several changes with one key none would be the
+    one that stands: they fail the job, as a server's upsert would.
     """
     if not evolve:
         merge_checks(changes, target.columns, keys)
+    changes = unique(changes, keys)
     kept = target.join(changes.select(*keys).distinct(), list(keys), "left_anti").select(target.columns)
     return kept.unionByName(changes, allowMissingColumns=evolve)
 

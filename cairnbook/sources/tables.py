@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.rows import merged
+from ..operators.rows import merged, unique
 
 
 def _path(spark: SparkSession, name: str):
@@ -53,35 +53,67 @@ def save_table(df: DataFrame, name: str, path: str, partition: Sequence[str] = (
     df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 
 
-def upsert(spark: SparkSession, changes: DataFrame, folder: str, keys: Sequence[str], evolve: bool = False) -> DataFrame:
-    """Inserts or replaces rows by key: the merged table is written beside the old one, which it then replaces.
+def _recovered(spark: SparkSession, folder: str) -> bool:
+    """Whether there is a table at ``folder``, after putting right what an interrupted replacement has left there.
 
-    A failed write leaves the old table as it was.
+    A replacement is three renames' worth of states: new table beside the old; old one moved to ``._old``; new one in place.
     """
-    path, fs = _path(spark, folder)
-    next_path, _ = _path(spark, f"{folder}._next")
-    if not fs.exists(path):
-        changes.write.parquet(folder)
-        return spark.read.parquet(folder)
-    merged(spark.read.parquet(folder), changes, keys, evolve).write.mode("overwrite").parquet(f"{folder}._next")
-    fs.delete(path, True)
-    fs.rename(next_path, path)
+    (path, fs), (old, _), (new, _) = (_path(spark, folder + x) for x in ("", "._old", "._next"))
+    if not fs.exists(path) and fs.exists(old):
+        fs.rename(new if finished(spark, f"{folder}._next") else old, path)
+    if fs.exists(path):
+        fs.delete(old, True)
+    return fs.exists(path)
+
+
+def replace(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
+    """Puts df in place of the table at ``folder``, which df may read: it is written beside it first.
+
+    The old table is only moved away once the new one is complete, and deleted once that is in place, so at any moment one
+    of them is whole; the next upsert finishes or undoes what was interrupted.
+    """
+    (path, fs), (old, _), (new, _) = (_path(spark, folder + x) for x in ("", "._old", "._next"))
+    df.write.mode("overwrite").parquet(f"{folder}._next")
+    if fs.exists(path):
+        fs.rename(path, old)
+    fs.rename(new, path)
+    fs.delete(old, True)
     spark.catalog.refreshByPath(folder)
     return spark.read.parquet(folder)
 
 
+def upsert(spark: SparkSession, changes: DataFrame, folder: str, keys: Sequence[str], evolve: bool = False) -> DataFrame:
+    """Inserts or replaces rows by key; a failed or interrupted write leaves the old table (see ``replace``)."""
+    if not _recovered(spark, folder):
+        return replace(spark, unique(changes, keys), folder)
+    return replace(spark, merged(spark.read.parquet(folder), changes, keys, evolve), folder)
+
+
+#: Touched partitions up to which their names are sent to all executors.
+PARTITIONS_SENT = 100_000
+
+
 def upsert_partitions(spark: SparkSession, changes: DataFrame, folder: str, keys: Sequence[str], partition: str) -> None:
-    """The same for a table in partitions: only those that the changes touch are rewritten."""
+    """The same for a table in partitions: only those that the changes touch are read and rewritten.
+
+    Keys are told apart within a partition. The rewritten partitions are staged first; each then takes its old one's place
+    by itself, and running the same changes again gives the same table.
+    """
+    if not finished(spark, folder):
+        unique(changes, keys).write.mode("overwrite").partitionBy(partition).parquet(folder)
+        return
     touched = changes.select(partition).distinct()
     old = spark.read.parquet(folder)
-    hit = old.join(F.broadcast(touched), partition, "left_semi").select(old.columns)
-    out = merged(hit, changes.select(old.columns), keys)
+    if touched.count() <= PARTITIONS_SENT:
+        touched = F.broadcast(touched)
+    hit = old.join(touched, partition, "left_semi").select(old.columns)
     staged = f"{folder}._staged"
-    out.write.mode("overwrite").parquet(staged)
+    merged(hit, changes.select(old.columns), keys).write.mode("overwrite").parquet(staged)
     writer = spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(folder)
     path, fs = _path(spark, staged)
     fs.delete(path, True)
+    spark.catalog.refreshByPath(folder)
 
 
 def jdbc_query(spark: SparkSession, url: str, sql: str, **options: str) -> DataFrame:

@@ -18,25 +18,31 @@ def arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_b
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], order: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], order: str, checkpoint: str, once: bool = True, buckets: int = 64) -> StreamingQuery:
     """Merges each micro-batch into the table at ``target``: per key, the row with the greatest ``order`` stands.
 
-    A micro-batch that is run again after a failure merges the same rows: the result is the same.
+    The table lies in ``buckets`` partitions by a hash of the keys (column ``_bucket``, which ``merged_table`` leaves out); a
+    micro-batch rewrites only those it has keys of. One that is run again after a failure merges the same rows: the result
+    is the same.
     """
-    spark = stream.sparkSession
+    spark, own = stream.sparkSession, [*keys, "_bucket"]
 
     def put(batch: DataFrame, _: int) -> None:
-        latest = first_per_key(batch, keys, [F.desc(order)])
+        latest = first_per_key(batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), keys, [F.desc(order)])
         if tables.finished(spark, target):
-            old = spark.read.parquet(target)
-            both = old.join(latest.select(*keys), list(keys), "left_semi").select(latest.columns).unionByName(latest)
-            latest = first_per_key(both, keys, [F.desc(order)])
-        tables.upsert(spark, latest, target, keys)
+            old = spark.read.parquet(target).join(latest.select(*own), own, "left_semi").select(latest.columns)
+            latest = first_per_key(old.unionByName(latest), keys, [F.desc(order)])
+        tables.upsert_partitions(spark, latest, target, own, "_bucket")
 
     writer = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def merged_table(spark: SparkSession, target: str) -> DataFrame:
+    """What ``merge_stream`` has merged so far."""
+    return spark.read.parquet(target).drop("_bucket")
+
+
 def monthly_totals(stream: DataFrame, date: str, amount: str, late: str = "40 days") -> DataFrame:
     """Running totals by event-time windows of 30 days; rows later than the watermark are dropped, as in any stream."""
     when = F.col(date).cast("timestamp")

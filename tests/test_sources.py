@@ -101,7 +101,30 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{i}")
     stream = arrivals.arriving(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema, 1)
     arrivals.merge_stream(stream, f"{tmp_path}/out", ["k"], "t", f"{tmp_path}/cp").awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [(1, "c", 2), (2, "b", 1), (3, "d", 2)]
+    assert sorted(map(tuple, arrivals.merged_table(spark, f"{tmp_path}/out").collect())) == [(1, "c", 2), (2, "b", 1), (3, "d", 2)]
+
+
+def test_interrupted_upserts_lose_nothing(spark, tmp_path):
+    row = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    for n, state in enumerate(("written", "moved", "unfinished")):
+        t = tmp_path / f"t{n}"
+        tables.upsert(spark, row((1, "a"), (2, "b")), str(t), ["k"])
+        row((1, "a"), (2, "c")).write.parquet(f"{t}._next")
+        if state != "written":  # the old table was moved away
+            t.rename(f"{t}._old")
+        if state == "unfinished":
+            (tmp_path / f"t{n}._next" / "_SUCCESS").unlink()
+        out = tables.upsert(spark, row((3, "d")), str(t), ["k"])
+        assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "c" if state == "moved" else "b"), (3, "d")]
+        assert sorted(p.name for p in tmp_path.glob(f"t{n}*")) == [t.name]
+
+
+def test_changes_with_one_key_are_rejected(spark, tmp_path):
+    row = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    tables.upsert(spark, row((1, "a"), (None, "n"), (None, "m")), f"{tmp_path}/t", ["k"])
+    with pytest.raises(Exception, match="several changes with one key"):
+        tables.upsert(spark, row((2, "x"), (2, "y")), f"{tmp_path}/t", ["k"])
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_path}/t").collect()) == ["a", "m", "n"]
 
 
 def test_increments_equal_full_refresh(spark, folder, tmp_path):
