@@ -53,6 +53,8 @@ SLAB = 1 << 22
 #: Different segments of one anchor up to which a task sorts them; segments that make a batch.
 LARGE, BATCH = 20_000, 10_000
 CHUNK = 1 << 19
+#: Rows of up to five numbers up to which a side is sent to all executors (about 130 MB).
+WIDE_ROWS = 1_000_000
 _SECOND = rolling._Powers(0xC2B2AE3D27D4EB4F)
 _POSITION = (1 << 26) - 1
 
@@ -348,8 +350,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     mixed = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("gram", "kinds")
     mixed = scratch.keep(mixed, "mixed")
     several = scratch.keep(kinds.where("n > 1").select(*segment), "several")
-    same = twice.join(sent_if_small(several), segment, "left_semi").select("id", "tag", kind, "start", (F.col("start") + F.col("size")).alias("end"))
-    open_ = scratch.keep(kinds.join(sent_if_small(mixed), "gram").select("one.*", "gram", "back", "size", "kinds"), "open")
+    same = twice.join(sent_if_small(several, WIDE_ROWS), segment, "left_semi").select("id", "tag", kind, "start", (F.col("start") + F.col("size")).alias("end"))
+    open_ = scratch.keep(kinds.join(sent_if_small(mixed, WIDE_ROWS), "gram").select("one.*", "gram", "back", "size", "kinds"), "open")
     few, many = open_.where(F.col("kinds") <= large), open_.where(F.col("kinds") > large)
 
     def with_text(segments: DataFrame, name: str, udf) -> DataFrame:
@@ -365,7 +367,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         key = ["gram", "back", "h1", "h2"]
         again = scratch.keep(windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "again")
         wide = F.when(kind == 0, window).otherwise(passage)
-        more = windows.join(sent_if_small(again), key, "left_semi").select("id", "tag", kind, "start", (F.col("start") + wide).alias("end"))
+        more = windows.join(sent_if_small(again, WIDE_ROWS), key, "left_semi").select("id", "tag", kind, "start", (F.col("start") + wide).alias("end"))
         found = found.unionByName(more)
     spans = same.unionByName(found).groupBy("id", "tag").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans"))
     spans = scratch.keep(spans, "spans")
