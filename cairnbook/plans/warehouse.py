@@ -305,13 +305,17 @@ def fct_loan_modifications(w: Warehouse) -> DataFrame:
     )
 
 
+#: What tells a property's months: windows over them need no shuffle, as snapshots are dealt by the first of these already.
+LINE = ["_base", "asset_num", "property_num"]
+
+
 def _property_facts(w: Warehouse) -> DataFrame:
     """Metrics of each property month with the attributes of the version valid then, and its place.
 
     The version comes from the window that finds it, not from a join of snapshots and versions by their intervals.
     """
     own = [
-        "property_id", "reporting_date", "trust", F.col("company").alias("issuer"), "asset_num", "property_num", "current_valuation", "securitization_valuation",
+        "property_id", "reporting_date", "trust", F.col("company").alias("issuer"), *LINE, "current_valuation", "securitization_valuation",
         "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr",
         *(F.col(c).isNotNull().alias(f"has_{c}") for c in ("largest_tenant", "second_largest_tenant", "third_largest_tenant")),
     ]
@@ -326,13 +330,13 @@ def _property_facts(w: Warehouse) -> DataFrame:
         F.when(then == 0, 0.0).otherwise(ratio(now - then, then)).alias("valuation_change_pct"),
         (F.coalesce("current_occupancy_pct", F.lit(0)) - F.coalesce("securitization_occupancy_pct", F.lit(0))).alias("occupancy_change_pct"),
         F.when(F.col("current_revenue") == 0, 0.0).otherwise(ratio("current_expenses", "current_revenue")).alias("expense_ratio"),
-        per("square_feet").alias("revenue_per_sqft"), per("unit_count").alias("revenue_per_unit"), *PLACE,
+        per("square_feet").alias("revenue_per_sqft"), per("unit_count").alias("revenue_per_unit"), *PLACE, *LINE,
     )
 
 
 @model
 def fct_property_metrics(w: Warehouse) -> DataFrame:
-    return _property_facts(w).drop(*PLACE)
+    return _property_facts(w).drop(*PLACE, *LINE)
 
 
 # --- marts ------------------------------------------------------------------------------------------------------------
@@ -349,13 +353,14 @@ def loan_aging_metrics(w: Warehouse) -> DataFrame:
 
     A loan in several trusts multiplies its months by the number of trusts it has months in.
     """
-    live = _live(w)
-    times = live.select("loan_id", "trust_id").distinct().select("loan_id")
+    # the trusts of a loan are few, and counted in the window that its months are in anyway
+    trusts = F.size(F.collect_set("trust_id").over(Window.partitionBy("loan_id")))
+    live = _live(w).withColumn("_trusts", trusts).withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_trusts")))).drop("_trusts", "_times")
     line = Window.partitionBy("loan_id").orderBy("reporting_date", "trust_id")
     age = months_between_parts(F.col("reporting_date"), F.col("origination_date")) + 1
     term = months_between_parts(F.col("maturity_date"), F.col("origination_date")) + 1
     before = F.lag("current_bal").over(line)
-    rows = live.join(times, "loan_id").withColumns({"before": before, "loan_age_months": age, "original_term_months": term})
+    rows = live.withColumns({"before": before, "loan_age_months": age, "original_term_months": term})
     fell = F.coalesce(F.col("before") > F.col("current_bal"), F.lit(False))
     paid = F.when(fell, F.col("before") - F.col("current_bal")).otherwise(0)
     rate = ratio(paid, "current_bal") * 100
@@ -457,7 +462,10 @@ def property_performance_fixed(w: Warehouse) -> DataFrame:
 
 def property_performance(w: Warehouse, strict: bool) -> DataFrame:
     places = ["property_address", "zip_code", "city_name", "state_code", "state_name", "region_name", "division_name"]
-    rows = _property_months(w, *places).drop("valuation_change_pct")
+    rows = _property_months(w, *places, *LINE).drop("valuation_change_pct")
+    line = Window.partitionBy(*LINE).orderBy("reporting_date")
+    moving = {"valuation": "current_valuation", "occupancy": "current_occupancy_pct", "noi": "current_noi"}
+    rows = rows.withColumns({f"{n}_{m}m_change": F.col(c) - F.lag(c, m).over(line) for m in (3, 12) for n, c in moving.items()}).drop(*LINE)
     key = F.col("property_id") if strict else F.split_part("property_id", F.lit("_"), F.lit(1))
     loans = w["fct_loan_monthly_performance"].select(F.col("loan_id").alias("_loan"), "reporting_date", F.col("current_bal").alias("loan_balance"), "current_intr_rate", "origination_date")
     rows = rows.withColumn("_loan", key).join(loans, ["_loan", "reporting_date"], "left").drop("_loan")
@@ -468,8 +476,6 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
         **{f"{n}_per_unit": ratio(c, units) for n, c in (("value", value), ("revenue", rev), ("noi", noi))},
         "expense_ratio": ratio("current_expenses", rev), "valuation_change_pct": ratio(value, then) - 1, "occupancy_change_pct": occ - F.col("securitization_occupancy_pct"),
     })
-    line = Window.partitionBy("property_id").orderBy("reporting_date")
-    rows = rows.withColumns({f"{n}_{m}m_change": c - F.lag(c, m).over(line) for m in (3, 12) for n, c in (("valuation", value), ("occupancy", occ), ("noi", noi))})
     kind = Window.partitionBy("reporting_date", "property_type_code")
     # a type's averages; rows without a type have none
     usual = {"occupancy_pct": occ, "value_per_sq_ft": F.col("value_per_sq_ft"), "revenue_per_sq_ft": F.col("revenue_per_sq_ft"), "noi_per_sq_ft": F.col("noi_per_sq_ft"), "expense_ratio": F.col("expense_ratio"), "debt_yield": F.col("debt_yield"), "dscr": dscr}
@@ -548,8 +554,8 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
 
 @model
 def property_occupancy_noi(w: Warehouse) -> DataFrame:
-    rows = _property_months(w, "state_code", "region_name").withColumnRenamed("state_code", "state").withColumnRenamed("region_name", "region")
-    line = Window.partitionBy("property_id").orderBy("reporting_date")
+    rows = _property_months(w, "state_code", "region_name", *LINE).withColumnRenamed("state_code", "state").withColumnRenamed("region_name", "region")
+    line = Window.partitionBy(*LINE).orderBy("reporting_date")
     year = line.rowsBetween(-11, 0)
     occ, noi = F.col("current_occupancy_pct"), F.col("current_noi")
     ago = F.lag(noi, 12).over(line)
