@@ -129,7 +129,11 @@ def _sized(left: str = "n_a", right: str = "n_b", *, percent: int) -> Column:
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, component) for edges (a, b): component is the smallest node reachable."""
+    """(node, component) for edges (a, b): component is the smallest node reachable.
+
+    Smallest neighbours are aggregated and written before edges are joined with them, so that a node with very many edges
+    is no single task: the join is a broadcast or, of many nodes, one that Spark can split.
+    """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
     edges = scratch.keep(edges, f"edges-0")
     state, step = None, 0
@@ -137,15 +141,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         step += 1
         # large star: every larger neighbour of u goes to u's smallest neighbour (or u)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        least = scratch.keep(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"least-{step}")
+        large = both.where("v > u").join(sent_if_small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         large = scratch.keep(large, f"large-{step}")
         # small star: u and its smaller neighbours go to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        least = scratch.keep(large.groupBy("u").agg(F.min("v").alias("m")), f"least-{step}s")
+        small = large.join(sent_if_small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         small = scratch.keep(small, f"edges-{step}")
-        scratch.drop(f"edges-{step - 1}", f"large-{step}")
+        scratch.drop(f"edges-{step - 1}", f"large-{step}", f"least-{step}", f"least-{step}s")
         now = small.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         edges = small
         if now == state or not now[0]:
