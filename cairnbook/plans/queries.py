@@ -187,8 +187,8 @@ def _(s, d):
     return rows.join(base, ["asset_num", "reporting_period_end_date"]).select("base_file", F.col("source_file").alias("split_file"))
 
 
-@add("q_split_note_properties", """WITH base AS MATERIALIZED (SELECT asset_num || 'A' AS asset_num, property_num, reporting_period_end_date, property_city FROM properties)
-SELECT asset_num, property_num, reporting_period_end_date, b.property_city FROM properties LEFT JOIN base b USING (asset_num, property_num, reporting_period_end_date)""")
+@add("q_split_note_properties", """SELECT asset_num, property_num, reporting_period_end_date, b.property_city FROM properties
+ LEFT JOIN (SELECT asset_num || 'A' AS asset_num, property_num, reporting_period_end_date, property_city FROM properties) b USING (asset_num, property_num, reporting_period_end_date)""")
 def _(s, d):
     keys = ["asset_num", "property_num", "reporting_period_end_date"]
     rows = testbook.properties(s, d)
