@@ -230,18 +230,23 @@ def _versioned(w: Warehouse) -> DataFrame:
     return rows.withColumns({"_version": version, "property_id": F.concat_ws("_", "asset_num", "property_num")})
 
 
-@model
-def dim_property(w: Warehouse) -> DataFrame:
+def _versions(w: Warehouse) -> DataFrame:
+    """The property dimension with the place of each version."""
     until = F.lead("reporting_date").over(Window.partitionBy("_base", "asset_num", "property_num").orderBy("reporting_date"))
     kind = ladder([(F.col("property_type_code") == code, name) for code, name in TYPE_NAMES.items()], "Other")
     rows = _versioned(w).where("_changed").withColumn("end_date", F.coalesce(until, F.lit(FOREVER).cast("date")))
     return rows.join(_trusts(w), "trust").select(
         "property_id", F.col("reporting_date").alias("effective_date"), "end_date", "property_name", "property_type_code",
         kind.alias("property_type_description"), "property_status_code", "year_built", "square_feet", "unit_count",
-        F.col("company").alias("issuer"), "trust_id", "geo_id",
+        F.col("company").alias("issuer"), "trust_id", "geo_id", *PLACE,
     )
 
 
+@model
+def dim_property(w: Warehouse) -> DataFrame:
+    return _versions(w).drop(*PLACE)
+
+
 # --- facts ------------------------------------------------------------------------------------------------------------
 
 LOAN = {
@@ -519,13 +524,13 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
 
     strict: versions of properties whose key equals the loan's, which there are none of; so places are unknown.
     """
-    versions = w["dim_property"].select("property_id", "effective_date", "end_date", "property_type_code", "geo_id")
+    versions = _versions(w).select("property_id", "effective_date", "end_date", "property_type_code", *PLACE)
     if not strict:
         versions = versions.withColumn("property_num", F.split_part("property_id", F.lit("_"), F.lit(2))).withColumn("property_id", F.split_part("property_id", F.lit("_"), F.lit(1)))
     rows = as_of_versions(_live(w), versions.withColumnRenamed("property_id", "loan_id"), "loan_id", "reporting_date", "left")
     if not strict:
         rows = first_per_key(rows, ["loan_id", "reporting_date", "trust_id"], [F.col("property_num").asc_nulls_last()])
-    rows = rows.join(w["geo"], "geo_id", "left")
+    rows = _placed_rows(w, rows)
     bal, rate, end, date = (F.col(c) for c in ("current_bal", "current_intr_rate", "maturity_date", "reporting_date"))
     million = 1000000
     size = below(bal, [(million, "Under $1M"), (5 * million, "$1M - $5M"), (10 * million, "$5M - $10M"), (25 * million, "$10M - $25M"), (50 * million, "$25M - $50M")], "Over $50M")
@@ -539,14 +544,18 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
         "Address": F.when(F.col("property_address").isNotNull(), F.concat_ws(", ", "property_address", empty("city_name"), empty("state_code"))),
         "Loan Size": size, "Interest Rate": interest, "Remaining Term": term,
     }
-    pairs = F.array(*(F.struct(F.lit(k).alias("concentration_type"), v.alias("concentration_category")) for k, v in kinds.items()))
+    # a kind without a name is the whole day: its row gives the totals, so that loan months are read once
+    kinds = {**kinds, None: F.lit("")}
+    pairs = F.array(*(F.struct(F.lit(k).cast("string").alias("concentration_type"), v.alias("concentration_category")) for k, v in kinds.items()))
     long = rows.select("reporting_date", "loan_id", "current_bal", F.explode(pairs).alias("p")).select("reporting_date", "loan_id", "current_bal", "p.*")
-    found = long.where("concentration_category is not null").groupBy("reporting_date", "concentration_type", "concentration_category").agg(
-        F.count_distinct("loan_id").alias("loan_count"), F.sum("current_bal").alias("total_balance")
-    )
-    totals = rows.groupBy("reporting_date").agg(F.count_distinct("loan_id").alias("all_loans"), F.sum("current_bal").alias("all_balance"))
+    # the join has dealt the months by loan: one row per loan and category needs no shuffle, and what is shuffled then are counts
+    category = ["reporting_date", "concentration_type", "concentration_category"]
+    loans = long.where("concentration_category is not null").groupBy("loan_id", *category).agg(F.sum("current_bal").alias("balance"))
+    found = loans.groupBy(*category).agg(F.count("loan_id").alias("loan_count"), F.sum("balance").alias("total_balance"))
+    day, whole = Window.partitionBy("reporting_date"), F.col("concentration_type").isNull()
+    found = found.withColumns({"all_loans": F.max(F.when(whole, F.col("loan_count"))).over(day), "all_balance": F.max(F.when(whole, F.col("total_balance"))).over(day)})
     place = F.rank().over(Window.partitionBy("reporting_date", "concentration_type").orderBy(F.col("total_balance").desc_nulls_first())).cast("long")
-    return found.join(totals, "reporting_date").select(
+    return found.where(~whole).select(
         "reporting_date", "concentration_type", "concentration_category", "loan_count", "total_balance", ratio("total_balance", "loan_count").alias("avg_loan_balance"),
         ratio("loan_count", "all_loans").alias("pct_of_loans"), ratio("total_balance", "all_balance").alias("pct_of_balance"), place.alias("rank_by_balance"), (place <= 5).alias("is_top_5"),
     )
