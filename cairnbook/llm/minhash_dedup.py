@@ -30,6 +30,8 @@ are kept. Other columns pass through ``mark``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -132,12 +134,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for edges (a, b): component is the smallest node reachable.
 
     Smallest neighbours are aggregated and written before edges are joined with them, so that a node with very many edges
-    is no single task: the join is a broadcast or, of many nodes, one that Spark can split.
+    is no single task: the join is a broadcast or, of many nodes, one that Spark can split. Edges that a step leaves as
+    they are, stars or none at all, are done.
     """
+    mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    edges = scratch.keep(edges, f"edges-0")
-    state, step = None, 0
-    while True:
+    edges = scratch.keep(edges, "edges-0")
+    state, before, step = mark(edges), None, 0
+    while state[0] and state != before:
         step += 1
         # large star: every larger neighbour of u goes to u's smallest neighbour (or u)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -150,11 +154,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         small = scratch.keep(small, f"edges-{step}")
         scratch.drop(f"edges-{step - 1}", f"large-{step}", f"least-{step}", f"least-{step}s")
-        now = small.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        edges = small
-        if now == state or not now[0]:
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-        state = now
+        edges, state, before = small, mark(small), state
+    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -244,11 +245,19 @@ def _against_pivots(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _links_of_hot(lists: DataFrame, texts: DataFrame, known: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Links (a, b) that join up the classes of lists of any length (value, id, own: how many values it has that are not
-    hot); known: links among them that are already found."""
+    hot); known: links among them that are already found.
+
+    ``labels`` has the component of each class so far; a round's links are components of the graph of these, not of all
+    links again.
+    """
+    if lists.isEmpty():
+        return known
+    start = components(known, scratch).withColumnRenamed("node", "id")
+    start = lists.select("id").distinct().join(start, "id", "left")
+    labels = scratch.keep(start.select("id", F.coalesce("component", "id").alias("component")), "labels-0")
     links, rest, before, step = known, [], None, 0
     while True:
-        labels = scratch.keep(components(links, scratch), f"labels-{step}")
-        state = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        state = lists.join(labels, "id")
         sizes = state.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
         sizes = scratch.keep(sizes.where("low < high").select("value", "members"), f"sizes-{step}")
         state = scratch.keep(state.join(sent_if_small(sizes), "value"), f"state-{step}")
@@ -268,8 +277,14 @@ def _links_of_hot(lists: DataFrame, texts: DataFrame, known: DataFrame, scratch:
         pivots = scratch.keep(pivots.select("value", F.col("id").alias("pivot"), F.col("component").alias("of"), "rank"), f"pivots-{step}")
         met = long.join(sent_if_small(pivots), "value").where((F.col("id") != F.col("pivot")) & ((F.col("rank") == 1) | (F.col("component") != F.col("of"))))
         compared = scratch.keep(_against_pivots(met.select("pivot", "id").distinct(), texts), f"compared-{step}")
-        found = compared.where(_linked(percent)).select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
-        links = scratch.keep(links.unionByName(found).distinct(), f"hot-links-{step}")
+        found = compared.where(_linked(percent))
+        links = links.unionByName(found.select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")))
+        # a pivot's component is known, and pivots are few; labels are joined by the other end, which has few links
+        ends = found.join(sent_if_small(pivots.select("pivot", F.col("of").alias("a")).distinct()), "pivot").join(labels, "id")
+        merged = components(ends.select("a", F.col("component").alias("b")), scratch)
+        merged = scratch.keep(merged.select(F.col("node").alias("component"), F.col("component").alias("now")), f"merged-{step}")
+        labels = labels.join(sent_if_small(merged), "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+        labels = scratch.keep(labels, f"labels-{step}")
         # split the lists by their first pivots; pivots are done
         first = pivots.where("rank = 1").select("value", "pivot")
         left = long.select("value", "id", "own").join(pivots.select("value", F.col("pivot").alias("id")), ["value", "id"], "left_anti")
@@ -281,9 +296,7 @@ def _links_of_hot(lists: DataFrame, texts: DataFrame, known: DataFrame, scratch:
         close = both.where("near and n_linked > 0").select(F.xxhash64("value", F.lit(2 * step)).alias("value"), "id", "own")
         apart = both.where("not linked and (n_linked = 0 or n_far > 0)").select(F.xxhash64("value", F.lit(2 * step + 1)).alias("value"), "id", "own")
         lists = scratch.keep(close.unionByName(apart), f"lists-{step}")
-    for lists in rest:
-        links = links.unionByName(_links_in_blocks(lists, texts, percent))
-    return links.distinct()
+    return links.unionByName(_links_in_blocks(reduce(DataFrame.unionByName, rest), texts, percent)).distinct()
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int, size: int = SKETCH) -> DataFrame:
