@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination,
+    fill_middle,
+    hard_negatives,
     html_extract,
+    language_id,
     minhash_dedup,
     packing,
     pii,
@@ -63,6 +66,19 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_format.op10(table(spark, sf_dir, "conversations"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return fill_middle.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.op12(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.op13(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,9 +92,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_repeat_spans,
         op10_preference_format,
+        op11_fill_middle,
+        op12_language_id,
+        op13_hard_negatives,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": url_filter.OP4_SQL,
     "op10_preference_format": preference_format.OP10_SQL,
+    "op11_fill_middle": fill_middle.OP11_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }

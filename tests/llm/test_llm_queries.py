@@ -12,8 +12,8 @@ from cairnbook.llm import decontamination, queries
 from cairnbook.llm.shared import Scratch
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
