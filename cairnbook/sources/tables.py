@@ -53,6 +53,12 @@ def save_table(df: DataFrame, name: str, path: str, partition: Sequence[str] = (
     df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 
 
+def _moved(fs, old, new) -> None:
+    """Renames, and fails where the file system says or shows that it did not: many report that by their result alone."""
+    if not fs.rename(old, new) or not fs.exists(new):
+        raise OSError(f"could not rename {old.toString()} to {new.toString()}")
+
+
 def _recovered(spark: SparkSession, folder: str) -> bool:
     """Whether there is a table at ``folder``, after putting right what an interrupted replacement has left there.
 
@@ -60,7 +66,7 @@ def _recovered(spark: SparkSession, folder: str) -> bool:
     """
     (path, fs), (old, _), (new, _) = (_path(spark, folder + x) for x in ("", "._old", "._next"))
     if not fs.exists(path) and fs.exists(old):
-        fs.rename(new if finished(spark, f"{folder}._next") else old, path)
+        _moved(fs, new if finished(spark, f"{folder}._next") else old, path)
     if fs.exists(path):
         fs.delete(old, True)
     return fs.exists(path)
@@ -69,14 +75,20 @@ def _recovered(spark: SparkSession, folder: str) -> bool:
 def replace(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
     """Puts df in place of the table at ``folder``, which df may read: it is written beside it first.
 
-    The old table is only moved away once the new one is complete, and deleted once that is in place, so at any moment one
-    of them is whole; the next upsert finishes or undoes what was interrupted.
+    The old table is only moved away once the new one is complete, and deleted once that is seen in place, so at any moment
+    one of them is whole; where the second rename fails the old one goes back, and the next upsert finishes or undoes what
+    was interrupted. Between the renames there is no table to read: ``versions`` has tables whose readers never wait.
     """
     (path, fs), (old, _), (new, _) = (_path(spark, folder + x) for x in ("", "._old", "._next"))
     df.write.mode("overwrite").parquet(f"{folder}._next")
     if fs.exists(path):
-        fs.rename(path, old)
-    fs.rename(new, path)
+        _moved(fs, path, old)
+    try:
+        _moved(fs, new, path)
+    except OSError:
+        if fs.exists(old) and not fs.exists(path):
+            _moved(fs, old, path)
+        raise
     fs.delete(old, True)
     spark.catalog.refreshByPath(folder)
     return spark.read.parquet(folder)
