@@ -1,4 +1,4 @@
-"""Column profiles in long form: one row per column, from one aggregate over all columns."""
+"""Column profiles in long form: one row per column, from a few aggregates over all columns at once."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .selection import distinct_counts, medians
+
 #: What makes a column suspicious.
 NULL_RATIO, UNIQUE_RATIO, BALANCE_LOW, BALANCE_HIGH, OUTLIER = 0.5, 0.9, 0.25, 0.75, 3.0
 STATS = (
@@ -25,20 +27,19 @@ def _type(stat: str) -> str:
     return "string" if stat in _TEXT else "bigint" if stat in _COUNTS else "double"
 
 
-def _measures(df: DataFrame, field: T.StructField) -> dict[str, Column]:
-    c, kind = F.col(field.name), field.dataType
-    out = {
-        "null_count": F.count_if(c.isNull()),
-        # nulls count as a value of their own
-        "distinct_count": F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0)),
-    }
+PROFILE = ", ".join(["column_name string", "data_type string", "total_count bigint", *(f"{s} {_type(s)}" for s in STATS)])
+
+
+def _measures(c: Column, kind: T.DataType) -> dict[str, Column]:
+    """What one aggregate gives for a column; distinct counts, medians and outliers come from further ones."""
+    out = {"null_count": F.count_if(c.isNull())}
     if isinstance(kind, T.NumericType):
-        out |= {"min_value": F.min(c), "max_value": F.max(c), "mean": F.avg(c), "stddev": F.stddev(c), "median": F.percentile(c, F.lit(0.5))}
+        out |= {"min_value": F.min(c), "max_value": F.max(c), "mean": F.avg(c), "stddev": F.stddev(c)}
     elif isinstance(kind, T.DateType):
         out |= {"earliest_date": F.min(c), "latest_date": F.max(c)}
     elif isinstance(kind, T.StringType):
         n = F.length(c)
-        out |= {"avg_length": F.avg(n), "max_length": F.max(n), "median_length": F.percentile(n, F.lit(0.5)), "empty_count": F.count_if(F.trim(c) == "")}
+        out |= {"avg_length": F.avg(n), "max_length": F.max(n), "empty_count": F.count_if(F.trim(c) == "")}
     elif isinstance(kind, T.BooleanType):
         out |= {"true_count": F.count_if(c), "false_count": F.count_if(~c), "true_frequency": F.avg(c.cast("int"))}
     return out
@@ -47,24 +48,31 @@ def _measures(df: DataFrame, field: T.StructField) -> dict[str, Column]:
 def profile(df: DataFrame) -> DataFrame:
     """column_name, data_type, total_count and the statistics of STATS; those that a type does not have are null.
 
-    Outliers need mean and deviation first; they come from a second aggregate, joined to the one row of the first.
+    df is read a few times, by jobs that run at once: distinct values and medians are counted (see ``selection``), outliers
+    need mean and deviation first. A costly df should be a stored table. The driver holds one row a column.
     """
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    packed = []
-    for i, f in enumerate(fields):
-        found = _measures(df, f)
-        packed.append(F.struct(*(found[s].cast(_type(s)).alias(s) if s in found else F.lit(None).cast(_type(s)).alias(s) for s in STATS)).alias(f"c{i}"))
-    first = df.agg(F.count("*").alias("total_count"), *packed)
-    numeric = [i for i, f in enumerate(fields) if isinstance(f.dataType, T.NumericType)]
-    if numeric:
-        both = df.select(*(F.col(fields[i].name).cast("double").alias(f"v{i}") for i in numeric)).join(
-            F.broadcast(first.select(*(F.struct(F.col(f"c{i}.mean"), F.col(f"c{i}.stddev")).alias(f"s{i}") for i in numeric)))
-        )
-        far = both.agg(*(F.count_if(F.abs(F.try_divide(F.col(f"v{i}") - F.col(f"s{i}.mean"), F.nullif(F.col(f"s{i}.stddev"), F.lit(0.0)))) > OUTLIER).alias(f"x{i}") for i in numeric))
-        first = first.join(F.broadcast(far))
-        first = first.withColumns({f"c{i}": F.col(f"c{i}").withField("extreme_count", F.col(f"x{i}")) for i in numeric})
-    rows = F.array(*(F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"c{i}").alias("s")) for i, f in enumerate(fields)))
-    return first.select("total_count", F.explode(rows).alias("r")).select("r.column_name", "r.data_type", "total_count", "r.s.*")
+    if not fields:
+        return df.sparkSession.createDataFrame([], PROFILE)
+    columns = [F.col(f"`{f.name}`") for f in fields]
+    of = lambda kind: [i for i, f in enumerate(fields) if isinstance(f.dataType, kind)]
+    measures = [F.struct(*(v.cast(_type(s)).alias(s) for s, v in _measures(c, f.dataType).items())).alias(f"c{i}") for i, (f, c) in enumerate(zip(fields, columns, strict=True))]
+    first = df.agg(F.count("*").alias("n"), *measures).first()
+    rows = [first[f"c{i}"].asDict() for i in range(len(fields))]
+    distinct = distinct_counts(df, [f.name for f in fields])
+    middle = medians(df, {str(i): columns[i].cast("double") for i in of(T.NumericType)} | {str(i): F.length(columns[i]).cast("double") for i in of(T.StringType)})
+    wide = [i for i in of(T.NumericType) if rows[i]["stddev"]]
+    score = lambda i: F.abs((columns[i].cast("double") - rows[i]["mean"]) / rows[i]["stddev"])
+    far = df.agg(*(F.count_if(score(i) > OUTLIER).alias(f"x{i}") for i in wide)).first() if wide else {}
+    for i, row in enumerate(rows):
+        # nulls count as a value of their own
+        row["distinct_count"] = distinct[fields[i].name] + (row["null_count"] > 0) if first.n else None
+        if isinstance(fields[i].dataType, T.NumericType):
+            row |= {"median": middle[str(i)], "extreme_count": far[f"x{i}"] if i in wide else 0}
+        elif isinstance(fields[i].dataType, T.StringType):
+            row["median_length"] = middle[str(i)]
+    found = [(f.name, f.dataType.simpleString(), first.n, *(row.get(s) for s in STATS)) for f, row in zip(fields, rows, strict=True)]
+    return df.sparkSession.createDataFrame(found, PROFILE)
 
 
 def suspicious(profiled: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The warehouse: dimensions, facts and marts as pure functions of the loan and property snapshots.
 
-``Warehouse(loans, properties)[name]`` builds a model lazily from those it needs; nothing runs before an action.
-``materialise`` writes models as tables, so that later ones read instead of recomputing.
+``Warehouse(loans, properties)[name]`` builds a model from those it needs. Most are lazy; the two marts of properties, whose
+rows are read for averages and again beside them, write these rows to the shared folder when they are built, and bounds on
+numbers of groups are counted. ``materialise`` writes models as tables, so that later ones read instead of recomputing.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import FOREVER, below, double, ladder, mean, month_part, months_between_parts, ratio, surrogate_key
+from ..operators.groups import GROUPS_SENT, number_of_groups, with_group_means, with_rank
 from ..operators.rows import as_of_versions, first_per_key
+from ..sources.scratch import kept
 from .states import STATES
 
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {}
@@ -25,12 +28,19 @@ class Warehouse:
         self.spark: SparkSession = loans.sparkSession
         self.loans, self.properties, self.as_of = loans, properties, as_of
         self._built: dict[str, DataFrame] = {}
+        self._days: int | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = MODELS[name](self)
         return self._built[name]
 
+    def days(self) -> int:
+        """A bound on the reporting dates of loans, null being one, from a scan of that column alone."""
+        if self._days is None:
+            self._days = self.loans.select("reporting_period_end_date").distinct().count() + 1
+        return self._days
+
     def materialise(self, name: str, folder: str, partition: bool = False) -> DataFrame:
         """Writes a model as Parquet, by month if asked, and uses the written table from then on."""
         df = self[name]
@@ -481,10 +491,11 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
         **{f"{n}_per_unit": ratio(c, units) for n, c in (("value", value), ("revenue", rev), ("noi", noi))},
         "expense_ratio": ratio("current_expenses", rev), "valuation_change_pct": ratio(value, then) - 1, "occupancy_change_pct": occ - F.col("securitization_occupancy_pct"),
     })
-    kind = Window.partitionBy("reporting_date", "property_type_code")
     # a type's averages; rows without a type have none
     usual = {"occupancy_pct": occ, "value_per_sq_ft": F.col("value_per_sq_ft"), "revenue_per_sq_ft": F.col("revenue_per_sq_ft"), "noi_per_sq_ft": F.col("noi_per_sq_ft"), "expense_ratio": F.col("expense_ratio"), "debt_yield": F.col("debt_yield"), "dscr": dscr}
-    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.round(F.avg(double(c)).over(kind), 9)) for n, c in usual.items()})
+    rows = kept(rows, "property-performance")  # read twice, for the averages and beside them
+    rows = with_group_means(rows, ["reporting_date", "property_type_code"], {f"type_avg_{n}": double(c) for n, c in usual.items()}, number_of_groups(rows, ["reporting_date", "property_type_code"]))
+    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.round(f"type_avg_{n}", 9)) for n in usual})
 
     def against(c: Column, average: str) -> Column:
         c = F.round(double(c), 9)
@@ -552,10 +563,12 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
     category = ["reporting_date", "concentration_type", "concentration_category"]
     loans = long.where("concentration_category is not null").groupBy("loan_id", *category).agg(F.sum("current_bal").alias("balance"))
     found = loans.groupBy(*category).agg(F.count("loan_id").alias("loan_count"), F.sum("balance").alias("total_balance"))
-    day, whole = Window.partitionBy("reporting_date"), F.col("concentration_type").isNull()
-    found = found.withColumns({"all_loans": F.max(F.when(whole, F.col("loan_count"))).over(day), "all_balance": F.max(F.when(whole, F.col("total_balance"))).over(day)})
-    place = F.rank().over(Window.partitionBy("reporting_date", "concentration_type").orderBy(F.col("total_balance").desc_nulls_first())).cast("long")
-    return found.where(~whole).select(
+    whole, days = F.col("concentration_type").isNull(), w.days()
+    totals = found.where(whole).select(F.col("reporting_date").alias("_day"), F.col("loan_count").alias("all_loans"), F.col("total_balance").alias("all_balance"))
+    totals = F.broadcast(totals) if days <= GROUPS_SENT else totals
+    found = with_rank(found.where(~whole), ["reporting_date", "concentration_type"], "total_balance", "place", descending=True, nulls_first=True, groups=days * len(kinds))
+    found, place = found.join(totals, F.col("_day").eqNullSafe(F.col("reporting_date")), "left"), F.col("place")
+    return found.select(
         "reporting_date", "concentration_type", "concentration_category", "loan_count", "total_balance", ratio("total_balance", "loan_count").alias("avg_loan_balance"),
         ratio("loan_count", "all_loans").alias("pct_of_loans"), ratio("total_balance", "all_balance").alias("pct_of_balance"), place.alias("rank_by_balance"), (place <= 5).alias("is_top_5"),
     )
@@ -573,8 +586,12 @@ def property_occupancy_noi(w: Warehouse) -> DataFrame:
         "occupancy_volatility_12m": F.round(F.stddev(double(occ)).over(year), 6), "noi_per_sqft": ratio(noi, "square_feet"), "expense_ratio": ratio("current_expenses", "current_revenue"),
         "trailing_12m_noi": F.sum(noi).over(year), "noi_yoy_growth": ratio(noi - ago, ago) * 100, "_month": F.trunc("reporting_date", "month"),
     })
-    by = {"property_type": Window.partitionBy("property_type_code", "_month"), "state": Window.partitionBy("state", "_month")}
-    usual = {f"avg_{n}_by_{k}": F.round(F.avg(double(c)).over(win), 9) for k, win in by.items() for n, c in (("occupancy", occ), ("noi_per_sqft", F.col("noi_per_sqft")))}
+    stored, usual = kept(rows, "property-occupancy"), {}  # read for each kind of average and beside them
+    rows = stored
+    for name, column in (("property_type", "property_type_code"), ("state", "state")):
+        means = {f"avg_occupancy_by_{name}": double(occ), f"avg_noi_per_sqft_by_{name}": double(F.col("noi_per_sqft"))}
+        rows = with_group_means(rows, [column, "_month"], means, number_of_groups(stored, [column, "_month"]))
+        usual |= {n: F.round(n, 9) for n in means}
     return rows.withColumns(usual).select(
         "property_id", "reporting_date", "property_type_code", "state", "region", occ.alias("current_occupancy"), F.col("securitization_occupancy_pct").alias("securitization_occupancy"),
         "occupancy_change", "trailing_12m_avg_occupancy", "occupancy_volatility_12m", "current_revenue", "current_expenses", "current_noi", "noi_per_sqft", "expense_ratio",
