@@ -103,3 +103,10 @@ def snake_case(name: str) -> str:
         return ABBREVIATIONS[long] + word[len(long) :] if long else word
 
     return "_".join([first, *map(short, rest)])[:LONGEST_NAME]
+
+
+def number_below(cuts: Column, v: Column, most: int) -> Column:
+    """How many of the ascending values of the array ``cuts``, ``most`` at the most, are less than v: a binary search by halves."""
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(most.bit_length()))))
+    more = lambda at, p: at + F.when(F.coalesce(F.get(cuts, at + p - 1) < v, F.lit(False)), p).otherwise(0)
+    return F.aggregate(steps, F.lit(0), more)

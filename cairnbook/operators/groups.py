@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import number_below
+
 #: Groups up to which what is known of them is sent to all executors.
 GROUPS_SENT = 20_000
 #: Ranges that a group's values are cut into, and parts that rows of one frequent value are dealt to.
@@ -46,7 +48,7 @@ def with_rank(rows: DataFrame, by: Sequence[str], value: str, rank: str = "rank"
     v = F.col(value)
     cuts = known.groupBy("_group").agg(F.percentile_approx(v, [i / ranges for i in range(1, ranges)], 100 * ranges).alias("_cuts"))
     cuts = cuts.select("_group", F.array_distinct(F.coalesce("_cuts", F.array().cast(dict(cuts.dtypes)["_cuts"]))).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda c: c < v))
+    below = number_below(F.col("_cuts"), v, ranges)
     cut = F.array_contains("_cuts", v)
     last = 2 * ranges + 1
     place = 2 * below + cut.cast("int")

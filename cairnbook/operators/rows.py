@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first by ``order``, which should be total. Catalyst limits the window's groups before the
@@ -72,3 +74,29 @@ def as_of_versions(facts: DataFrame, versions: DataFrame, key: str, at: str, how
     v = versions.withColumnRenamed(key, "_key")
     fits = (facts[key] == v["_key"]) & (facts[at] >= v[start]) & (facts[at] < v[end])
     return facts.join(v, fits, how).drop("_key")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], into: str = "number") -> DataFrame:
+    """df with the numbers 0, 1, ... of its rows by ``order``, which should be total: it must tell all rows apart that differ.
+
+    Rows are dealt by range and written with their place in their part; the parts' sizes, one number each, give where each
+    begins. So no task has all rows, as a window without groups would.
+    """
+    own = "_place"
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(own, F.monotonically_increasing_id())
+    dealt = kept(dealt, "numbered")
+    part = F.shiftright(own, 33)
+    sizes = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a part
+    starts = F.broadcast(sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start")))
+    out = dealt.withColumn("_part", part).join(starts, "_part")
+    return out.withColumn(into, F.col("_start") + F.col(own).bitwiseAND((1 << 33) - 1)).select(*df.columns, into)
+
+
+def aligned(table: DataFrame, chosen: DataFrame, by: str = "number") -> DataFrame:
+    """The rows of ``table`` with the numbers of ``chosen``, beside its columns, numbered anew from 0 in the same order.
+
+    For two tables that were numbered together, of which one has been filtered since.
+    """
+    both = chosen.join(table, by)
+    return numbered(both.withColumnRenamed(by, "_old"), [F.col("_old")], by).drop("_old")

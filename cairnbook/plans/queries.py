@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import below, filled, ladder, mean, month_part, months_between_parts, parsed_date, ratio, surrogate_key
-from ..operators import checks, profile, validate
-from ..operators.rows import as_of_versions, first_per_key, merged, new_rows, since_latest
-from ..sources import testbook
+from ..operators import checks, groups, profile, selection, validate
+from ..operators.rows import aligned, as_of_versions, first_per_key, merged, new_rows, numbered, since_latest
+from ..sources import clustering, listings, scratch, testbook
+from ..sources.rawstore import RawStore
 from ..sources.schema import ColumnSpec
+from ..sources.versions import VersionedTable
 from .metrics import METRICS, SPREAD_SQL, metric, metric_sql, model_of
 from .oracle import fill, key, month, months, query
 from .warehouse import Warehouse
@@ -390,6 +392,95 @@ def _(s, d):
     return crawl.manifest(filings, exhibits, seen, "1998-01-01", name_prefix="TRUST")
 
 
+@add("q_versioned_upsert", """SELECT 1 AS version, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0
+ UNION ALL SELECT 2, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'changed' ELSE o_orderstatus END FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0
+ UNION ALL SELECT 3, o_orderkey, CASE WHEN o_orderkey % 16 = 0 THEN 'again' WHEN o_orderkey % 4 = 0 THEN 'changed' ELSE o_orderstatus END FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0""")
+def _(s, d):
+    rows = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    table = VersionedTable(s, scratch.folder(s, "versions"))
+    first = table.create(rows.where("o_orderkey % 3 <> 0"), ["o_orderkey"])  # its reader stays on it
+    second = table.upsert(rows.where("o_orderkey % 4 = 0").withColumn("o_orderstatus", F.lit("changed")))
+    third = table.upsert(rows.where("o_orderkey % 16 = 0").withColumn("o_orderstatus", F.lit("again")))
+    each = [x.select(F.lit(n).alias("version"), "*") for n, x in enumerate((first, second, third), 1)]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@add("q_ranks_by_ranges", f"""SELECT source_file, rank() OVER (PARTITION BY payment_frequency_code ORDER BY {_L} DESC NULLS FIRST) AS place,
+ percent_rank() OVER (PARTITION BY payment_frequency_code ORDER BY {_L} DESC NULLS FIRST) AS pct FROM loans""")
+def _(s, d):
+    rows = testbook.loans(s, d).select("source_file", "payment_frequency_code", _L)
+    return groups.with_rank(rows, ["payment_frequency_code"], _L, "place", "pct", descending=True, nulls_first=True).select("source_file", "place", "pct")
+
+
+@add("q_group_means", """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, round(avg(l_extendedprice) OVER (PARTITION BY l_returnflag, l_linestatus), 4) AS usual_price,
+ round(avg(l_quantity) OVER (PARTITION BY l_returnflag, l_linestatus), 6) AS usual_quantity FROM lineitem""")
+def _(s, d):
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus")
+    by = ["l_returnflag", "l_linestatus"]
+    found = groups.with_group_means(rows, by, {"usual_price": F.col("l_extendedprice"), "usual_quantity": F.col("l_quantity")}, groups.number_of_groups(rows, by))
+    return found.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("usual_price", 4).alias("usual_price"), F.round("usual_quantity", 6).alias("usual_quantity"))
+
+
+@add("q_exact_medians", " UNION ALL ".join(f"SELECT '{c}' AS column_name, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median, count(DISTINCT {c}) AS different FROM lineitem" for c in ("l_partkey", "l_quantity", "l_extendedprice", "l_discount")))
+def _(s, d):
+    names = ["l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select(*names)
+    middle, different = selection.medians(rows, {n: F.col(n) for n in names}), selection.distinct_counts(rows, names)
+    return s.createDataFrame([(n, middle[n], different[n]) for n in names], "column_name string, median double, different long")
+
+
+@add("q_align_by_index", """SELECT row_number() OVER (ORDER BY number) - 1 AS number, o_orderkey, o_orderstatus, o_totalprice FROM
+ (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS number, * FROM orders) WHERE o_orderstatus = 'F'""")
+def _(s, d):
+    orders = numbered(s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"), [F.col("o_orderdate"), F.col("o_orderkey")])
+    texts = orders.select("number", "o_orderkey", "o_orderstatus").where("o_orderstatus = 'F'")
+    return aligned(orders.select("number", "o_totalprice"), texts)
+
+
+def _listing_pages(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as listings of their orders in HTML, three orders a page; some pages lack a column, one listing is a circle."""
+    rows = s.read.parquet(f"{d}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
+    at = F.row_number().over(Window.partitionBy("o_custkey").orderBy("day", "o_orderkey")) - 1
+    rows = rows.withColumn("page", F.floor(at / 3).cast("long"))
+    line = F.concat(F.lit("<tr><td>"), F.lit("<a href='/o'>"), F.col("o_orderkey").cast("string"), F.lit("</a></td><td> "), "o_orderstatus", F.lit(" &amp; more<br>second line</td><td>"), F.col("day").cast("string"), F.lit("</td></tr>"))
+    pages = rows.groupBy("o_custkey", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day", "o_orderkey", line.alias("l")))), lambda x: x["l"]), "").alias("body"))
+    url = lambda n: F.concat_ws("/", F.lit("http://x"), F.col("o_custkey").cast("string"), n.cast("string"))
+    broken = (F.col("o_custkey") % 5 == 0) & (F.col("page") == 2)
+    head = F.concat(F.lit("<table class='other'></table><table summary=\"r\" class=\"list tableFile2\"><tr><th>Order</th><th>State</th>"), F.when(broken, "<th>Other</th></tr>").otherwise("<th> Filing Date</th></tr>"))
+    onward = F.concat(F.lit("<input type=\"button\" value=\"Next 3\" onclick=\"parent.location='"), url(F.col("page") + 1), F.lit("'\">"))
+    html = F.concat(head, "body", F.lit("</table>"), onward)
+    starts = pages.where("page = 0").select(F.col("o_custkey").alias("listing"), url(F.col("page")).alias("url"))
+    return pages.select(url(F.col("page")).alias("url"), html.alias("html")), starts
+
+
+@add("q_paged_tables", """SELECT o_custkey AS listing, page, (n % 3) AS row, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS filing_date, o_orderstatus || ' & more' AS state FROM
+ (SELECT *, n // 3 AS page FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - 1 AS n FROM orders))
+ WHERE page < 10 AND (o_custkey % 5 <> 0 OR page < 2)""")
+def _(s, d):
+    pages, starts = _listing_pages(s, d)
+    rows = listings.listed(pages, starts, ["Filing Date", "State", "Order"], rows_a_page=3)
+    t = F.col("texts")
+    return rows.select("listing", "page", "row", t[2].alias("o_orderkey"), t[0].alias("filing_date"), t[1].alias("state"))
+
+
+@add("q_raw_store", """SELECT url AS key, count(DISTINCT url) AS n_keys, min(sha256(html)) AS sha256 FROM pages WHERE url IS NOT NULL AND html IS NOT NULL GROUP BY url""")
+def _(s, d):
+    store, pages = RawStore(s, scratch.folder(s, "raw")), s.read.parquet(f"{d}/pages.parquet")
+    files = pages.select(F.col("url").alias("key"), F.col("html").cast("binary").alias("content"), "page_id")
+    store.save(files.join(files.where("page_id % 2 = 0").select("key").distinct(), "key", "left_semi"))
+    store.save(files)  # skips what the first run has stored
+    found = store.read()
+    return found.groupBy("key").agg(F.count("*").alias("n_keys"), F.min(F.sha2("content", 256)).alias("sha256"))
+
+
+@add("q_clustered_ranges", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_partkey BETWEEN 40 AND 60 AND l_extendedprice BETWEEN 1000 AND 30000")
+def _(s, d):
+    folder = scratch.folder(s, "clustered")
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    clustering.write_clustered(rows, folder, ["l_partkey", "l_extendedprice"], 32)
+    return clustering.read_ranges(s, folder, {"l_partkey": (40, 60), "l_extendedprice": (1000.0, 30000.0)})
+
+
 # --- profiles ---------------------------------------------------------------------------------------------------------
 
 

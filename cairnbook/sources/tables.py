@@ -7,7 +7,8 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.rows import merged, unique
+from ..operators.rows import merged, new_rows, unique
+from .scratch import kept
 
 
 def _path(spark: SparkSession, name: str):
@@ -128,13 +129,39 @@ def upsert_partitions(spark: SparkSession, changes: DataFrame, folder: str, keys
     spark.catalog.refreshByPath(folder)
 
 
-def jdbc_query(spark: SparkSession, url: str, sql: str, **options: str) -> DataFrame:
-    """A query's result over JDBC; partition options (partitionColumn, lowerBound, ...) read it in parallel."""
-    return spark.read.format("jdbc").option("url", url).option("dbtable", f"({sql}) q").options(**options).load()
+def _quoted(spark: SparkSession, url: str, name: str) -> str:
+    """A column's name as that server's SQL has it."""
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(name)
 
 
-def jdbc_append(df: DataFrame, url: str, table: str, **options: str) -> None:
-    df.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode("append").save()
+def jdbc_query(spark: SparkSession, url: str, sql: str, split: str | None = None, parts: int = 8, **options: str) -> DataFrame:
+    """A query's result over JDBC. ``split``, a number, date or time of it, reads it in ``parts`` ranges at once, between the
+    ends that the server names first; without rows, or with one value, it is one read."""
+    read = spark.read.format("jdbc").option("url", url).options(**options)
+    if split is not None:
+        name = _quoted(spark, url, split)
+        ends = read.option("dbtable", f"(SELECT min({name}) AS a, max({name}) AS b FROM ({sql}) q) e").load().first()
+        low, high = ends[0], ends[1]
+        if low is not None and low != high:
+            read = read.option("partitionColumn", split).option("lowerBound", str(low)).option("upperBound", str(high)).option("numPartitions", parts)
+    return read.option("dbtable", f"({sql}) q").load()
+
+
+def jdbc_append(df: DataFrame, url: str, table: str, at_once: int = 8, **options: str) -> None:
+    """Appends rows, over ``at_once`` connections at the most; each part is one transaction of the server."""
+    df.write.format("jdbc").option("url", url).option("dbtable", table).option("numPartitions", at_once).options(**options).mode("append").save()
+
+
+def jdbc_new_rows(df: DataFrame, url: str, table: str, keys: Sequence[str], **options: str) -> int:
+    """Appends the rows whose keys the server's table does not have, each key once; how many. Only the keys are read.
+
+    The rows are stored before the first is sent: reading them again while the table grows would skip what is not there yet.
+    """
+    known = jdbc_query(df.sparkSession, url, f"SELECT {', '.join(_quoted(df.sparkSession, url, k) for k in keys)} FROM {table}", **options)
+    known = known.select(*(F.col(c).alias(k) for c, k in zip(known.columns, keys, strict=True)))
+    fresh = kept(new_rows(df.dropDuplicates(list(keys)), known, keys), "jdbc")
+    jdbc_append(fresh, url, table, **options)
+    return fresh.count()
 
 
 def records(spark: SparkSession, sql: str) -> Iterator[dict]:
