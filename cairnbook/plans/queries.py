@@ -87,6 +87,23 @@ def _doubles(columns: str) -> str:
 for _name, _columns in MODELS.items():
     add(f"m_{_name}", f"SELECT *{_doubles(_columns)} FROM {_name}")(lambda s, d, n=_name: warehouse(s, d)[n])
 
+
+# the two dimensions that come from no table are queried with the rows that refer to them
+@add("m_dim_date", "SELECT d.*, coalesce(n, 0) AS loan_rows FROM dim_date d LEFT JOIN (SELECT reporting_period_end_date AS day, count(*) AS n FROM loans GROUP BY 1) ON day = date_id")
+def _(s, d):
+    w = warehouse(s, d)
+    n = w.loans.groupBy(F.col("reporting_period_end_date").alias("date_id")).agg(F.count("*").alias("loan_rows"))
+    return w["dim_date"].join(n, "date_id", "left").withColumn("loan_rows", F.coalesce("loan_rows", F.lit(0)))
+
+
+@add("m_dim_geo_state", "SELECT g.*, coalesce(n, 0) AS property_rows FROM dim_geo_state g LEFT JOIN (SELECT property_state, count(*) AS n FROM properties GROUP BY 1) ON property_state = state_code")
+def _(s, d):
+    w = warehouse(s, d)
+    n = w.properties.groupBy(F.col("property_state").alias("state_code")).agg(F.count("*").alias("property_rows"))
+    dim = w["dim_geo_state"]
+    return dim.join(n, "state_code", "left").select(*dim.columns, F.coalesce("property_rows", F.lit(0)).alias("property_rows"))
+
+
 # --- metrics ----------------------------------------------------------------------------------------------------------
 
 for _name in METRICS:
@@ -102,9 +119,13 @@ add("metric_delinquency_by_trust", metric_sql(_TOTALS, ("trust_id", "reporting_d
 _L = "report_period_end_scheduled_loan_bal_amt"
 
 
-@add("q_date_spine", "SELECT CAST(unnest(generate_series(DATE '2000-01-01', DATE '2000-12-30', INTERVAL 1 DAY)) AS DATE) AS day")
+@add("q_date_spine", """SELECT day, count(o_orderkey) AS orders FROM (SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS day FROM
+ (SELECT min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day FROM orders)) LEFT JOIN orders ON CAST(o_orderdate AS DATE) = day GROUP BY day""")
 def _(s, d):
-    return s.range(1).select(F.explode(F.sequence(F.lit("2000-01-01").cast("date"), F.lit("2000-12-30").cast("date"))).alias("day"))
+    """Every day from the first order to the last, also those without one."""
+    orders = s.read.parquet(f"{d}/orders.parquet").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
+    days = orders.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a is not null").select(F.explode(F.sequence("a", "b")).alias("day"))
+    return days.join(orders, "day", "left").select("day", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 @add("q_surrogate_key", f"SELECT asset_num, source_file, {key('asset_num', 'reporting_period_end_date', 'maturity_date')} AS id FROM loans")
@@ -189,13 +210,15 @@ def _(s, d):
     return rows.join(base, ["asset_num", "reporting_period_end_date"]).select("base_file", F.col("source_file").alias("split_file"))
 
 
-@add("q_split_note_properties", """SELECT asset_num, property_num, reporting_period_end_date, b.property_city FROM properties
- LEFT JOIN (SELECT asset_num || 'A' AS asset_num, property_num, reporting_period_end_date, property_city FROM properties) b USING (asset_num, property_num, reporting_period_end_date)""")
+@add("q_split_note_properties", """SELECT p.asset_num, p.property_num, p.reporting_period_end_date, b.last_row.city AS property_city FROM properties p LEFT JOIN
+ (SELECT asset_num || 'A' AS note, property_num, reporting_period_end_date, max({'file': source_file, 'city': property_city}) AS last_row FROM properties GROUP BY 1, 2, 3) b
+ ON b.note = p.asset_num AND b.property_num = p.property_num AND b.reporting_period_end_date = p.reporting_period_end_date""")
 def _(s, d):
+    """Each row with the city of its base row, the last by file: one row each, however many rows a key has."""
     keys = ["asset_num", "property_num", "reporting_period_end_date"]
-    rows = testbook.properties(s, d)
-    base = rows.select(F.concat("asset_num", F.lit("A")).alias("asset_num"), *keys[1:], "property_city")
-    return rows.select(*keys).join(base, keys, "left")
+    rows = testbook.properties(s, d).select(*keys, "source_file", "property_city")
+    base = rows.groupBy(F.concat("asset_num", F.lit("A")).alias("asset_num"), *keys[1:]).agg(F.max(F.struct("source_file", "property_city")).alias("last_row"))
+    return rows.select(*keys).join(base, keys, "left").select(*keys, F.col("last_row.property_city").alias("property_city"))
 
 
 @add("q_geo_rollup", "SELECT region_name, division_name, state_code, count(*) AS places, count(DISTINCT city_name) AS cities FROM geo GROUP BY 1, 2, 3")
