@@ -4,9 +4,11 @@ Pages of a host are dealt by layout, the set of sections, boxes and menus their
 ``LEAST`` pages are one). Of each, the DOM trees of ``SAMPLE`` distinct pages are aligned by simple tree matching: the
 largest mapping that keeps roots, order and ancestry, equal texts counting extra. The aligned slots give two things.
 
-* The wrapper: slots whose text varies, is not linked and is longer than a label are prose; the content is the smallest
-  box that holds nearly all prose, written down as the way to it: at each level the siblings (with their constant texts)
-  and which of them to enter. Slots below it that are always linked are menus. In any page of the layout the way is followed by
+* The wrapper: slots whose text varies, is not linked and is longer than a label are prose (of pages whose markup names an
+  article, only slots in it). The content is the smallest box that holds nearly all prose, but no part of an article that
+  the markup names, and widened while the boxes around it hold nearly nothing but varying unlinked text and headings: a
+  lead, a body and a closing section in boxes of their own belong together. It is written down as the way to it: at each
+  level the siblings (with their constant texts) and which of them to enter. Slots below it that are always linked are menus. In any page of the layout the way is followed by
   aligning each level's children with the wrapper's; what lies outside, whether constant or varying, goes. Headings of the first
   rank outside stay. Only if a page's markup names an article and the way misses it is the markup followed.
 * Template: blocks that stand in the same place with the same text on any two pages are proposed; a layout with fewer
@@ -18,8 +20,8 @@ largest mapping that keeps roots, order and ancestry, equal texts counting extra
 A page's blocks are then read in order: inside the content (of pages without a wrapper: inside their articles or main
 element, or the body, where they have neither), without template blocks and without what markup names as menu, header,
 footer, sidebar, notice, advert, form, script, style or reader comments. Character references are decoded, white space
-in a block becomes one space, blocks are joined by two line ends. Unclosed and stray tags are tolerated; time is linear
-in the page.
+in a block becomes one space, blocks are joined by two line ends. Unclosed, unended and stray tags are tolerated, to any
+depth; reading a page takes time and memory in proportion to it.
 
 Null or empty html: empty text. Pages without a host share the empty host; repeated pages are extracted each; other
 columns are not read. Pages of equal html count once.
@@ -33,7 +35,8 @@ import html as entities
 import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -48,6 +51,8 @@ SAMPLE, LEAST = 4, 3
 NEARLY = 95
 #: Rows of a few numbers a layout, and hosts with a wrapper, up to which they are sent to all executors; more are joined.
 LAYOUTS_SENT, HOSTS_SENT = 100_000, 20_000
+#: Bytes of all hosts' template keys and wrappers up to which they are sent.
+KNOWN_SENT = 32_000_000
 #: Characters from which unlinked varying text is prose; share of it, in percent, that the content holds; share of a
 #: text's characters in links from which it is linked.
 PROSE, HELD, LINKED = 60, 80, 80
@@ -62,6 +67,7 @@ BLOCKS = frozenset(
 SECTIONS = frozenset("article main section div nav header footer aside form".split())
 DROPPED = frozenset("nav footer aside form fieldset button select dialog svg canvas object video audio menu head".split())
 BOXES = frozenset("html body article main section div td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Words in class, id and role that name parts beside the article.
 BESIDE = frozenset(
@@ -71,11 +77,13 @@ BESIDE = frozenset(
     "commentlist disqus respond replies footer masthead skip toolbar complementary contentinfo".split()
 )
 
+#: A tag's attributes; one without its ">" ends before the next "<".
+_ATTRIBUTES = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<(script|style|textarea|title|noscript|template|iframe)\b[^>]*>(?:.*?</\1\s*>|.*)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    rf"|<(script|style|textarea|title|noscript|template|iframe)\b{_ATTRIBUTES}>(?:.*?</\1\s*>|.*)"
+    r"|<[!?][^<>]*+(?:>|(?=<)|\Z)"
+    rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})(?:>|(?=<)|\Z)",
     re.S | re.I,
 )
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -83,21 +91,46 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|di
 _WORD = re.compile(r"[a-z]+")
 
 
+def _hashed(*parts: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(b"\n".join(parts), digest_size=8).digest(), "little", signed=True)
+
+
+class Element:
+    """An open block element: its tag, the one it stands in, and what holds for all its blocks: a hash of the tags down to it,
+    the sections among them (see ``layout_of``), and whether a heading of the first rank is one of them."""
+
+    __slots__ = ("parent", "path", "sections", "tag", "title")
+
+    def __init__(self, tag: str, parent: Element | None):
+        self.tag, self.parent = tag, parent
+        above = parent.sections if parent else ()
+        ended = len(above) == 3 or (above and above[-1] in ("article", "main"))
+        self.sections = above if ended or tag not in SECTIONS else (*above, tag)
+        self.path = _hashed(tag.encode(), parent.path.to_bytes(8, "little", signed=True) if parent else b"")
+        self.title = tag == "h1" or (parent is not None and parent.title)
+
+
 class Block:
-    """A block's text and how much of it is linked, the elements it stands in (tags, and their numbers in the page), and
-    whether it is inside an article or beside it."""
+    """A block's text, whether it is linked, the innermost element it stands in (None outside of all), and whether it is
+    inside an article or beside it."""
+
+    __slots__ = ("_key", "beside", "element", "inside", "linked", "text")
 
-    __slots__ = ("beside", "elements", "inside", "linked", "path", "text")
+    def __init__(self, text: str, linked: bool, element: Element | None, inside: bool, beside: bool):
+        self.text, self.linked, self.element, self.inside, self.beside = text, linked, element, inside, beside
+        self._key: int | None = None
 
-    def __init__(self, text: str, linked: bool, path: tuple[str, ...], elements: tuple[int, ...], inside: bool, beside: bool):
-        self.text, self.linked, self.path, self.elements, self.inside, self.beside = text, linked, path, elements, inside, beside
+    @property
+    def path(self) -> int:
+        return self.element.path if self.element else 0
 
     def key(self) -> int:
-        said = "/".join(self.path) + "\n" + self.text
-        return int.from_bytes(hashlib.blake2b(said.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+        if self._key is None:
+            self._key = _hashed(self.path.to_bytes(8, "little", signed=True), self.text.encode("utf-8", "replace"))
+        return self._key
 
     def prose(self) -> int:
-        return len(self.text) if len(self.text) >= PROSE and not self.linked else 0
+        return len(self.text) if len(self.text) >= PROSE and not self.linked and not self.beside else 0
 
 
 def _is_beside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -112,20 +145,32 @@ def _is_beside(tag: str, attributes: str, in_article: bool) -> bool:
     return not BESIDE.isdisjoint(words)
 
 
+class _Open(NamedTuple):
+    """An open tag: whether it or one around it is beside an article, or an article; the innermost block element, and where
+    the tag of that stands among the open ones (-1: there is none)."""
+
+    tag: str
+    beside: bool
+    article: bool
+    element: Element | None
+    block: int
+
+
+_NOTHING = _Open("", False, False, None, -1)
+
+
 def blocks(page: str) -> Iterator[Block]:
     """The text blocks of a page, in order."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, beside, article
+    stack: list[_Open] = []
+    opened: collections.Counter[str] = collections.Counter()  # open tags by name
     text: list[str] = []
-    path: list[str] = []
-    elements: list[int] = []
-    serial, links, linked = 0, 0, 0
+    links, linked = 0, 0
 
     def close(n: int) -> None:
         nonlocal links
         while len(stack) > n:
-            tag = stack.pop()[0]
-            if tag in BLOCKS:
-                path.pop(), elements.pop()
+            tag = stack.pop().tag
+            opened[tag] -= 1
             links -= tag == "a"
 
     def flush() -> Iterator[Block]:
@@ -134,7 +179,8 @@ def blocks(page: str) -> Iterator[Block]:
             raw = "".join(text)
             joined = " ".join(entities.unescape(raw).split())
             if joined:
-                yield Block(joined, linked * 100 >= len(raw.strip()) * LINKED, tuple(path), tuple(elements), any(x[2] for x in stack), any(x[1] for x in stack))
+                top = stack[-1] if stack else _NOTHING
+                yield Block(joined, linked * 100 >= len(raw.strip()) * LINKED, top.element, top.article, top.beside)
             text.clear()
             linked = 0
 
@@ -143,6 +189,19 @@ def blocks(page: str) -> Iterator[Block]:
         text.append(part)
         linked += len(part) if links else 0
 
+    def end(tag: str) -> None:
+        if tag in BLOCKS:
+            while opened[tag] and stack[-1].tag != tag:
+                close(len(stack) - 1)
+            if opened[tag]:
+                close(len(stack) - 1)
+            return
+        # an inline end tag closes no block: it is looked for down to the innermost one
+        for i in range(len(stack) - 1, stack[-1].block if stack else -1, -1):
+            if stack[i].tag == tag:
+                close(i)
+                return
+
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -156,31 +215,25 @@ def blocks(page: str) -> Iterator[Block]:
         if tag in BLOCKS:
             yield from flush()
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if tag not in BLOCKS and any(x[0] in BLOCKS for x in stack[i:]):
-                        break  # a stray inline end tag closes no block
-                    close(i)
-                    break
+            if opened[tag]:
+                end(tag)
             continue
-        if tag in BLOCKS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or (tag in ("li", "dt", "dd", "td", "th", "tr") and stack[i][0] == tag):
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+        if tag in BLOCKS and stack and stack[-1].block >= 0:
+            near = stack[stack[-1].block].tag
+            if near == "p" or (tag in ("li", "dt", "dd", "td", "th", "tr") and near == tag):
+                close(stack[-1].block)
         if tag in VOID or m[4].endswith("/"):
             continue
+        top = stack[-1] if stack else _NOTHING
         article = tag in ("article", "main")
-        beside = _is_beside(tag, m[4], any(x[2] for x in stack))
-        if article and not beside and not any(x[2] for x in stack):
-            close(sum(1 for x in stack if x[0] in ("html", "body")))  # whatever was left open before it
-        stack.append((tag, beside, article))
+        beside = _is_beside(tag, m[4], top.article)
+        if article and not beside and not top.article:
+            close(sum(1 for x in stack if x.tag in ("html", "body")))  # whatever was left open before it
+            top = stack[-1] if stack else _NOTHING
+        block = tag in BLOCKS
+        stack.append(_Open(tag, beside or top.beside, article or top.article, Element(tag, top.element) if block else top.element, len(stack) if block else top.block))
+        opened[tag] += 1
         links += tag == "a"
-        if tag in BLOCKS:
-            serial += 1
-            path.append(tag), elements.append(serial)
     if at < len(page):
         said(page[at:])
     yield from flush()
@@ -196,22 +249,31 @@ class Node:
 def tree(found: list[Block]) -> Node:
     """The DOM of a page's blocks: inner nodes are elements, leaves are blocks in their order."""
     root = Node("")
-    open_: list[Node] = [root]
-    last: tuple[int, ...] = ()
+    known: dict[int, Node] = {}
     for b in found:
-        same = 0
-        while same < min(len(last), len(b.elements)) and last[same] == b.elements[same]:
-            same += 1
-        del open_[same + 1 :]
-        for tag in b.path[same:]:
-            node = Node(tag)
-            open_[-1].children.append(node)
-            open_.append(node)
-        open_[-1].blocks.append(b)
-        last = b.elements
+        new, element = [], b.element
+        while element is not None and id(element) not in known:
+            new.append(element)
+            element = element.parent
+        node = known[id(element)] if element is not None else root
+        for element in reversed(new):
+            child = known[id(element)] = Node(element.tag)
+            node.children.append(child)
+            node = child
+        node.blocks.append(b)
     return root
 
 
+def summed(root: Node, of: Callable[[Block], int]) -> dict[int, int]:
+    """For each node, by its id, the sum of ``of`` over its blocks and those of the nodes below it."""
+    order, out = [root], {}
+    for node in order:
+        order += node.children
+    for node in reversed(order):
+        out[id(node)] = sum(map(of, node.blocks)) + sum(out[id(c)] for c in node.children)
+    return out
+
+
 def held(node: Node) -> list[Block]:
     """All blocks of a node and the nodes below it."""
     out, todo = [], [node]
@@ -223,30 +285,43 @@ def held(node: Node) -> list[Block]:
 
 
 def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the size of the largest ordered mapping of two trees with equal roots, and its nodes."""
-    if a.tag != b.tag:
-        return 0, []
-    own = 1 + sum(x.text == y.text for x, y in zip(a.blocks, b.blocks, strict=False))
-    pairs = [(a, b)]
-    n, m = len(a.children), len(b.children)
-    if not n or not m:
-        return own, pairs
-    inner = [[match(x, y) for y in b.children] for x in a.children]
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        row, above, values = best[i], best[i - 1], inner[i - 1]
-        for j in range(1, m + 1):
-            row[j] = max(row[j - 1], above[j], above[j - 1] + values[j - 1][0])
-    i, j = n, m
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs += inner[i][j][1]
-    return own + best[n][m], pairs
+    """Simple tree matching: the size of the largest ordered mapping of two trees with equal roots, and its nodes.
+
+    Pairs of nodes are settled after those of their children, from a list of what is to do: trees may be of any depth.
+    """
+    size: dict[tuple[int, int], int] = {}
+    chosen: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
+    todo = [(a, b, False)]
+    while todo:
+        x, y, ready = todo.pop()
+        if x.tag != y.tag:
+            size[id(x), id(y)] = 0
+            continue
+        if not ready:
+            todo.append((x, y, True))
+            todo += ((c, d, False) for c in x.children for d in y.children if c.tag == d.tag)
+            continue
+        n, m = len(x.children), len(y.children)
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(1, n + 1):
+            row, above, left = best[i], best[i - 1], id(x.children[i - 1])
+            for j in range(1, m + 1):
+                row[j] = max(row[j - 1], above[j], above[j - 1] + size.get((left, id(y.children[j - 1])), 0))
+        i, j, mapped = n, m, []
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                mapped.append((x.children[i], y.children[j]))
+        size[id(x), id(y)] = 1 + sum(p.text == q.text for p, q in zip(x.blocks, y.blocks, strict=False)) + best[n][m]
+        chosen[id(x), id(y)] = mapped
+    pairs = [(a, b)] if a.tag == b.tag else []
+    for x, y in pairs:  # grows while it is read
+        pairs += chosen[id(x), id(y)]
+    return size[id(a), id(b)], pairs
 
 
 def slots(pairs: list[tuple[Node, Node]]) -> Iterator[tuple[Block, Block]]:
@@ -256,16 +331,8 @@ def slots(pairs: list[tuple[Node, Node]]) -> Iterator[tuple[Block, Block]]:
 
 def layout_of(found: list[Block]) -> int:
     """A hash of the sections that a page's blocks stand in, to a depth of three, and not below an article."""
-    seen = set()
-    for b in found:
-        said = []
-        for tag in b.path:
-            if tag in SECTIONS:
-                said.append(tag)
-                if len(said) == 3 or tag in ("article", "main"):
-                    break
-        seen.add("/".join(said))
-    return int.from_bytes(hashlib.blake2b("\n".join(sorted(seen)).encode(), digest_size=8).digest(), "little", signed=True)
+    seen = {"/".join(b.element.sections) if b.element else "" for b in found}
+    return _hashed(*(x.encode() for x in sorted(seen)))
 
 
 def proposed(pages: list[str]) -> list[int]:
@@ -292,31 +359,46 @@ def wrapper_of(pages: list[str]) -> str | None:
             place.setdefault(id(a), []).append(b)
     constant = {id(b) for b in read[k] if same[id(b)] == len(read)}
     fixed = {(b.path, b.text) for b in read[k] if id(b) in constant}
-    prose = lambda node: sum(b.prose() for n in place[id(node)] for b in held(n) if (b.path, b.text) not in fixed)
-    node, all_prose, levels = trees[k], prose(trees[k]), []
-    while all_prose:
+    varies = lambda b: (b.path, b.text) not in fixed
+    named = any(b.prose() and b.inside and varies(b) for b in read[k])
+    counted = lambda b: b.prose() if (b.inside or not named) and varies(b) else 0
+    sums = {key: n for t in trees for key, n in summed(t, counted).items()}
+    prose = lambda node: sum(sums[id(n)] for n in place.get(id(node), ()))
+    node, all_prose, levels, way = trees[k], prose(trees[k]), [], []
+    while all_prose and node.tag not in ("article", "main"):
         inner = [c for c in node.children if c.tag in BOXES and (c.children or len(c.blocks) > 1) and prose(c) * 100 >= all_prose * HELD]
         if not inner:
             break
-        siblings = [[c.tag, sorted(b.key() for b in held(c) if id(b) in constant)] for c in node.children]
+        # what is constant in the one to enter is never looked at: its siblings tell where it is
+        siblings = [[c.tag, [] if c is inner[0] else sorted(b.key() for b in held(c) if id(b) in constant)] for c in node.children]
         levels.append([siblings, node.children.index(inner[0])])
+        way.append(node)
         node = inner[0]
     if not levels:
         return None
-    menus: dict[tuple[str, ...], bool] = {}
+    # widen: around the content, texts that vary and lead nowhere, and headings, are parts of it
+    part = lambda b: len(b.text) if not b.linked and not b.beside and (varies(b) or (b.element and b.element.tag in HEADINGS)) else 0
+    parts, all_text = summed(trees[k], part), summed(trees[k], lambda b: len(b.text))
+    while len(levels) > 1 and way[-1].tag not in ("", "html", "body"):
+        around = all_text[id(way[-1])] - all_text[id(node)]
+        if around and (parts[id(way[-1])] - parts[id(node)]) * 100 < around * HELD:
+            break
+        node = way.pop()
+        levels.pop()
+    menus: dict[int, bool] = {}
     for b in (b for x in read for b in x):
         menus[b.path] = menus.get(b.path, True) and b.linked
-    return json.dumps([levels, sorted(list(p) for p, always in menus.items() if always)])
+    return json.dumps([levels, sorted(p for p, always in menus.items() if always)])
 
 
 def content_of(found: list[Block], levels: list) -> Node | None:
     """The node of a page that the wrapper's way leads to; none if it can't be followed to the end."""
     node = tree(found)
+    sums = summed(node, Block.prose)
     for siblings, entered in levels:
         known = [set(x[1]) for x in siblings]
-        mine = [held(c) for c in node.children]
-        keys = [{b.key() for b in x} if any(known) else set() for x in mine]
-        prose = [sum(b.prose() for b in x) for x in mine]
+        keys = [{b.key() for b in held(c)} if any(known) else set() for c in node.children]
+        prose = [sums[id(c)] for c in node.children]
         all_prose = sum(prose) or 1
 
         def value(i: int, j: int) -> float:
@@ -324,7 +406,7 @@ def content_of(found: list[Block], levels: list) -> Node | None:
                 return -1.0
             return 1 + (0.9 * prose[j] / all_prose if i == entered else len(known[i] & keys[j]))  # noqa: B023
 
-        n, m = len(siblings), len(mine)
+        n, m = len(siblings), len(node.children)
         best = [[0.0] * (m + 1) for _ in range(n + 1)]
         for i in range(1, n + 1):
             for j in range(1, m + 1):
@@ -352,13 +434,13 @@ def main_text(page: str | None, known: dict[int, tuple[frozenset[int], list | No
     found = list(blocks(page or ""))
     mine, wrapper = known.get(layout_of(found), known[0]) if known else (frozenset(), None)
     node = content_of(found, wrapper[0]) if wrapper else None
-    content, menus = set(map(id, held(node))) if node else set(), {tuple(x) for x in wrapper[1]} if wrapper else set()
+    content, menus = set(map(id, held(node))) if node else set(), set(wrapper[1]) if wrapper else set()
     inside = any(b.inside for b in found)
     if inside and not any(b.inside and not b.beside for b in found if id(b) in content):
         content = set()
     if content:
         inside = any(b.inside for b in found if id(b) in content)
-        title = lambda b: "h1" in b.path and not b.linked and id(b) not in content
+        title = lambda b: b.element is not None and b.element.title and not b.linked and id(b) not in content
         kept = (b for b in found if title(b) or (id(b) in content and b.inside == inside and not (b.linked and b.path in menus)))
     else:
         kept = (b for b in found if b.inside == inside)
@@ -460,7 +542,10 @@ def extracted(spark: SparkSession, pages: DataFrame, url_col: str = "url", html_
     keyed = pages.select(host.alias("host"), F.xxhash64(html_col).alias("page_key"), F.col(html_col).alias("html"))
     own, keys = free_name(pages, "_host"), free_name(pages, "_known")
     known = scratch.keep(templates(keyed, scratch), "templates").select(F.col("host").alias(own), F.col("known").alias(keys))
-    found = pages.withColumn(own, host).join(sent_if_small(known, HOSTS_SENT), own, "left")
+    weight = F.aggregate(keys, F.lit(0), lambda n, x: n + F.size(x["keys"]) * 8 + F.length(F.coalesce(x["wrapper"], F.lit(""))))
+    bytes_ = known.agg(F.sum(weight.cast("long"))).first()[0] or 0
+    known = sent_if_small(known, HOSTS_SENT) if bytes_ <= KNOWN_SENT else known
+    found = pages.withColumn(own, host).join(known, own, "left")
     return found.withColumn(into, _extracted(html_col, keys)).select(*dict.fromkeys([*pages.columns, into]))
 
 

@@ -591,7 +591,7 @@ def test_tree_matching_against_brute_force():
 
     def grow(depth):
         node = html_extract.Node(rng.choice("xy"))
-        node.blocks = [html_extract.Block(rng.choice("pq"), False, (), (), False, False)] if rng.random() < 0.6 else []
+        node.blocks = [html_extract.Block(rng.choice("pq"), False, None, False, False)] if rng.random() < 0.6 else []
         node.children = [grow(depth - 1) for _ in range(rng.randrange(4))] if depth else []
         return node
 
