@@ -28,12 +28,20 @@ PIECE, CHUNKS = 128, (1 << 22, 1 << 16, 1 << 10)
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 _LOCAL = "A-Za-z0-9._%+-"
+#: Countries by the length of their IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VG",
+    23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN", 25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL",
+    29: "BR PS QA UA", 30: "JO KW MU", 31: "MT",
+}
+_FIXED = "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 PATTERNS = {
     "email": rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    # of the country's length, so that words after it are not taken for a part of it; else as long as there is
+    "iban": rf"(?<![A-Za-z0-9])(?:{_FIXED}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,}+",
     "inner card": r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])",

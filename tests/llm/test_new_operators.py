@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cairnbook.llm import fill_middle, hard_negatives, language_id, queries
+from cairnbook.llm import fill_middle, hard_negatives, language_id, pii, queries
 from cairnbook.llm.shared import prepare
 
 
@@ -247,3 +247,16 @@ def test_skipped_buckets():
 
 def test_negatives_sql_is_duckdb():
     assert duckdb.sql(f"SELECT * FROM (WITH embeddings AS (SELECT 100 AS vec_id, [1.0::FLOAT] AS embedding, 1 AS label) {hard_negatives.OP13_SQL.strip().replace('WITH r AS', ', r AS', 1)})").fetchall() == []
+
+
+# --- 2: IBANs before other words ---------------------------------------------------------------------------------------
+
+
+def test_ibans_end_where_their_country_says(spark):
+    texts = {
+        "DE89370400440532013000 BIC COBADEFF": "iban:0:22", "pay NL91ABNA0417164300 2024": "iban:4:22", "GB29 NWBK 6016 1331 9268 19 AND MORE": "iban:0:27",
+        "FR1420041010050500013M02606 OK": "iban:0:27", "DE89370400440532013001 BIC": "", "XY12 and DE89370400440532013000X": "", "NO9386011117947": "iban:0:15",
+    }
+    rows = pii.detected(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    got = {r.text: ",".join(f"{x.kind}:{x.start}:{x.end}" for x in r.pii["all"] if x.kind == "iban") for r in rows}
+    assert got == texts
