@@ -3,8 +3,9 @@
 Each stage takes the documents that the one before it kept, and its result is written and read again as the next one's
 input, so a lost executor costs one task of one stage. All but the last return the columns of ``documents``.
 
-Rejected documents go; of each near-duplicate group the document with the smallest id stays (documents with a null id
-all stay); documents that a benchmark item leaked into go; personal data is masked, and ``n_chars`` follows the text; the
+Rejected documents go; of each near-duplicate group the document with the smallest id stays, rows with a null id or one
+that several rows have being judged by their texts and standing behind all others; documents that a benchmark item leaked
+into go, with or without an id; personal data is masked, and ``n_chars`` follows the text; the
 rest is packed into training sequences.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cairnbook.llm import decontamination, minhash_dedup, packing, pii, quality_rules
 from cairnbook.llm.shared import Scratch, free_name, prepare, sent_if_small, table
+from cairnbook.operators.rows import numbered
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,23 +32,43 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 NEAR_PERCENT = 80
 
 
+def _with_node(docs: DataFrame, own: str) -> DataFrame:
+    """docs with a column ``own``: a number of its own for each id, or, where an id is null or several rows have it, for each
+    id and text. Ids that one row has come first, as they are; the others are numbered behind them, by id and text."""
+    spark, id_ = docs.sparkSession, F.col("doc_id")
+    again = docs.where(id_.isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = Scratch(spark, "ids").keep(again, "again")
+    odd = docs.where(id_.isNull()).unionByName(docs.join(sent_if_small(again), "doc_id", "left_semi").select(docs.columns))
+    if odd.isEmpty():
+        return docs.withColumn(own, id_)
+    single = docs.where(id_.isNotNull()).join(sent_if_small(again), "doc_id", "left_anti").select(docs.columns).withColumn(own, id_)
+    said = [F.xxhash64(F.lit(i), F.coalesce("text", F.lit(""))) for i in (0, 1)]
+    keys = [free_name(docs, f"key{i}") for i in range(3)]
+    odd = odd.withColumns({keys[0]: F.coalesce(id_, F.lit(0)), keys[1]: said[0], keys[2]: said[1]}).withColumn(keys[0], F.struct(id_.isNull(), keys[0]))
+    numbers = numbered(odd.select(keys).distinct(), [F.col(k) for k in keys], own)
+    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    odd = odd.join(numbers, keys).withColumn(own, F.col(own) + F.lit(max(0, top) + 1))
+    # of rows with one id and one text, the smallest by the other columns stays
+    odd = odd.groupBy(own).agg(F.min(F.struct(*docs.columns)).alias(keys[0])).select(f"{keys[0]}.*", own)
+    return single.unionByName(odd)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash_dedup.near_duplicates(spark, docs.select("doc_id", "text"), percent=NEAR_PERCENT)
-    gone = Scratch(spark, "gone").keep(found.where("not kept").select("doc_id").distinct(), "ids")
-    docs = docs.join(sent_if_small(gone), "doc_id", "left_anti").select(docs.columns)
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return docs
-    # rows of one id are one node: of them, the smallest by text and the other columns stays
-    others = [c for c in docs.columns if c != "doc_id"]
-    many = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("o"))
-    return docs.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(many.select("doc_id", "o.*"))
+    own, scratch = free_name(docs, "node"), Scratch(spark, "gone")
+    nodes = _with_node(docs, own)
+    found = minhash_dedup.near_duplicates(spark, nodes.select(own, "text"), id_col=own, percent=NEAR_PERCENT)
+    gone = scratch.keep(found.where("not kept").select(found.columns[0]).distinct().toDF(own), "ids")
+    return nodes.join(sent_if_small(gone), own, "left_anti").select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.leaks(spark, docs, table(spark, sf_dir, "benchmark"))
-    found = Scratch(spark, "leaks").keep(found.select("doc_id").distinct(), "ids")
-    return docs.join(sent_if_small(found), "doc_id", "left_anti").select(docs.columns)
+    """Decides by id and text, so rows without an id, or with that of another row, are judged by what they say."""
+    own = free_name(docs, "row")
+    key = F.struct(F.xxhash64(F.lit(0), "doc_id", "text"), F.xxhash64(F.lit(1), "text", "doc_id"))
+    docs_ = docs.withColumn(own, key)
+    found = decontamination.leaks(spark, docs_.select(own, "text"), table(spark, sf_dir, "benchmark"), id_col=own)
+    found = Scratch(spark, "leaks").keep(found.select(F.col("doc_id").alias(own)).distinct(), "ids")
+    return docs_.join(sent_if_small(found), own, "left_anti").select(docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
