@@ -291,22 +291,29 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """
     size: dict[tuple[int, int], int] = {}
     chosen: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
-    todo = [(a, b, False)]
+
+    def own(x: Node, y: Node) -> int:
+        return 1 + sum(p.text == q.text for p, q in zip(x.blocks, y.blocks, strict=False))
+
+    def value(x: Node, y: Node) -> int:
+        if x.tag != y.tag:
+            return 0
+        return size[id(x), id(y)] if x.children and y.children else own(x, y)
+
+    todo = [(a, b, False)] if a.tag == b.tag and a.children and b.children else []
     while todo:
         x, y, ready = todo.pop()
-        if x.tag != y.tag:
-            size[id(x), id(y)] = 0
-            continue
         if not ready:
             todo.append((x, y, True))
-            todo += ((c, d, False) for c in x.children for d in y.children if c.tag == d.tag)
+            inner = [d for d in y.children if d.children]
+            todo += ((c, d, False) for c in x.children if c.children for d in inner if c.tag == d.tag)
             continue
         n, m = len(x.children), len(y.children)
         best = [[0] * (m + 1) for _ in range(n + 1)]
         for i in range(1, n + 1):
-            row, above, left = best[i], best[i - 1], id(x.children[i - 1])
+            row, above, left = best[i], best[i - 1], x.children[i - 1]
             for j in range(1, m + 1):
-                row[j] = max(row[j - 1], above[j], above[j - 1] + size.get((left, id(y.children[j - 1])), 0))
+                row[j] = max(row[j - 1], above[j], above[j - 1] + value(left, y.children[j - 1]))
         i, j, mapped = n, m, []
         while i and j:
             if best[i][j] == best[i - 1][j]:
@@ -316,12 +323,12 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
             else:
                 i, j = i - 1, j - 1
                 mapped.append((x.children[i], y.children[j]))
-        size[id(x), id(y)] = 1 + sum(p.text == q.text for p, q in zip(x.blocks, y.blocks, strict=False)) + best[n][m]
+        size[id(x), id(y)] = own(x, y) + best[n][m]
         chosen[id(x), id(y)] = mapped
     pairs = [(a, b)] if a.tag == b.tag else []
     for x, y in pairs:  # grows while it is read
-        pairs += chosen[id(x), id(y)]
-    return size[id(a), id(b)], pairs
+        pairs += chosen.get((id(x), id(y)), ())
+    return value(a, b), pairs
 
 
 def slots(pairs: list[tuple[Node, Node]]) -> Iterator[tuple[Block, Block]]:
@@ -335,25 +342,44 @@ def layout_of(found: list[Block]) -> int:
     return _hashed(*(x.encode() for x in sorted(seen)))
 
 
-def proposed(pages: list[str]) -> list[int]:
+class Read:
+    """A group's pages, read once: blocks, trees, and the mapped nodes of any two."""
+
+    def __init__(self, pages: list[str]):
+        self.blocks = [list(blocks(p)) for p in pages]
+        self.trees = [tree(x) for x in self.blocks]
+        self._mapped: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
+
+    def mapped(self, i: int, j: int) -> list[tuple[Node, Node]]:
+        if i == j:
+            order = [self.trees[i]]
+            for node in order:
+                order += node.children
+            return [(x, x) for x in order]
+        if i > j:
+            return [(y, x) for x, y in self.mapped(j, i)]
+        if (i, j) not in self._mapped:
+            self._mapped[i, j] = match(self.trees[i], self.trees[j])[1]
+        return self._mapped[i, j]
+
+
+def proposed(pages: Read) -> list[int]:
     """Keys of the blocks that any two of the pages have in the same place with the same text."""
-    trees = [tree(list(blocks(p))) for p in pages]
     found: set[int] = set()
-    for x, y in itertools.combinations(trees, 2):
-        found |= {a.key() for a, b in slots(match(x, y)[1]) if a.text == b.text and a.path == b.path}
+    for i, j in itertools.combinations(range(len(pages.trees)), 2):
+        found |= {a.key() for a, b in slots(pages.mapped(i, j)) if a.text == b.text and a.path == b.path}
     return sorted(found)
 
 
-def wrapper_of(pages: list[str]) -> str | None:
+def wrapper_of(pages: Read) -> str | None:
     """The way to the content that the pages' aligned slots show, as JSON: for each level the siblings, each a tag and its
     constant texts, and which to enter; and the paths of linked slots. Null where there is no prose."""
-    read = [list(blocks(p)) for p in pages]
-    trees = [tree(x) for x in read]
+    read, trees = pages.blocks, pages.trees
     k = max(range(len(read)), key=lambda i: sum(b.prose() for b in read[i]))
     same: collections.Counter[int] = collections.Counter()
     place: dict[int, list[Node]] = {}  # of each node of page k: it and its counterparts
-    for i, other in enumerate(trees):
-        pairs = match(trees[k], other)[1]
+    for i in range(len(trees)):
+        pairs = pages.mapped(k, i)
         same.update(id(a) for a, b in slots(pairs) if a.text == b.text)
         for a, b in pairs:
             place.setdefault(id(a), []).append(b)
@@ -513,9 +539,9 @@ def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     sample = pages.join(sent_if_small(chosen), ["host", "page_key"]).dropDuplicates(["host", "page_key"])
 
     def induce(layout: tuple, rows: pa.Table) -> pa.Table:
-        pages = [x or "" for x in rows.sort_by("page_key").column("html").to_pylist()]
-        keys, one = proposed(pages), len({layout_of(list(blocks(p))) for p in pages}) == 1
-        wrapper = wrapper_of(pages) if len(pages) > 1 and one else None
+        pages = Read([x or "" for x in rows.sort_by("page_key").column("html").to_pylist()])
+        keys, one = proposed(pages), len(set(map(layout_of, pages.blocks))) == 1
+        wrapper = wrapper_of(pages) if len(pages.blocks) > 1 and one else None
         n = len(keys) + 1
         columns = {"host": pa.array([layout[0].as_py()] * n, pa.string()), "dealt": pa.array([layout[1].as_py()] * n, pa.int64())}
         return pa.table(columns | {"key": pa.array([*keys, None], pa.int64()), "wrapper": pa.array([*[None] * len(keys), wrapper], pa.string())})
