@@ -489,8 +489,8 @@ def _(s, d):
 @add("q_raw_store", """SELECT url AS key, count(DISTINCT url) AS n_keys, min(sha256(html)) AS sha256 FROM pages WHERE url IS NOT NULL AND html IS NOT NULL GROUP BY url""")
 def _(s, d):
     store, pages = RawStore(s, scratch.folder(s, "raw")), s.read.parquet(f"{d}/pages.parquet")
-    files = pages.select(F.col("url").alias("key"), F.col("html").cast("binary").alias("content"), "page_id")
-    store.save(files.join(files.where("page_id % 2 = 0").select("key").distinct(), "key", "left_semi"))
+    files = pages.select(F.col("url").alias("key"), F.col("html").cast("binary").alias("content"))
+    store.save(files.where(F.xxhash64("key") % 2 == 0))
     store.save(files)  # skips what the first run has stored
     found = store.read()
     return found.groupBy("key").agg(F.count("*").alias("n_keys"), F.min(F.sha2("content", 256)).alias("sha256"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .versions import VersionedTable
 
+#: Keys up to which they are sent to the contents; more meet them in a shuffle.
+KEYS_SENT = 200_000
 _MANIFEST = "key string, sha256 string, n_bytes long, run string"
 
 
@@ -34,18 +36,24 @@ class RawStore:
         """Stores files (key, content as binary) whose keys are not there; how many these were. Files without content are
         not stored; of several contents with one key the least hash stands."""
         run = uuid.uuid4().hex
-        new = files.where("key is not null and content is not null").join(self.manifest().select("key"), "key", "left_anti")
-        hashed = new.select("key", "content", F.sha2("content", 256).alias("sha256"))
+        files = files.where("key is not null and content is not null").select("key", "content", F.sha2("content", 256).alias("sha256"))
         path = f"{self.folder}/incoming/{run}"
-        # one row a key, then one content a hash: the bytes move with the hash only
-        hashed.groupBy("key").agg(F.min("sha256").alias("sha256"), F.min_by(F.octet_length("content").cast("long"), "sha256").alias("n_bytes")).write.parquet(path)
+        # keys and hashes only: contents stay where they are until one row has been chosen for each
+        narrow = files.select("key", "sha256", F.octet_length("content").cast("long").alias("n_bytes"))
+        one = narrow.groupBy("key").agg(F.min(F.struct("sha256", "n_bytes")).alias("x"), F.count("*").alias("n"))
+        one.select("key", "x.*", "n").join(self.manifest().select("key"), "key", "left_anti").write.parquet(path)
         keys = self.spark.read.parquet(path)
         n = keys.count()
         if n:
-            known = self.manifest().select("sha256", F.col("run").alias("_run")).groupBy("sha256").agg(F.min("_run").alias("_run"))
-            fresh = keys.select("sha256").distinct().join(known.select("sha256"), "sha256", "left_anti")
-            contents = hashed.select("sha256", "content").join(fresh, "sha256", "left_semi").dropDuplicates(["sha256"])
-            contents.write.parquet(f"{self.folder}/content/{run}")
+            known = self.manifest().groupBy("sha256").agg(F.min("run").alias("_run"))
+            fresh = keys.join(known.select("sha256"), "sha256", "left_anti").groupBy("sha256").agg(F.min_by(F.struct("key", "n"), "key").alias("x"))
+            fresh = fresh.select("sha256", "x.*")
+            single, several = fresh.where("n = 1").select("key", "sha256"), fresh.where("n > 1").select("key", "sha256")
+            sent = F.broadcast if n <= KEYS_SENT else lambda x: x
+            # only a key of several rows can give a content twice
+            contents = files.join(sent(single), ["key", "sha256"], "left_semi").select("sha256", "content")
+            twice = files.join(sent(several), ["key", "sha256"], "left_semi").select("sha256", "content").dropDuplicates(["sha256"])
+            contents.unionByName(twice).write.parquet(f"{self.folder}/content/{run}")
             rows = keys.join(known, "sha256", "left").select("key", "sha256", "n_bytes", F.coalesce("_run", F.lit(run)).alias("run"))
             if self.table.versions():
                 self.table.upsert(rows)

@@ -83,6 +83,18 @@ def test_raw_store(spark, tmp_path):
     assert [r.key for r in store.missing(wanted).collect()] == ["z"]
 
 
+def test_raw_store_of_repeated_rows(spark, tmp_path, monkeypatch):
+    from cairnbook.sources import rawstore
+
+    rows = spark.createDataFrame([(k, c.encode()) for k, c in (("a", "x"), ("a", "x"), ("b", "x"), ("c", "y"), ("c", "z"), ("d", "w"), ("d", "w"))], "key string, content binary").repartition(4)
+    for n, most in enumerate((rawstore.KEYS_SENT, 0)):
+        monkeypatch.setattr(rawstore, "KEYS_SENT", most)
+        store = RawStore(spark, f"file://{tmp_path}/raw{n}")
+        assert store.save(rows) == 4
+        got = sorted((r.key, bytes(r.content).decode()) for r in store.read().collect())
+        assert [k for k, _ in got] == ["a", "b", "c", "d"] and dict(got)["a"] == dict(got)["b"] == "x" and dict(got)["c"] in "yz" and dict(got)["d"] == "w"
+
+
 def test_a_raw_store_run_that_dies(spark, tmp_path, monkeypatch):
     store = RawStore(spark, f"file://{tmp_path}/raw")
     store.save(files(spark, a="one"))
