@@ -29,6 +29,8 @@ class Warehouse:
         self.loans, self.properties, self.as_of = loans, properties, as_of
         self._built: dict[str, DataFrame] = {}
         self._days: int | None = None
+        self._trusts: DataFrame | None = None
+        self.few_trusts = False
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -41,6 +43,21 @@ class Warehouse:
             self._days = self.loans.select("reporting_period_end_date").distinct().count() + 1
         return self._days
 
+    def trusts(self) -> DataFrame:
+        """trust and trust_id of each row of the trust dimension.
+
+        Up to GROUPS_SENT rows are read once and then sent as they are (``few_trusts``), so the bound costs no second scan;
+        with more, the table stays lazy and Spark joins it by its own measure.
+        """
+        if self._trusts is None:
+            rows = self.loans.select("trust", "company").distinct()
+            known = rows.select("trust").limit(GROUPS_SENT + 1).collect()
+            self.few_trusts = len(known) <= GROUPS_SENT
+            if self.few_trusts:
+                rows = F.broadcast(self.spark.createDataFrame(known, "trust string"))
+            self._trusts = rows.select("trust", surrogate_key("trust").alias("trust_id"))
+        return self._trusts
+
     def materialise(self, name: str, folder: str, partition: bool = False) -> DataFrame:
         """Writes a model as Parquet, by month if asked, and uses the written table from then on."""
         df = self[name]
@@ -131,12 +148,6 @@ def int_properties_cleaned(w: Warehouse) -> DataFrame:
     return w["property_snapshots"].drop("_base")
 
 
-def _trusts(w: Warehouse) -> DataFrame:
-    """trust and trust_id of each row of the trust dimension."""
-    rows = w.loans.select("trust", "company").distinct()
-    return F.broadcast(rows.select("trust", surrogate_key("trust").alias("trust_id")))
-
-
 # --- dimensions -------------------------------------------------------------------------------------------------------
 
 
@@ -167,7 +178,9 @@ def dim_trust(w: Warehouse) -> DataFrame:
     )
     latest = w.loans.groupBy("trust").agg(F.max("reporting_period_end_date").alias("reporting_period_end_date"))
     late = F.col("payment_status_loan_code").isin("1", "2", "3", "4", "5")
-    now = w.loans.join(F.broadcast(latest), ["trust", "reporting_period_end_date"]).groupBy("trust").agg(
+    w.trusts()
+    latest = F.broadcast(latest) if w.few_trusts else latest
+    now = w.loans.join(latest, ["trust", "reporting_period_end_date"]).groupBy("trust").agg(
         F.count_distinct("asset_num").alias("current_loan_count"), F.count_if(late).alias("delinquent_loans"), F.sum(bal).alias("current_bal")
     )
     return totals.join(now, "trust", "left").select(
@@ -245,7 +258,7 @@ def _versions(w: Warehouse) -> DataFrame:
     until = F.lead("reporting_date").over(Window.partitionBy("_base", "asset_num", "property_num").orderBy("reporting_date"))
     kind = ladder([(F.col("property_type_code") == code, name) for code, name in TYPE_NAMES.items()], "Other")
     rows = _versioned(w).where("_changed").withColumn("end_date", F.coalesce(until, F.lit(FOREVER).cast("date")))
-    return rows.join(_trusts(w), "trust").select(
+    return rows.join(w.trusts(), "trust").select(
         "property_id", F.col("reporting_date").alias("effective_date"), "end_date", "property_name", "property_type_code",
         kind.alias("property_type_description"), "property_status_code", "year_built", "square_feet", "unit_count",
         F.col("company").alias("issuer"), "trust_id", "geo_id", *PLACE,
@@ -284,7 +297,7 @@ def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
     values = [*LOAN, "maturity_date", "delinquency_status", "pmt_received"]
     rows = _loan_rows(w).withColumn("_note", _beside(values, ["_base", "reporting_date"], 1))
     rows = rows.withColumns({n: F.coalesce(n, F.col("_note")[n]) for n in values}).withColumnRenamed("asset_num", "loan_id")
-    rows = rows.withColumnRenamed("trust_name", "trust").join(_trusts(w), "trust")
+    rows = rows.withColumnRenamed("trust_name", "trust").join(w.trusts(), "trust")
     status, short = F.col("delinquency_status"), F.col("pmt_due") - F.col("pmt_received")
     return rows.select(
         surrogate_key("loan_id", "reporting_date", "trust_id").alias("loan_performance_id"), "loan_id", "reporting_date", "trust_id",
@@ -334,7 +347,7 @@ def _property_facts(w: Warehouse) -> DataFrame:
         "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr",
         *(F.col(c).isNotNull().alias(f"has_{c}") for c in ("largest_tenant", "second_largest_tenant", "third_largest_tenant")),
     ]
-    rows = _versioned(w).where("_version is not null").select(*own, "_version.*").join(_trusts(w), "trust")
+    rows = _versioned(w).where("_version is not null").select(*own, "_version.*").join(w.trusts(), "trust")
     now, then = F.col("current_valuation"), F.col("securitization_valuation")
     per = lambda n: F.when(F.col(n) > 0, ratio("current_revenue", n))
     return rows.select(
@@ -606,7 +619,7 @@ def property_occupancy_noi(w: Warehouse) -> DataFrame:
 def delinquency_by_month_trust(w: Warehouse) -> DataFrame:
     bal, late = F.col("current_bal"), F.col("days_past_due") > 0
     rows = w["fct_loan_monthly_performance"].join(F.broadcast(w["dim_date"].select("date_id", "year", "month")), F.col("reporting_date") == F.col("date_id"))
-    rows = rows.join(F.broadcast(w["dim_trust"].select("trust_id", "trust_name")), "trust_id")
+    rows = rows.join(w.trusts().withColumnRenamed("trust", "trust_name"), "trust_id")
     part = F.sum(F.when(late, bal).otherwise(0))
     return rows.groupBy("year", "month", "trust_name").agg(F.sum(bal).alias("total_balance"), part.alias("delinquent_balance"), ratio(part, F.sum(bal)).alias("delinquency_rate"))
 
