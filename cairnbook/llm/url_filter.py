@@ -33,9 +33,18 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Names known for spam, under each of the three domains.
+#: Words that names of spam hosts are made of, and hosts that serve adverts, each under three domains.
+LURES = (
+    "ads", "adult", "bonus", "casino", "cheap", "crypto", "discount", "easy", "fake", "free", "hot", "instant", "lucky", "mega",
+    "miracle", "pirate", "quick", "replica", "sexy", "slots", "spam", "super", "vip", "win",
+)
+OFFERS = (
+    "bets", "bonus", "casino", "click", "coins", "deals", "diet", "farm", "girls", "jackpot", "links", "loans", "movies", "pills",
+    "poker", "prizes", "slots", "streams", "track", "watches", "win", "x",
+)
+SERVERS = ("ads", "adserver", "banners", "click", "popup", "track")
+#: Names that have numbered mirrors, and how many of them are listed too.
 NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-#: Numbered mirrors of each name that are listed too.
 MIRRORS = 1000
 LARGEST = 4_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -148,11 +157,14 @@ def filtered(spark: SparkSession, pages: DataFrame, listed: DataFrame, url_col:
 
 
 def known_spam(spark: SparkSession) -> DataFrame:
-    """The query's list (key): each of ``NAMES``, bare and with the numbers up to ``MIRRORS``, under three domains."""
+    """The query's list (key), under three domains: every lure with every offer, ``NAMES`` with the numbers up to
+    ``MIRRORS``, and ``SERVERS``, which are parents of whatever stands below them."""
     each = lambda values, name: F.explode(F.array(*map(F.lit, values))).alias(name)
-    rows = spark.range(MIRRORS + 1).select("id", each(NAMES, "name")).select("id", "name", each(("com", "net", "org"), "top"))
-    number = F.when(F.col("id") > 0, F.col("id").cast("string")).otherwise("")
-    return rows.select(F.concat("name", number, F.lit(".example."), "top").alias("key"))
+    one = spark.range(1)
+    names = one.select(each(LURES, "lure")).select("lure", each(OFFERS, "offer")).select(F.concat("lure", F.lit("-"), "offer").alias("name"))
+    mirrors = spark.range(1, MIRRORS + 1).select("id", each(NAMES, "name")).select(F.concat("name", F.col("id").cast("string")).alias("name"))
+    rows = names.unionByName(mirrors).unionByName(one.select(each(SERVERS, "name")))
+    return rows.select("name", each(("com", "net", "org"), "top")).select(F.concat("name", F.lit(".example."), "top").alias("key"))
 
 
 def op4(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -168,9 +180,17 @@ WITH parts AS (
   FROM pages),
 rules(verdict, h, p) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'),
                                 ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
-listed AS (SELECT n || CASE WHEN m > 0 THEN m::VARCHAR ELSE '' END || '.example.' || t AS h
-           FROM unnest(['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) a(n),
-                unnest(['com', 'net', 'org']) b(t), range(0, 1001) c(m)),
+names AS (
+  SELECT lure || '-' || offer AS n
+  FROM unnest(['ads', 'adult', 'bonus', 'casino', 'cheap', 'crypto', 'discount', 'easy', 'fake', 'free', 'hot', 'instant', 'lucky',
+               'mega', 'miracle', 'pirate', 'quick', 'replica', 'sexy', 'slots', 'spam', 'super', 'vip', 'win']) a(lure),
+       unnest(['bets', 'bonus', 'casino', 'click', 'coins', 'deals', 'diet', 'farm', 'girls', 'jackpot', 'links', 'loans', 'movies',
+               'pills', 'poker', 'prizes', 'slots', 'streams', 'track', 'watches', 'win', 'x']) b(offer)
+  UNION ALL
+  SELECT m || i FROM unnest(['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) c(m), range(1, 1001) d(i)
+  UNION ALL
+  SELECT unnest(['ads', 'adserver', 'banners', 'click', 'popup', 'track'])),
+listed AS (SELECT n || '.example.' || t AS h FROM names, unnest(['com', 'net', 'org']) e(t)),
 named AS (SELECT host, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS h
           FROM (SELECT DISTINCT host, string_split(host, '.') AS labels FROM parts)),
 spam AS (SELECT DISTINCT host FROM named JOIN listed USING (h))

@@ -428,6 +428,17 @@ def test_url_filter(spark):
     assert url_filter.op4(spark, pages.limit(0)).collect() == []
 
 
+def test_known_spam(spark):
+    """Names, mirrors and servers once each; what stands below a listed host is blocked, what only looks alike is not."""
+    keys = [r.key for r in url_filter.known_spam(spark).collect()]
+    assert len(keys) == len(set(keys)) == 3 * (len(url_filter.LURES) * len(url_filter.OFFERS) + len(url_filter.NAMES) * url_filter.MIRRORS + len(url_filter.SERVERS))
+    blocked = ["vip-poker.example.com", "m.replica-watches.example.net", "a.b.ads.example.org", "free-bets1000.example.com", "spam-farm.example.net", "X.Ads-Track.EXAMPLE.com"]
+    allowed = ["poker.example.com", "vip-poker.example", "ads.example.com.evil.net", "myads.example.org", "free-bets1001.example.com", "vip-poker1.example.com", "example.com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/fr/") for i, h in enumerate(blocked + allowed)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.op4(spark, pages).collect()}
+    assert got == {i: "block" if i < len(blocked) else "allow" for i in range(len(blocked + allowed))}
+
+
 @pytest.mark.parametrize("listed", [0, 1, 40, 2900])
 def test_cascade_is_exact(spark, listed):
     universe = spark.range(3000).selectExpr("concat('k', id) as key")
