@@ -23,6 +23,7 @@ from cairnbook.llm import (
     pii,
     preference_format,
     quality_rules,
+    queries,
     repeat_spans,
     rolling,
     url_filter,
@@ -140,8 +141,10 @@ def test_near_duplicates_that_share_a_hot_passage(spark):
     assert got == components
 
 
-def test_near_duplicates_in_large_groups(spark):
+@pytest.mark.parametrize("compared", [256, 7])
+def test_near_duplicates_in_large_groups(spark, monkeypatch, compared):
     """Two families of near copies that share half of their text, all values hot; most are linked by way of the originals only."""
+    monkeypatch.setattr(minhash_dedup, "COMPARED", compared)
     rng, shared, texts = random.Random(7), words(100, 1), []
     for family in (0, 1):
         base = shared + words(120, 10 + family)
@@ -474,23 +477,34 @@ def test_long_list_is_joined(spark, monkeypatch):
 # --- 5: warc ----------------------------------------------------------------------------------------------------------
 
 
-def test_warc_round_trip(spark):
-    rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * 400) for i in range(120)] + [(200, None, None), (201, "http://a/\r\nX: y", ""), (203, "u", "dup"), (202, "ü v", "dup"), (None, "u", "dup"), (202, "u", "dup")]
-    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, first string")
-    got = warc.op5(spark, pages).collect()
+def brute_warc(rows):
+    """Rows of op 5's query for pages (page_id, url, html)."""
     payload = lambda h: (h or "").encode()
     least = {}
     for i, _, h in rows:
         if i is not None:
             least[payload(h)] = min(i, least.get(payload(h), i))
-    want = collections.Counter()
+    out = collections.Counter()
     for i, _, h in rows:
         again = i is not None and i > least[payload(h)]
-        want[(i, len(payload(h)), base64.b32encode(hashlib.sha1(payload(h)).digest()).decode(), "revisit" if again else "response", least[payload(h)] if again else None, None)] += 1
-    assert collections.Counter(map(tuple, got)) == want
+        digest = base64.b32encode(hashlib.sha1(payload(h)).digest()).decode()
+        out[(i, len(payload(h)), digest, "revisit" if again else "response", least[payload(h)] if again else None, None)] += 1
+    return out
+
+
+def test_warc_round_trip(spark):
+    rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * 400) for i in range(120)] + [(200, None, None), (201, "http://a/\r\nX: y", ""), (203, "u", "dup"), (202, "ü v", "dup"), (None, "u", "dup"), (202, "u", "dup")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, first string")
+    assert collections.Counter(map(tuple, warc.op5(spark, pages).collect())) == brute_warc(rows)
     assert warc.op5(spark, pages.limit(0)).collect() == []
 
 
+def test_warc_query_against_brute_force(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
+    got = collections.Counter(map(tuple, queries.QUERIES["op5_warc"](spark, folder).collect()))
+    assert got == brute_warc([tuple(r) for r in pages.collect()]) and len(got) > 1
+
+
 def test_warc_files_and_faults(spark, tmp_path):
     records = [warc.record(i, f"http://h/{i}", f"body {i} ".encode() * 900, None) for i in range(60)]
     data = warc.archive(records)
