@@ -231,14 +231,19 @@ def _links_in_blocks(lists: DataFrame, texts: DataFrame, percent: int) -> DataFr
     return dealt.join(texts, "id").groupBy("value", "low", "high").applyInArrow(compare, "a long, b long").distinct()
 
 
-SALTS = 16
-
-
-def _against_pivots(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (pivot, id) with the sizes of intersection and union; a pivot's text goes to ``SALTS`` tasks, as it has many."""
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    left = texts.join(pairs.select(F.col("pivot").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("pivot"), F.col("text").alias("text_a"), salt)
-    both = pairs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(texts, "id").join(left, ["pivot", "salt"])
+#: Comparisons with one pivot that one salt takes.
+COMPARED = 256
+
+
+def _against_pivots(pairs: DataFrame, pivots: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (pivot, id) with the sizes of intersection and union; a pivot's text goes out once for each ``COMPARED``
+    members of the lists it is a pivot of, so that its tasks stay small however long they are."""
+    salts = pivots.groupBy("pivot").agg(F.ceil(F.sum("members") / COMPARED).cast("int").alias("salts"))
+    salts = sent_if_small(salts)
+    salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    left = texts.select(F.col("id").alias("pivot"), F.col("text").alias("text_a")).join(salts, "pivot").select("pivot", "text_a", salt)
+    salt = F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
+    both = pairs.join(salts, "pivot").select("pivot", "id", salt.alias("salt")).join(texts, "id").join(left, ["pivot", "salt"])
     return both.select("pivot", "id", _compare("text_a", "text").alias("c")).groupBy("pivot", "id").agg(F.max("c").alias("c")).select("pivot", "id", "c.*")
 
 
@@ -265,9 +270,9 @@ def _links_of_hot(lists: DataFrame, texts: DataFrame, known: DataFrame, scratch:
             long, order = long.join(alone, ["value", "component"]), [F.col("with"), *order]
         rank = F.row_number().over(Window.partitionBy("value").orderBy(*order))
         pivots = long.withColumn("rank", rank).where(F.col("rank") <= PIVOTS)
-        pivots = scratch.keep(pivots.select("value", F.col("id").alias("pivot"), F.col("component").alias("of"), "rank"), f"pivots-{step}")
-        met = long.join(sent_if_small(pivots), "value").where((F.col("id") != F.col("pivot")) & ((F.col("rank") == 1) | (F.col("component") != F.col("of"))))
-        compared = scratch.keep(_against_pivots(met.select("pivot", "id").distinct(), texts), f"compared-{step}")
+        pivots = scratch.keep(pivots.select("value", F.col("id").alias("pivot"), F.col("component").alias("of"), "rank", "members"), f"pivots-{step}")
+        met = long.drop("members").join(sent_if_small(pivots), "value").where((F.col("id") != F.col("pivot")) & ((F.col("rank") == 1) | (F.col("component") != F.col("of"))))
+        compared = scratch.keep(_against_pivots(met.select("pivot", "id").distinct(), pivots, texts), f"compared-{step}")
         found = compared.where(_linked(percent)).select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
         links = scratch.keep(links.unionByName(found).distinct(), f"hot-links-{step}")
         # split the lists by their first pivots; pivots are done
