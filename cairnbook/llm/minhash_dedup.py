@@ -336,8 +336,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     warm = reps.select("id", "n", F.size(listed).alias("listed")).join(cool, ["id", "n"], "left")
     warm = warm.where((F.col("listed") - F.size(F.coalesce("cool", none))) * 100 > F.col("listed") * PARTLY_HOT)
     warm = sent_if_small(scratch.keep(warm.select("id").distinct(), "warm"))
-    wide = source.join(warm, "id", "left_semi").select("id", _wide("text").alias("sketch")).where(F.size("sketch") > 0)
-    wide = scratch.keep(wide.join(sig.select("id", F.col("n_shingles").alias("n")).distinct(), "id"), "wide")
+    wide = source.join(warm, "id", "left_semi").select("id", _wide("text").alias("sketch"))
+    wide = wide.join(sig.select("id", F.col("n_shingles").alias("n")).distinct(), "id")
+    # only then filtered: a filter on the function's result would be pushed below the semi-join, to all documents
+    wide = scratch.keep(wide, "wide").where(F.size("sketch") > 0)
     hot = scratch.keep(_hot_values(wide), "wide-hot")
     cool = scratch.keep(_cool(wide.select("id", "n", F.explode("sketch").alias("value")), hot), "wide-cool")
     met = scratch.keep(_pairs_of_lists(_listed(cool, WIDE_LISTED), percent, share=8), "met")
