@@ -29,6 +29,12 @@ def filled(value: str, running: WindowSpec, whole: WindowSpec, order: Sequence[s
     return F.coalesce(F.max(tagged).over(running)["_v"], F.min(tagged).over(whole)["_v"])
 
 
+def home(asset: str) -> Column:
+    """What an asset's rows are dealt by: its number up to the first '_', without the 'A's of split notes. A loan, its split
+    notes, its properties and whatever has a key of theirs (number_property) have one home."""
+    return F.rtrim(F.substring_index(asset, "_", 1), F.lit("A"))
+
+
 def months_between_parts(later: Column, earlier: Column) -> Column:
     """Whole months from ``earlier`` to ``later``: complete years and months of the symbolic difference, with its sign."""
     def whole(a: Column, b: Column) -> Column:

@@ -24,16 +24,17 @@ def number_of_groups(rows: DataFrame, by: Sequence[str]) -> int:
     return rows.select(*by).distinct().count()
 
 
-def with_group_means(rows: DataFrame, by: Sequence[str], means: Mapping[str, Column], groups: int | None = None) -> DataFrame:
+def with_group_means(rows: DataFrame, by: Sequence[str], means: Mapping[str, Column], groups: int | None = None, digits: int | None = None) -> DataFrame:
     """rows with the averages of their group, nulls in ``by`` being a group as in a window.
 
     The averages are made from partial ones and joined back, so no group's rows come together. groups: a proven bound on the
     number of groups; up to GROUPS_SENT the averages are sent and rows stay where they are, else Spark joins by its own
-    measure, and splits a frequent group.
+    measure, and splits a frequent group. digits: decimals that averages are rounded to, once a group.
     """
     key = "_group"
     known = rows.withColumn(key, F.struct(*by))
-    found = known.groupBy(key).agg(*(F.avg(c).alias(n) for n, c in means.items()))
+    near = lambda c: c if digits is None else F.round(c, digits)
+    found = known.groupBy(key).agg(*(near(F.avg(c)).alias(n) for n, c in means.items()))
     return known.join(_sent(found, groups), key, "left").drop(key)
 
 

@@ -69,11 +69,23 @@ def since_latest(df: DataFrame, target: DataFrame, column: str, inclusive: bool
     return df.join(F.broadcast(top)).where(F.col("_top").isNull() | later).drop("_top")
 
 
-def as_of_versions(facts: DataFrame, versions: DataFrame, key: str, at: str, how: str = "inner", start: str = "effective_date", end: str = "end_date") -> DataFrame:
-    """Each fact with the version of its key that was valid at its date: start <= date < end."""
+def as_of_versions(facts: DataFrame, versions: DataFrame, key: str, at: str, how: str = "inner", start: str = "effective_date", end: str = "end_date", home: str | None = None) -> DataFrame:
+    """Each fact with the version of its key that was valid at its date: start <= date < end. home: as in ``joined_at_home``."""
     v = versions.withColumnRenamed(key, "_key")
-    fits = (facts[key] == v["_key"]) & (facts[at] >= v[start]) & (facts[at] < v[end])
-    return facts.join(v, fits, how).drop("_key")
+    fits = (facts[at] >= v[start]) & (facts[at] < v[end])
+    if home:
+        v = v.withColumnRenamed(home, "_home")
+        return joined_at_home(facts, v, facts[home] == v["_home"], facts[key] == v["_key"], fits, how).drop("_key", "_home")
+    return facts.join(v, (facts[key] == v["_key"]) & fits, how).drop("_key")
+
+
+def joined_at_home(left: DataFrame, right: DataFrame, home: Column, same: Column, fits: Column, how: str = "inner") -> DataFrame:
+    """Rows whose homes are equal, and of which ``same`` and ``fits`` hold, where ``same`` implies equal homes.
+
+    Both sides are dealt by home already. As a condition within a home, not as keys of the join, the rest deals nothing anew.
+    So homes should be small: each row of one is compared with those of the other side.
+    """
+    return left.join(right, home & F.when(same, fits).otherwise(False), how)
 
 
 def numbered(df: DataFrame, order: Sequence[Column], into: str = "number") -> DataFrame:

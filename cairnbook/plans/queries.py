@@ -25,7 +25,7 @@ _MORE = {"vintage_spread": SPREAD_SQL}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(testbook.loans(spark, folder), testbook.properties(spark, folder))
+    return Warehouse(testbook.loans(spark, folder), testbook.properties(spark, folder), parts=testbook.parts(spark, folder))
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import FOREVER, below, double, ladder, mean, month_part, months_between_parts, ratio, surrogate_key
+from ..functions.columns import FOREVER, below, double, home, ladder, mean, month_part, months_between_parts, ratio, surrogate_key
 from ..operators.groups import GROUPS_SENT, number_of_groups, with_group_means, with_rank
-from ..operators.rows import as_of_versions, first_per_key
+from ..operators.rows import as_of_versions, first_per_key, joined_at_home
 from ..sources.scratch import kept
 from .states import STATES
 
@@ -22,11 +22,16 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {}
 
 
 class Warehouse:
-    """Models by name over one pair of inputs. as_of: the date that stands for today."""
+    """Models by name over one pair of inputs. as_of: the date that stands for today.
 
-    def __init__(self, loans: DataFrame, properties: DataFrame, as_of: str = "2002-01-01"):
+    Rows of both are dealt by asset (``home``), in ``parts`` parts or as many as Spark's shuffles have. Inputs with a column
+    ``_base`` that holds it are dealt by it already.
+    """
+
+    def __init__(self, loans: DataFrame, properties: DataFrame, as_of: str = "2002-01-01", parts: int | None = None):
         self.spark: SparkSession = loans.sparkSession
-        self.loans, self.properties, self.as_of = loans, properties, as_of
+        self.loans, self.properties, self.as_of, self.parts = loans, properties, as_of, parts
+        self.written: set[str] = set()
         self._built: dict[str, DataFrame] = {}
         self._days: int | None = None
         self._trusts: DataFrame | None = None
@@ -64,6 +69,7 @@ class Warehouse:
         writer = df.withColumn("_month", F.trunc("reporting_date", "MM")).write.partitionBy("_month") if partition else df.write
         writer.mode("overwrite").parquet(f"{folder}/{name}")
         self._built[name] = self.spark.read.parquet(f"{folder}/{name}").select(df.columns)
+        self.written.add(name)
         return self._built[name]
 
 
@@ -118,15 +124,18 @@ def _latest_filled(df: DataFrame, keys: list[str], trust: str, columns: dict[str
     return rows.where(F.col("_after").isNull() | (F.col("_after") != F.col("reporting_date"))).drop("_after")
 
 
-def _notes_together(df: DataFrame, *more: str) -> DataFrame:
-    """df dealt by asset number without the 'A's of split notes (``_base``): one shuffle serves all windows over an
-    asset, a date, or a note and its base, as long as they are partitioned by ``_base`` too."""
-    return df.withColumn("_base", F.regexp_replace("asset_num", "A+$", "")).repartition("_base", *more)
+def _notes_together(w: Warehouse, df: DataFrame, asset: str = "asset_num") -> DataFrame:
+    """df dealt by the home of its assets (``_base``): one shuffle serves all windows over an asset, a date, or a note and
+    its base, as long as they are partitioned by ``_base`` too, and joins of loans and properties."""
+    if "_base" in df.columns:
+        return df
+    dealt = df.withColumn("_base", home(asset))
+    return dealt.repartition(w.parts, "_base") if w.parts else dealt.repartition("_base")
 
 
 def _beside(values: list[str], keys: list[str], step: int) -> Column:
     """The values of the note whose number has one 'A' less (step -1) or more (step 1), on the same date."""
-    line = Window.partitionBy(*keys).orderBy(F.length("asset_num"))
+    line = Window.partitionBy(*keys, F.rtrim("asset_num", F.lit("A"))).orderBy(F.length("asset_num"))
     find = F.lag if step < 0 else F.lead
     return F.when(find(F.length("asset_num")).over(line) == F.length("asset_num") + step, find(F.struct(*values)).over(line))
 
@@ -136,7 +145,7 @@ def property_snapshots(w: Warehouse) -> DataFrame:
     """Property snapshots, filled; a split-note row ('A' after the asset number) takes what it lacks from its base row."""
     line = ["_base", "asset_num", "property_num"]
     columns = {"trust": "trust", "company": "company", "property_name": "property_name"} | PROPERTY
-    rows = _latest_filled(_notes_together(w.properties, "property_num"), line, "trust", columns, FILLED)
+    rows = _latest_filled(_notes_together(w, w.properties), line, "trust", columns, FILLED)
     rows = rows.withColumn("_note", _beside(list(PROPERTY), ["_base", "property_num", "reporting_date"], -1))
     values = {n: F.coalesce(n, F.col("_note")[n], *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n in PROPERTY}
     out = rows.select(*line, "reporting_date", "trust", "company", "property_name", *(v.alias(n) for n, v in values.items()))
@@ -253,21 +262,24 @@ def _versioned(w: Warehouse) -> DataFrame:
     return rows.withColumns({"_version": version, "property_id": F.concat_ws("_", "asset_num", "property_num")})
 
 
+def _kind(code: str) -> Column:
+    return ladder([(F.col(code) == c, name) for c, name in TYPE_NAMES.items()], "Other")
+
+
 def _versions(w: Warehouse) -> DataFrame:
-    """The property dimension with the place of each version."""
-    until = F.lead("reporting_date").over(Window.partitionBy("_base", "asset_num", "property_num").orderBy("reporting_date"))
-    kind = ladder([(F.col("property_type_code") == code, name) for code, name in TYPE_NAMES.items()], "Other")
+    """The property dimension with the place of each version, and its home. Versions with one property_id never overlap."""
+    until = F.lead("reporting_date").over(Window.partitionBy("_base", "property_id").orderBy("reporting_date"))
     rows = _versioned(w).where("_changed").withColumn("end_date", F.coalesce(until, F.lit(FOREVER).cast("date")))
     return rows.join(w.trusts(), "trust").select(
         "property_id", F.col("reporting_date").alias("effective_date"), "end_date", "property_name", "property_type_code",
-        kind.alias("property_type_description"), "property_status_code", "year_built", "square_feet", "unit_count",
-        F.col("company").alias("issuer"), "trust_id", "geo_id", *PLACE,
+        _kind("property_type_code").alias("property_type_description"), "property_status_code", "year_built", "square_feet", "unit_count",
+        F.col("company").alias("issuer"), "trust_id", "geo_id", *PLACE, "_base",
     )
 
 
 @model
 def dim_property(w: Warehouse) -> DataFrame:
-    return _versions(w).drop(*PLACE)
+    return _versions(w).drop(*PLACE, "_base")
 
 
 # --- facts ------------------------------------------------------------------------------------------------------------
@@ -283,7 +295,7 @@ def _loan_rows(w: Warehouse) -> DataFrame:
     """One row per loan and date: the last by file, with the maturity filled over all rows of the loan."""
     more = {"trust_name": "trust", "issuer": "company", "maturity_date": "maturity_date"}
     own = {c: c for c in ("payment_status_loan_code", "scheduled_prin_amt", "scheduled_intr_amt")}
-    rows = _latest_filled(_notes_together(w.loans), ["_base", "asset_num"], "trust", LOAN | more | own, {"maturity_date"})
+    rows = _latest_filled(_notes_together(w, w.loans), ["_base", "asset_num"], "trust", LOAN | more | own, {"maturity_date"})
     status = F.col("payment_status_loan_code")
     rows = rows.withColumns({
         "delinquency_status": F.when(status.isin("A", "B") | status.isNull(), "0").otherwise(status), "pmt_received": F.col("scheduled_prin_amt") + F.col("scheduled_intr_amt"),
@@ -291,8 +303,19 @@ def _loan_rows(w: Warehouse) -> DataFrame:
     return rows.drop(*own)
 
 
+def _loan_facts(w: Warehouse) -> DataFrame:
+    """Loan months with their home, dealt by it: as they are built, or from the table where that was written."""
+    if "fct_loan_monthly_performance" in w.written:
+        return _notes_together(w, w["fct_loan_monthly_performance"], "loan_id")
+    return _built_loan_facts(w)
+
+
 @model
 def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
+    return _built_loan_facts(w).drop("_base")
+
+
+def _built_loan_facts(w: Warehouse) -> DataFrame:
     """A base note takes what it lacks from its split note ('A' after the loan's number)."""
     values = [*LOAN, "maturity_date", "delinquency_status", "pmt_received"]
     rows = _loan_rows(w).withColumn("_note", _beside(values, ["_base", "reporting_date"], 1))
@@ -309,7 +332,7 @@ def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
         F.when(F.col("orig_bal") > 0, ratio("current_bal", "orig_bal")).alias("remaining_bal_pct"),
         month_part(F.col("maturity_date"), F.col("reporting_date")).alias("months_to_maturity"),
         month_part(F.col("reporting_date"), F.col("origination_date")).alias("months_since_origination"),
-        F.when(status != "0", short).otherwise(0).alias("delinquent_amt"),
+        F.when(status != "0", short).otherwise(0).alias("delinquent_amt"), "_base",
     )
 
 
@@ -371,8 +394,8 @@ def fct_property_metrics(w: Warehouse) -> DataFrame:
 
 
 def _live(w: Warehouse) -> DataFrame:
-    """Loan months before maturity; rows without a maturity are neither before nor after it."""
-    return w["fct_loan_monthly_performance"].where(~F.col("is_past_maturity"))
+    """Loan months before maturity, with their home; rows without a maturity are neither before nor after it."""
+    return _loan_facts(w).where(~F.col("is_past_maturity"))
 
 
 @model

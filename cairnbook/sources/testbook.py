@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Lines of orders whose property rows one task gets, so that its memory does not grow with the tables.
+LINES = 100_000
+
 #: Codes that the snapshots draw from.
 TYPES = ("RT", "OF", "MF", "IN", "HC", "LO", "MU", "SS", "WH", "MH", "XX")
 STATES = (
@@ -35,6 +38,11 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def parts(spark: SparkSession, folder: str) -> int:
+    """Into how many parts the snapshots are dealt: the number of lines is in the file's footers."""
+    return max(spark.sparkContext.defaultParallelism, -(-_read(spark, folder, "lineitem").count() // LINES))
+
+
 def loans(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order: a monthly loan snapshot."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
@@ -63,31 +71,37 @@ def loans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def properties(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per customer, line parity and month of shipping: a monthly property snapshot, and bare split-note rows."""
+    """One row per customer, line parity and month of shipping: a monthly property snapshot, and bare split-note rows.
+
+    Lines are dealt by asset number (``_base``, as ``home`` gives it) while they are narrow. Grouping, customers and whatever
+    is done for an asset later need no other shuffle; split-note rows are made beside their base rows, not by a second pass.
+    """
     orders = _read(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c"))
     lines = _read(spark, folder, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).alias("half"), F.last_day(F.to_date("l_shipdate")).alias("d"), _money(F.col("l_extendedprice")).alias("price"))
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.groupBy("c", "half", "d").agg(F.min("l_orderkey").alias("k"), F.min("l_partkey").alias("p"), _money(F.sum("price")).alias("revenue"))
-    rows = rows.join(customers(spark, folder), "c").withColumn("y", F.year("d").cast("long"))
-    c, k, y, rev = F.col("c"), F.col("k"), F.col("y"), F.col("revenue")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("c", "half", "d", "l_orderkey", "l_partkey", "price")
+    rows = rows.withColumn("_base", F.col("c").cast("string")).repartition(parts(spark, folder), "_base")
+    rows = rows.groupBy("_base", "c", "half", "d").agg(F.min("l_orderkey").alias("k"), F.min("l_partkey").alias("p"), _money(F.sum("price")).alias("revenue"))
+    c, k, y, rev = F.col("c"), F.col("k"), F.year("d").cast("long"), F.col("revenue")
     pick = lambda values, i: F.get(F.array(*(F.lit(v) for v in values)), i.cast("int"))
     spent = _money(rev * F.lit(0.40).cast("decimal(3,2)"))
     name = lambda what, n: _unless(k % n == 0, F.concat(F.lit(f"{what} "), (k % 9).cast("string")))
-    full = {
+    fixed = {  # what a customer's rows have in common
         "property_name": F.concat(F.lit("Property "), c.cast("string")),
         "property_address": F.concat(c.cast("string"), F.lit(" Main St")),
         "property_city": F.concat(F.lit("City "), (c % 7).cast("string")),
         "property_zip": F.lpad((c % 90).cast("string"), 5, "0"),
         "property_state": _unless(c % 23 == 0, pick(STATES, F.col("nation"))),
+        "units_beds_rooms_num": c % 40,
+        "year_built_num": c % 60 + 1950,
+        "physical_occupancy_securitization_pct": _unless(c % 8 == 0, ((c % 41 + 60) / 100).cast("decimal(9,4)")),
+    }
+    own = {
         "property_type_code": pick(TYPES, (c + y) % 12),
         "property_status_code": _unless(c % 6 == 0, ((c + y * 2) % 5).cast("string")),
         "net_rentable_square_feet_num": _unless(c % 9 == 0, (c + y) % 50 * 10 + 1000),
-        "units_beds_rooms_num": c % 40,
-        "year_built_num": c % 60 + 1950,
         "most_recent_valuation_amt": _money(rev * 10),
         "valuation_securitization_amt": F.when(k % 31 == 0, None).when(k % 29 == 0, _money(F.lit(0))).otherwise(_money(rev * 9)),
         "most_recent_physical_occupancy_pct": _unless(k % 7 == 0, ((F.col("p") % 51 + 50) / 100).cast("decimal(9,4)")),
-        "physical_occupancy_securitization_pct": _unless(c % 8 == 0, ((c % 41 + 60) / 100).cast("decimal(9,4)")),
         "most_recent_revenue_amt": _unless(k % 4 == 0, rev),
         "operating_expenses_amt": _unless(k % 4 == 0, spent),
         "most_recent_net_operating_income_amt": _unless(k % 4 == 0, _money(rev - spent)),
@@ -96,13 +110,15 @@ def properties(spark: SparkSession, folder: str) -> DataFrame:
         "second_largest_tenant": name("Tenant", 3),
         "third_largest_tenant": name("Tenant", 5),
     }
-    base = rows.select(
-        c.cast("string").alias("asset_num"), F.lpad(F.col("half").cast("string"), 3, "0").alias("property_num"), F.col("d").alias("reporting_period_end_date"), "trust", "company",
-        F.concat(F.lit("f"), F.lpad(k.cast("string"), 12, "0"), F.lit(".xml")).alias("source_file"), "k", *(v.alias(n) for n, v in full.items()),
+    people = customers(spark, folder).select(c.cast("string").alias("_base"), "trust", "company", *(v.alias(n) for n, v in fixed.items()))
+    file = F.concat(F.lit("f"), F.lpad(k.cast("string"), 12, "0"), F.lit(".xml")).alias("source_file")
+    rows = rows.join(people, "_base").withColumns(own | {"source_file": file, "_notes": F.when(k % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))})
+    rows = rows.withColumn("note", F.explode("_notes"))
+    full = "property_name property_address property_city property_zip property_state property_type_code property_status_code net_rentable_square_feet_num units_beds_rooms_num year_built_num most_recent_valuation_amt valuation_securitization_amt most_recent_physical_occupancy_pct physical_occupancy_securitization_pct most_recent_revenue_amt operating_expenses_amt most_recent_net_operating_income_amt most_recent_debt_service_amt largest_tenant second_largest_tenant third_largest_tenant".split()
+    return rows.select(
+        F.concat("_base", F.when(F.col("note"), "A").otherwise("")).alias("asset_num"), F.lpad(F.col("half").cast("string"), 3, "0").alias("property_num"), F.col("d").alias("reporting_period_end_date"), "trust", "company",
+        "source_file", *(_unless(F.col("note"), F.col(n)).alias(n) for n in full), "_base",
     )
-    bare = base.where("k % 11 = 0").withColumn("asset_num", F.concat("asset_num", F.lit("A")))
-    bare = bare.withColumns({n: F.lit(None).cast(base.schema[n].dataType) for n in full})
-    return base.unionByName(bare).drop("k")
 
 
 _TYPE_LIST = ", ".join(f"'{x}'" for x in TYPES)
