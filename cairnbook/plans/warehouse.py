@@ -571,12 +571,16 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
 
     strict: versions of properties whose key equals the loan's, which there are none of; so places are unknown.
     """
-    versions = _versions(w).select("property_id", "effective_date", "end_date", "property_type_code", *PLACE)
+    versions = _versions(w).select("property_id", "effective_date", "end_date", "property_type_code", *PLACE, "_base")
     if not strict:
-        versions = versions.withColumn("property_num", F.split_part("property_id", F.lit("_"), F.lit(2))).withColumn("property_id", F.split_part("property_id", F.lit("_"), F.lit(1)))
-    rows = as_of_versions(_live(w), versions.withColumnRenamed("property_id", "loan_id"), "loan_id", "reporting_date", "left")
-    if not strict:
-        rows = first_per_key(rows, ["loan_id", "reporting_date", "trust_id"], [F.col("property_num").asc_nulls_last()])
+        versions = versions.withColumn("property_num", F.split_part("property_id", F.lit("_"), F.lit(2))).withColumn("property_id", F.substring_index("property_id", "_", 1))
+    rows = as_of_versions(_live(w), versions.withColumnRenamed("property_id", "loan_id"), "loan_id", "reporting_date", "left", home="_base")
+    # each loan counts once a date: of its months, those of a trust with several issuers, the first does
+    if strict:
+        first = F.row_number().over(Window.partitionBy("_base", "loan_id", "reporting_date").orderBy("trust_id")) == 1
+    else:
+        rows, first = first_per_key(rows, ["_base", "loan_id", "reporting_date", "trust_id"], [F.col("property_num").asc_nulls_last()]), F.lit(True)
+    rows = rows.withColumn("_loan", F.when(first, F.col("loan_id")))
     rows = _placed_rows(w, rows)
     bal, rate, end, date = (F.col(c) for c in ("current_bal", "current_intr_rate", "maturity_date", "reporting_date"))
     million = 1000000
@@ -594,11 +598,10 @@ def concentration(w: Warehouse, strict: bool) -> DataFrame:
     # a kind without a name is the whole day: its row gives the totals, so that loan months are read once
     kinds = {**kinds, None: F.lit("")}
     pairs = F.array(*(F.struct(F.lit(k).cast("string").alias("concentration_type"), v.alias("concentration_category")) for k, v in kinds.items()))
-    long = rows.select("reporting_date", "loan_id", "current_bal", F.explode(pairs).alias("p")).select("reporting_date", "loan_id", "current_bal", "p.*")
-    # the join has dealt the months by loan: one row per loan and category needs no shuffle, and what is shuffled then are counts
-    category = ["reporting_date", "concentration_type", "concentration_category"]
-    loans = long.where("concentration_category is not null").groupBy("loan_id", *category).agg(F.sum("current_bal").alias("balance"))
-    found = loans.groupBy(*category).agg(F.count("loan_id").alias("loan_count"), F.sum("balance").alias("total_balance"))
+    long = rows.select("reporting_date", "_loan", "current_bal", F.explode(pairs).alias("p")).select("reporting_date", "_loan", "current_bal", "p.*")
+    # only counts of categories are shuffled; they are read for totals, quantiles, ranges and ranks
+    found = long.where("concentration_category is not null").groupBy("reporting_date", "concentration_type", "concentration_category")
+    found = kept(found.agg(F.count("_loan").alias("loan_count"), F.sum("current_bal").alias("total_balance")), "concentration")
     whole, days = F.col("concentration_type").isNull(), w.days()
     totals = found.where(whole).select(F.col("reporting_date").alias("_day"), F.col("loan_count").alias("all_loans"), F.col("total_balance").alias("all_balance"))
     totals = F.broadcast(totals) if days <= GROUPS_SENT else totals
