@@ -516,10 +516,12 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
     rows = _property_months(w, *places, *LINE).drop("valuation_change_pct")
     line = Window.partitionBy(*LINE).orderBy("reporting_date")
     moving = {"valuation": "current_valuation", "occupancy": "current_occupancy_pct", "noi": "current_noi"}
-    rows = rows.withColumns({f"{n}_{m}m_change": F.col(c) - F.lag(c, m).over(line) for m in (3, 12) for n, c in moving.items()}).drop(*LINE)
-    key = F.col("property_id") if strict else F.split_part("property_id", F.lit("_"), F.lit(1))
-    loans = w["fct_loan_monthly_performance"].select(F.col("loan_id").alias("_loan"), "reporting_date", F.col("current_bal").alias("loan_balance"), "current_intr_rate", "origination_date")
-    rows = rows.withColumn("_loan", key).join(loans, ["_loan", "reporting_date"], "left").drop("_loan")
+    rows = rows.withColumns({f"{n}_{m}m_change": F.col(c) - F.lag(c, m).over(line) for m in (3, 12) for n, c in moving.items()}).drop("asset_num", "property_num")
+    key = F.col("property_id") if strict else F.substring_index("property_id", "_", 1)
+    loans = _loan_facts(w).select(F.col("_base").alias("_home"), F.col("loan_id").alias("_loan"), F.col("reporting_date").alias("_date"), F.col("current_bal").alias("loan_balance"), "current_intr_rate", "origination_date")
+    rows = rows.withColumn("_key", key)
+    rows = joined_at_home(rows, loans, rows["_base"] == loans["_home"], rows["_key"] == loans["_loan"], rows["reporting_date"] == loans["_date"], "left").drop("_base", "_key", "_home", "_loan", "_date")
+    rows = kept(rows, "property-performance")  # read twice, for the averages and beside them
     value, then, rev, noi, sqft, units, bal, occ, dscr = (F.col(c) for c in ("current_valuation", "securitization_valuation", "current_revenue", "current_noi", "square_feet", "unit_count", "loan_balance", "current_occupancy_pct", "current_dscr"))
     rows = rows.withColumns({
         "loan_to_value_ratio": F.when(value > 0, ratio(bal, value)), "debt_yield": F.when(bal > 0, ratio(noi, bal)),
@@ -529,9 +531,8 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
     })
     # a type's averages; rows without a type have none
     usual = {"occupancy_pct": occ, "value_per_sq_ft": F.col("value_per_sq_ft"), "revenue_per_sq_ft": F.col("revenue_per_sq_ft"), "noi_per_sq_ft": F.col("noi_per_sq_ft"), "expense_ratio": F.col("expense_ratio"), "debt_yield": F.col("debt_yield"), "dscr": dscr}
-    rows = kept(rows, "property-performance")  # read twice, for the averages and beside them
-    rows = with_group_means(rows, ["reporting_date", "property_type_code"], {f"type_avg_{n}": double(c) for n, c in usual.items()}, number_of_groups(rows, ["reporting_date", "property_type_code"]))
-    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.round(f"type_avg_{n}", 9)) for n in usual})
+    rows = with_group_means(rows, ["reporting_date", "property_type_code"], {f"type_avg_{n}": double(c) for n, c in usual.items()}, number_of_groups(rows, ["reporting_date", "property_type_code"]), 9)
+    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.col(f"type_avg_{n}")) for n in usual})
 
     def against(c: Column, average: str) -> Column:
         c = F.round(double(c), 9)
