@@ -626,13 +626,13 @@ def property_occupancy_noi(w: Warehouse) -> DataFrame:
         "occupancy_volatility_12m": F.round(F.stddev(double(occ)).over(year), 6), "noi_per_sqft": ratio(noi, "square_feet"), "expense_ratio": ratio("current_expenses", "current_revenue"),
         "trailing_12m_noi": F.sum(noi).over(year), "noi_yoy_growth": ratio(noi - ago, ago) * 100, "_month": F.trunc("reporting_date", "month"),
     })
-    stored, usual = kept(rows, "property-occupancy"), {}  # read for each kind of average and beside them
+    stored, usual = kept(rows, "property-occupancy"), []  # read for each kind of average and beside them
     rows = stored
     for name, column in (("property_type", "property_type_code"), ("state", "state")):
         means = {f"avg_occupancy_by_{name}": double(occ), f"avg_noi_per_sqft_by_{name}": double(F.col("noi_per_sqft"))}
-        rows = with_group_means(rows, [column, "_month"], means, number_of_groups(stored, [column, "_month"]))
-        usual |= {n: F.round(n, 9) for n in means}
-    return rows.withColumns(usual).select(
+        rows = with_group_means(rows, [column, "_month"], means, number_of_groups(stored, [column, "_month"]), 9)
+        usual += means
+    return rows.select(
         "property_id", "reporting_date", "property_type_code", "state", "region", occ.alias("current_occupancy"), F.col("securitization_occupancy_pct").alias("securitization_occupancy"),
         "occupancy_change", "trailing_12m_avg_occupancy", "occupancy_volatility_12m", "current_revenue", "current_expenses", "current_noi", "noi_per_sqft", "expense_ratio",
         "trailing_12m_noi", "noi_yoy_growth", "square_feet", *usual,
