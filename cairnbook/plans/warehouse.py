@@ -653,13 +653,24 @@ def delinquency_by_month_trust(w: Warehouse) -> DataFrame:
 
 @model
 def property_by_type(w: Warehouse) -> DataFrame:
-    """Over all versions of a property, whenever they were valid: months count once per version."""
-    rows = w["fct_property_metrics"].where(F.col("reporting_date") > F.lit("1996-01-01").cast("date"))
-    rows = rows.join(w["dim_property"].select("property_id", "property_type_description"), "property_id")
-    return rows.groupBy("property_type_description").agg(
-        mean("current_occupancy_pct").alias("avg_occupancy"), mean("current_dscr").alias("avg_dscr"), F.round(F.avg("revenue_per_sqft"), 6).alias("avg_revenue_per_sqft")
+    """Over all versions of a property, whenever they were valid: months count once per version.
+
+    So a property's months are summed up once, and the sums count once per version; no pairs of months and versions are made.
+    """
+    rows = _versioned(w).join(w.trusts(), "trust")
+    counts = F.col("_version").isNotNull() & (F.col("reporting_date") > F.lit("1996-01-01").cast("date"))
+    sqft = F.col("_version.square_feet")
+    values = {"occupancy": F.col("current_occupancy_pct"), "dscr": F.col("current_dscr"), "revenue_per_sqft": F.when(sqft > 0, ratio("current_revenue", sqft))}
+    rows = rows.groupBy("_base", "property_id").agg(
+        F.collect_list(F.when(F.col("_changed"), _kind("property_type_code"))).alias("_kinds"), F.count_if(counts).alias("_months"),
+        *(f(F.when(counts, v)).alias(f"{x}_{n}") for n, v in values.items() for x, f in (("sum", F.sum), ("n", F.count))),
     )
 
+    rows = rows.where("_months > 0").select(F.explode("_kinds").alias("property_type_description"), "*")
+    total = lambda n: F.sum(f"sum_{n}").cast("double") / F.nullif(F.sum(f"n_{n}"), F.lit(0))
+    return rows.groupBy("property_type_description").agg(
+        total("occupancy").alias("avg_occupancy"), total("dscr").alias("avg_dscr"), F.round(total("revenue_per_sqft"), 6).alias("avg_revenue_per_sqft")
+    )
 
 @model
 def modification_impact(w: Warehouse) -> DataFrame:
