@@ -445,11 +445,12 @@ def _property_months(w: Warehouse, *more: str) -> DataFrame:
 
 @model
 def loan_risk_metrics(w: Warehouse) -> DataFrame:
-    rows = _property_months(w, "state_code").groupBy(F.split_part("property_id", F.lit("_"), F.lit(1)).alias("loan_id"), "reporting_date").agg(
+    rows = _property_months(w, "state_code", "_base").groupBy(F.col("_base").alias("_home"), F.substring_index("property_id", "_", 1).alias("_loan"), F.col("reporting_date").alias("_date")).agg(
         F.sum("current_valuation").alias("total_valuation"), mean("current_occupancy_pct").alias("occupancy"), mean("current_dscr").alias("dscr"),
         F.mode("property_type_code", True).alias("property_type_code"), F.mode("state_code", True).alias("property_state"),
     )
-    rows = _live(w).join(rows, ["loan_id", "reporting_date"], "left").withColumn("ltv", F.when(F.col("total_valuation") > 0, ratio("current_bal", "total_valuation")))
+    live = _live(w)
+    rows = joined_at_home(live, rows, live["_base"] == rows["_home"], live["loan_id"] == rows["_loan"], live["reporting_date"] == rows["_date"], "left").withColumn("ltv", F.when(F.col("total_valuation") > 0, ratio("current_bal", "total_valuation")))
     ltv, dscr, occ, status, dpd = (F.col(c) for c in ("ltv", "dscr", "occupancy", "delinquency_status", "days_past_due"))
     points = (
         ladder([(ltv > 0.8, 4), (ltv > 0.6, 2), (ltv.isNotNull(), 0)], 2)
