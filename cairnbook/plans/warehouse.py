@@ -666,13 +666,13 @@ def property_by_type(w: Warehouse) -> DataFrame:
         F.collect_list(F.when(F.col("_changed"), _kind("property_type_code"))).alias("_kinds"), F.count_if(counts).alias("_months"),
         *(f(F.when(counts, v)).alias(f"{x}_{n}") for n, v in values.items() for x, f in (("sum", F.sum), ("n", F.count))),
     )
-
     rows = rows.where("_months > 0").select(F.explode("_kinds").alias("property_type_description"), "*")
     total = lambda n: F.sum(f"sum_{n}").cast("double") / F.nullif(F.sum(f"n_{n}"), F.lit(0))
     return rows.groupBy("property_type_description").agg(
         total("occupancy").alias("avg_occupancy"), total("dscr").alias("avg_dscr"), F.round(total("revenue_per_sqft"), 6).alias("avg_revenue_per_sqft")
     )
 
+
 @model
 def modification_impact(w: Warehouse) -> DataFrame:
     change = F.col("intr_rate_change")
