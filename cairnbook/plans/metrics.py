@@ -106,7 +106,7 @@ def metric(w: Warehouse, names: Sequence[str], by: Sequence[str] = (PERIOD,), wh
     if len(models) != 1:
         raise ValueError(f"metrics of several models: {', '.join(sorted(models))}")
     source = models.pop()
-    df = spread(w) if source == "vintage_spread" else w[source]
+    df = spread(w) if source == "vintage_spread" else w.rows(source, metric_sql(names, by), where or "")
     if where:
         df = df.where(where)
 

@@ -7,6 +7,7 @@ numbers of groups are counted. ``materialise`` writes models as tables, so that
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,8 @@ from ..sources.scratch import kept
 from .states import STATES
 
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {}
+#: Of models that have columns which cost a further pass: those columns, and the same rows without them, lazy.
+LEAN: dict[str, tuple[re.Pattern[str], Callable[[Warehouse], DataFrame]]] = {}
 
 
 class Warehouse:
@@ -42,6 +45,13 @@ class Warehouse:
             self._built[name] = MODELS[name](self)
         return self._built[name]
 
+    def rows(self, name: str, *texts: str) -> DataFrame:
+        """A model's rows with the columns that the SQL texts name, at least: without those that cost a further pass, if no
+        text names one and the model is not built yet."""
+        if name in LEAN and name not in self._built and not any(LEAN[name][0].search(x) for x in texts):
+            return LEAN[name][1](self)
+        return self[name]
+
     def days(self) -> int:
         """A bound on the reporting dates of loans, null being one, from a scan of that column alone."""
         if self._days is None:
@@ -133,11 +143,15 @@ def _notes_together(w: Warehouse, df: DataFrame, asset: str = "asset_num") -> Da
     return dealt.repartition(w.parts, "_base") if w.parts else dealt.repartition("_base")
 
 
-def _beside(values: list[str], keys: list[str], step: int) -> Column:
-    """The values of the note whose number has one 'A' less (step -1) or more (step 1), on the same date."""
+def _beside(values: list[str], keys: list[str], step: int) -> dict[str, Column]:
+    """The values of the note whose number has one 'A' less (step -1) or more (step 1), on the same date.
+
+    Each for itself, not as one struct: so models that need few of them carry no others through the windows.
+    """
     line = Window.partitionBy(*keys, F.rtrim("asset_num", F.lit("A"))).orderBy(F.length("asset_num"))
     find = F.lag if step < 0 else F.lead
-    return F.when(find(F.length("asset_num")).over(line) == F.length("asset_num") + step, find(F.struct(*values)).over(line))
+    next_to = find(F.length("asset_num")).over(line) == F.length("asset_num") + step
+    return {n: F.when(next_to, find(n).over(line)) for n in values}
 
 
 @model
@@ -146,8 +160,8 @@ def property_snapshots(w: Warehouse) -> DataFrame:
     line = ["_base", "asset_num", "property_num"]
     columns = {"trust": "trust", "company": "company", "property_name": "property_name"} | PROPERTY
     rows = _latest_filled(_notes_together(w, w.properties), line, "trust", columns, FILLED)
-    rows = rows.withColumn("_note", _beside(list(PROPERTY), ["_base", "property_num", "reporting_date"], -1))
-    values = {n: F.coalesce(n, F.col("_note")[n], *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n in PROPERTY}
+    note = _beside(list(PROPERTY), ["_base", "property_num", "reporting_date"], -1)
+    values = {n: F.coalesce(n, v, *([F.lit(DEFAULTS[n])] if n in DEFAULTS else [])) for n, v in note.items()}
     out = rows.select(*line, "reporting_date", "trust", "company", "property_name", *(v.alias(n) for n, v in values.items()))
     return out.withColumn("geo_id", surrogate_key("property_state", "property_city", "property_zip", "property_address"))
 
@@ -248,7 +262,7 @@ TRACKED = {"property_type_code": "first_row", "property_status_code": "first_row
 
 
 def _versioned(w: Warehouse) -> DataFrame:
-    """Snapshots, whether each begins a version, and the version that is valid at its date.
+    """Snapshots, whether each begins a version, and the version that is valid at its date, with its place beside it.
 
     A version begins whenever a tracked attribute changes to a value; a change to null begins none.
     """
@@ -256,10 +270,10 @@ def _versioned(w: Warehouse) -> DataFrame:
     changed = F.lit(False)
     for c, before in TRACKED.items():
         changed = changed | F.coalesce(F.coalesce(F.lag(c).over(line), F.lit(before)) != F.col(c), F.lit(False))
-    kept = ["property_type_code", "property_status_code", "square_feet", "unit_count", "geo_id", *PLACE]
     rows = w["property_snapshots"].withColumn("_changed", changed)
-    version = F.last(F.when(F.col("_changed"), F.struct(*kept)), True).over(line)
-    return rows.withColumns({"_version": version, "property_id": F.concat_ws("_", "asset_num", "property_num")})
+    valid = lambda *names: F.last(F.when(F.col("_changed"), F.struct(*names)), True).over(line)
+    version = valid("property_type_code", "property_status_code", "square_feet", "unit_count", "geo_id")
+    return rows.withColumns({"_version": version, "_place": valid(*PLACE), "property_id": F.concat_ws("_", "asset_num", "property_num")})
 
 
 def _kind(code: str) -> Column:
@@ -318,8 +332,7 @@ def fct_loan_monthly_performance(w: Warehouse) -> DataFrame:
 def _built_loan_facts(w: Warehouse) -> DataFrame:
     """A base note takes what it lacks from its split note ('A' after the loan's number)."""
     values = [*LOAN, "maturity_date", "delinquency_status", "pmt_received"]
-    rows = _loan_rows(w).withColumn("_note", _beside(values, ["_base", "reporting_date"], 1))
-    rows = rows.withColumns({n: F.coalesce(n, F.col("_note")[n]) for n in values}).withColumnRenamed("asset_num", "loan_id")
+    rows = _loan_rows(w).withColumns({n: F.coalesce(n, v) for n, v in _beside(values, ["_base", "reporting_date"], 1).items()}).withColumnRenamed("asset_num", "loan_id")
     rows = rows.withColumnRenamed("trust_name", "trust").join(w.trusts(), "trust")
     status, short = F.col("delinquency_status"), F.col("pmt_due") - F.col("pmt_received")
     return rows.select(
@@ -370,7 +383,7 @@ def _property_facts(w: Warehouse) -> DataFrame:
         "current_occupancy_pct", "securitization_occupancy_pct", "current_revenue", "current_expenses", "current_noi", "current_dscr",
         *(F.col(c).isNotNull().alias(f"has_{c}") for c in ("largest_tenant", "second_largest_tenant", "third_largest_tenant")),
     ]
-    rows = _versioned(w).where("_version is not null").select(*own, "_version.*").join(w.trusts(), "trust")
+    rows = _versioned(w).where("_version is not null").select(*own, "_version.*", "_place.*").join(w.trusts(), "trust")
     now, then = F.col("current_valuation"), F.col("securitization_valuation")
     per = lambda n: F.when(F.col(n) > 0, ratio("current_revenue", n))
     return rows.select(
@@ -512,7 +525,8 @@ def property_performance_fixed(w: Warehouse) -> DataFrame:
     return property_performance(w, strict=False)
 
 
-def property_performance(w: Warehouse, strict: bool) -> DataFrame:
+def _performance_rows(w: Warehouse, strict: bool) -> DataFrame:
+    """Property months with their changes and their loans, before ratios; lazy."""
     places = ["property_address", "zip_code", "city_name", "state_code", "state_name", "region_name", "division_name"]
     rows = _property_months(w, *places, *LINE).drop("valuation_change_pct")
     line = Window.partitionBy(*LINE).orderBy("reporting_date")
@@ -521,24 +535,22 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
     key = F.col("property_id") if strict else F.substring_index("property_id", "_", 1)
     loans = _loan_facts(w).select(F.col("_base").alias("_home"), F.col("loan_id").alias("_loan"), F.col("reporting_date").alias("_date"), F.col("current_bal").alias("loan_balance"), "current_intr_rate", "origination_date")
     rows = rows.withColumn("_key", key)
-    rows = joined_at_home(rows, loans, rows["_base"] == loans["_home"], rows["_key"] == loans["_loan"], rows["reporting_date"] == loans["_date"], "left").drop("_base", "_key", "_home", "_loan", "_date")
-    rows = kept(rows, "property-performance")  # read twice, for the averages and beside them
-    value, then, rev, noi, sqft, units, bal, occ, dscr = (F.col(c) for c in ("current_valuation", "securitization_valuation", "current_revenue", "current_noi", "square_feet", "unit_count", "loan_balance", "current_occupancy_pct", "current_dscr"))
-    rows = rows.withColumns({
+    return joined_at_home(rows, loans, rows["_base"] == loans["_home"], rows["_key"] == loans["_loan"], rows["reporting_date"] == loans["_date"], "left").drop("_base", "_key", "_home", "_loan", "_date")
+
+
+def _with_ratios(rows: DataFrame) -> DataFrame:
+    value, then, rev, noi, sqft, units, bal, occ = (F.col(c) for c in ("current_valuation", "securitization_valuation", "current_revenue", "current_noi", "square_feet", "unit_count", "loan_balance", "current_occupancy_pct"))
+    return rows.withColumns({
         "loan_to_value_ratio": F.when(value > 0, ratio(bal, value)), "debt_yield": F.when(bal > 0, ratio(noi, bal)),
         **{f"{n}_per_sq_ft": ratio(c, sqft) for n, c in (("value", value), ("revenue", rev), ("noi", noi))},
         **{f"{n}_per_unit": ratio(c, units) for n, c in (("value", value), ("revenue", rev), ("noi", noi))},
         "expense_ratio": ratio("current_expenses", rev), "valuation_change_pct": ratio(value, then) - 1, "occupancy_change_pct": occ - F.col("securitization_occupancy_pct"),
     })
-    # a type's averages; rows without a type have none
-    usual = {"occupancy_pct": occ, "value_per_sq_ft": F.col("value_per_sq_ft"), "revenue_per_sq_ft": F.col("revenue_per_sq_ft"), "noi_per_sq_ft": F.col("noi_per_sq_ft"), "expense_ratio": F.col("expense_ratio"), "debt_yield": F.col("debt_yield"), "dscr": dscr}
-    rows = with_group_means(rows, ["reporting_date", "property_type_code"], {f"type_avg_{n}": double(c) for n, c in usual.items()}, number_of_groups(rows, ["reporting_date", "property_type_code"]), 9)
-    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.col(f"type_avg_{n}")) for n in usual})
 
-    def against(c: Column, average: str) -> Column:
-        c = F.round(double(c), 9)
-        return ladder([(c > F.col(average), "Above Average"), (c < F.col(average), "Below Average")], "Average")
 
+def _judged() -> dict[str, Column]:
+    """What a property month's own values and ratios tell, whatever those of its type are."""
+    occ, dscr = F.col("current_occupancy_pct"), F.col("current_dscr")
     ltv, debt, occ3, noi3 = F.col("loan_to_value_ratio"), F.col("debt_yield"), F.col("occupancy_3m_change"), F.col("noi_3m_change")
     score = (
         ladder([(dscr >= 1.5, 0.0), (dscr >= 1.2, 1.0), (dscr >= 1.0, 2.0)], 3.0)
@@ -547,16 +559,37 @@ def property_performance(w: Warehouse, strict: bool) -> DataFrame:
         + ladder([(debt.isNull(), 0.75), (debt >= 0.10, 0.0), (debt >= 0.08, 0.5), (debt >= 0.06, 1.0)], 1.5)
         + ladder([((occ3 < -0.03) | (noi3 < 0), 1.5), (occ3 < -0.02, 1.0), (occ3 < -0.01, 0.5)], 0.0)
     )
-    return rows.withColumns({
-        "occupancy_vs_type": against(occ, "type_avg_occupancy_pct"), "dscr_vs_type": against(dscr, "type_avg_dscr"), "noi_vs_type": against(F.col("noi_per_sq_ft"), "type_avg_noi_per_sq_ft"),
+    return {
         "performance_category": ladder([
             ((dscr >= 1.5) & (occ >= 0.9), "Strong Performer"), ((dscr >= 1.2) & (occ >= 0.8), "Stable Performer"), ((dscr < 1.2) | (occ < 0.8), "Underperformer"), ((dscr < 1.0) | (occ < 0.7), "Distressed"),
         ], "Moderate Performer"),
         "occupancy_trend": ladder([(occ3 > 0.02, "Improving"), (occ3 < -0.02, "Declining")], "Stable"), "noi_trend": ladder([(noi3 > 0, "Improving"), (noi3 < 0, "Declining")], "Stable"),
         "property_risk_score": score,
+    }
+
+
+def property_performance(w: Warehouse, strict: bool) -> DataFrame:
+    rows = _with_ratios(kept(_performance_rows(w, strict), "property-performance"))  # read twice, for the averages and beside them
+    occ, dscr = F.col("current_occupancy_pct"), F.col("current_dscr")
+    # a type's averages; rows without a type have none
+    usual = {"occupancy_pct": occ, "value_per_sq_ft": F.col("value_per_sq_ft"), "revenue_per_sq_ft": F.col("revenue_per_sq_ft"), "noi_per_sq_ft": F.col("noi_per_sq_ft"), "expense_ratio": F.col("expense_ratio"), "debt_yield": F.col("debt_yield"), "dscr": dscr}
+    rows = with_group_means(rows, ["reporting_date", "property_type_code"], {f"type_avg_{n}": double(c) for n, c in usual.items()}, number_of_groups(rows, ["reporting_date", "property_type_code"]), 9)
+    rows = rows.withColumns({f"type_avg_{n}": F.when(F.col("property_type_code").isNotNull(), F.col(f"type_avg_{n}")) for n in usual})
+
+    def against(c: Column, average: str) -> Column:
+        c = F.round(double(c), 9)
+        return ladder([(c > F.col(average), "Above Average"), (c < F.col(average), "Below Average")], "Average")
+
+    return rows.withColumns({
+        "occupancy_vs_type": against(occ, "type_avg_occupancy_pct"), "dscr_vs_type": against(dscr, "type_avg_dscr"), "noi_vs_type": against(F.col("noi_per_sq_ft"), "type_avg_noi_per_sq_ft"),
+        **_judged(),
     })
 
 
+for _name, _strict in (("property_performance_metrics", True), ("property_performance_fixed", False)):
+    LEAN[_name] = re.compile(r"type_avg_|_vs_type|\*", re.IGNORECASE), lambda w, strict=_strict: _with_ratios(_performance_rows(w, strict)).withColumns(_judged())
+
+
 @model
 def portfolio_concentration(w: Warehouse) -> DataFrame:
     return concentration(w, strict=True)

@@ -9,6 +9,7 @@ from cairnbook.functions.columns import home
 from cairnbook.operators.groups import with_group_means
 from cairnbook.operators.rows import as_of_versions
 from cairnbook.plans import queries, warehouse
+from cairnbook.plans.metrics import metric
 
 
 def plan(df):
@@ -52,6 +53,33 @@ def test_performance_shuffles_only_lines_customers_and_loans(spark, folder, monk
     assert shuffles(stored[0]) == 3
 
 
+@pytest.mark.parametrize("name", ["metric_declining_occupancy_properties_pct"])
+def test_metrics_without_type_averages_store_no_rows(spark, folder, monkeypatch, name):
+    """And carry no values that they don't need: narrow rows are sorted."""
+    stored = []
+    monkeypatch.setattr(warehouse, "kept", lambda df, name: stored.append(name) or df)
+    df = queries.QUERIES[name](spark, folder)
+    assert not stored and not re.search("tenant|year_built|_address_|maturity", plan(df))
+    assert shuffles(df) == 4  # lines, customers and loans by home, and the metric's groups
+
+
+def test_metrics_by_type_averages_have_them(spark, folder):
+    w = queries.warehouse(spark, folder)
+    names = ["declining_occupancy_properties_pct", "average_property_risk_score"]
+    for by, where in ((["Occupancy_VS_Type"], None), (["reporting_date"], "type_avg_dscr > 1.4")):
+        found = metric(queries.warehouse(spark, folder), names, by, where).collect()
+        whole = w["property_performance_metrics"]
+        assert sorted(map(repr, found)) == sorted(map(repr, metric(w, names, by, where).collect())) and 0 < len(found) <= whole.select(*by).distinct().count()
+
+
+@pytest.mark.parametrize("name", ["property_performance_metrics", "property_performance_fixed"])
+def test_lean_rows_are_the_models_rows(spark, folder, name):
+    lean = queries.warehouse(spark, folder).rows(name, "noi_trend")
+    whole = queries.warehouse(spark, folder)[name]
+    assert {c for c in whole.columns if c not in lean.columns} == {c for c in whole.columns if c.startswith("type_avg_") or c.endswith("_vs_type")}
+    assert sorted(map(repr, lean.collect())) == sorted(map(repr, whole.select(*lean.columns).collect()))
+
+
 def test_homes_imply_no_other_rows(spark):
     """Numbers with '_' and 'A's, nulls, and versions whose ends are not in."""
     keys = ["1", "1A", "1AA", "1_2", "1A_2", "A", "", "a_b_c", None]
