@@ -53,7 +53,7 @@ def test_performance_shuffles_only_lines_customers_and_loans(spark, folder, monk
     assert shuffles(stored[0]) == 3
 
 
-@pytest.mark.parametrize("name", ["metric_declining_occupancy_properties_pct"])
+@pytest.mark.parametrize("name", ["metric_declining_occupancy_properties_pct", "metric_distressed_properties_pct"])
 def test_metrics_without_type_averages_store_no_rows(spark, folder, monkeypatch, name):
     """And carry no values that they don't need: narrow rows are sorted."""
     stored = []
