@@ -72,6 +72,15 @@ def test_metrics_by_type_averages_have_them(spark, folder):
         assert sorted(map(repr, found)) == sorted(map(repr, metric(w, names, by, where).collect())) and 0 < len(found) <= whole.select(*by).distinct().count()
 
 
+@pytest.mark.parametrize("name", ["metric_herfindahl_index"])
+def test_shares_carry_no_values_of_months(spark, folder, monkeypatch, name):
+    """The rows that are counted: of split notes and their bases too, only what places, types and balances need."""
+    stored = []
+    monkeypatch.setattr(warehouse, "kept", lambda df, name: stored.append(df) or df)
+    queries.QUERIES[name](spark, folder)
+    assert shuffles(stored[0]) == 4 and not re.search("tenant|valuation|occupancy|revenue|expenses|payment_frequency", plan(stored[0]))
+
+
 @pytest.mark.parametrize("name", ["property_performance_metrics", "property_performance_fixed"])
 def test_lean_rows_are_the_models_rows(spark, folder, name):
     lean = queries.warehouse(spark, folder).rows(name, "noi_trend")
