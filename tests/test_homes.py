@@ -72,7 +72,7 @@ def test_metrics_by_type_averages_have_them(spark, folder):
         assert sorted(map(repr, found)) == sorted(map(repr, metric(w, names, by, where).collect())) and 0 < len(found) <= whole.select(*by).distinct().count()
 
 
-@pytest.mark.parametrize("name", ["metric_herfindahl_index", "metric_pct_of_balance"])
+@pytest.mark.parametrize("name", ["metric_herfindahl_index", "metric_pct_of_balance", "metric_top_property_type_concentration"])
 def test_shares_carry_no_values_of_months(spark, folder, monkeypatch, name):
     """The rows that are counted: of split notes and their bases too, only what places, types and balances need."""
     stored = []
