@@ -79,7 +79,8 @@ def properties(spark: SparkSession, folder: str) -> DataFrame:
     orders = _read(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c"))
     lines = _read(spark, folder, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).alias("half"), F.last_day(F.to_date("l_shipdate")).alias("d"), _money(F.col("l_extendedprice")).alias("price"))
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("c", "half", "d", "l_orderkey", "l_partkey", "price")
-    rows = rows.withColumn("_base", F.col("c").cast("string")).repartition(parts(spark, folder), "_base")
+    home = F.col("c").cast("string")
+    rows = rows.repartition(parts(spark, folder), home).withColumn("_base", home)
     rows = rows.groupBy("_base", "c", "half", "d").agg(F.min("l_orderkey").alias("k"), F.min("l_partkey").alias("p"), _money(F.sum("price")).alias("revenue"))
     c, k, y, rev = F.col("c"), F.col("k"), F.year("d").cast("long"), F.col("revenue")
     pick = lambda values, i: F.get(F.array(*(F.lit(v) for v in values)), i.cast("int"))

@@ -20,6 +20,11 @@ def shuffles(df):
     return len(re.findall(r"Exchange (hash|range)partitioning", plan(df)))
 
 
+def dealt(df):
+    """By what rows are dealt in parts that grow with the tables, and what they hold then."""
+    return re.findall(r"Exchange hashpartitioning\((.*), \d+\), REPARTITION_BY_NUM.*\n\W*\d* *\W*Project \[(.*)\]", re.sub(r"#\d+L?", "", plan(df)))
+
+
 def scans(df, first):
     return re.findall(rf"FileScan parquet \[{first}.*?\]", plan(df))
 
@@ -81,6 +86,12 @@ def test_shares_carry_no_values_of_months(spark, folder, monkeypatch, name):
     assert shuffles(stored[0]) == 4 and not re.search("tenant|valuation|occupancy|revenue|expenses|payment_frequency", plan(stored[0]))
 
 
+def test_lines_are_dealt_as_numbers(spark, folder):
+    """A task holds what it deals in memory: no text, not even the home that it is dealt by."""
+    rows = dict(dealt(queries.QUERIES["metric_distressed_properties_pct"](spark, folder)))
+    assert rows["cast(c as string)"] == "c, half, d, l_orderkey, l_partkey"
+
+
 @pytest.mark.parametrize("name", ["property_performance_metrics", "property_performance_fixed"])
 def test_lean_rows_are_the_models_rows(spark, folder, name):
     lean = queries.warehouse(spark, folder).rows(name, "noi_trend")
