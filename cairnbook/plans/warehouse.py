@@ -28,12 +28,14 @@ class Warehouse:
     """Models by name over one pair of inputs. as_of: the date that stands for today.
 
     Rows of both are dealt by asset (``home``), in ``parts`` parts or as many as Spark's shuffles have. Inputs with a column
-    ``_base`` that holds it are dealt by it already.
+    ``_base`` that holds it are dealt by it already. dealt_loans: the same loans, dealt while they are narrow; what reads
+    few columns of loans reads ``loans``, which need not be dealt.
     """
 
-    def __init__(self, loans: DataFrame, properties: DataFrame, as_of: str = "2002-01-01", parts: int | None = None):
+    def __init__(self, loans: DataFrame, properties: DataFrame, as_of: str = "2002-01-01", parts: int | None = None, dealt_loans: DataFrame | None = None):
         self.spark: SparkSession = loans.sparkSession
         self.loans, self.properties, self.as_of, self.parts = loans, properties, as_of, parts
+        self.dealt_loans = loans if dealt_loans is None else dealt_loans
         self.written: set[str] = set()
         self._built: dict[str, DataFrame] = {}
         self._days: int | None = None
@@ -309,7 +311,7 @@ def _loan_rows(w: Warehouse) -> DataFrame:
     """One row per loan and date: the last by file, with the maturity filled over all rows of the loan."""
     more = {"trust_name": "trust", "issuer": "company", "maturity_date": "maturity_date"}
     own = {c: c for c in ("payment_status_loan_code", "scheduled_prin_amt", "scheduled_intr_amt")}
-    rows = _latest_filled(_notes_together(w, w.loans), ["_base", "asset_num"], "trust", LOAN | more | own, {"maturity_date"})
+    rows = _latest_filled(_notes_together(w, w.dealt_loans), ["_base", "asset_num"], "trust", LOAN | more | own, {"maturity_date"})
     status = F.col("payment_status_loan_code")
     rows = rows.withColumns({
         "delinquency_status": F.when(status.isin("A", "B") | status.isNull(), "0").otherwise(status), "pmt_received": F.col("scheduled_prin_amt") + F.col("scheduled_intr_amt"),

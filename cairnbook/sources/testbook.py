@@ -29,13 +29,16 @@ def _unless(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
+def _nations(spark: SparkSession, folder: str) -> DataFrame:
+    """n_nationkey, trust, company of each nation: few rows, sent to wherever customers are."""
+    rows = _read(spark, folder, "nation").join(_read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return F.broadcast(rows.select("n_nationkey", F.concat(F.lit("TRUST "), "n_name").alias("trust"), F.col("r_name").alias("company")))
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """c, trust, company, nation of each customer."""
-    nation = _read(spark, folder, "nation").join(_read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined = _read(spark, folder, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select(
-        F.col("c_custkey").alias("c"), F.concat(F.lit("TRUST "), "n_name").alias("trust"), F.col("r_name").alias("company"), F.col("c_nationkey").cast("long").alias("nation")
-    )
+    joined = _read(spark, folder, "customer").join(_nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.select(F.col("c_custkey").alias("c"), "trust", "company", F.col("c_nationkey").cast("long").alias("nation"))
 
 
 def parts(spark: SparkSession, folder: str) -> int:
@@ -43,10 +46,18 @@ def parts(spark: SparkSession, folder: str) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-_read(spark, folder, "lineitem").count() // LINES))
 
 
-def loans(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order: a monthly loan snapshot."""
+def loans(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """One row per order: a monthly loan snapshot.
+
+    parts: rows are dealt by asset number into so many (``_base``, as ``home`` gives it) while they are keys, a date and a
+    price. A task holds what it deals in memory, so texts and all that follows from keys are made behind.
+    """
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    rows = _read(spark, folder, "orders").join(customers(spark, folder), F.col("o_custkey") == F.col("c"))
+    rows = _read(spark, folder, "orders").join(_read(spark, folder, "customer").select("c_custkey", "c_nationkey"), c == F.col("c_custkey"))
+    rows = rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "c_nationkey")
+    if parts:
+        rows = rows.repartition(parts, c.cast("string"))
+    rows = rows.join(_nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
     code = F.element_at(F.array(*(F.lit(x) for x in ("A", "B", None, "1", "2", "3", "6", "0", "0", "0"))), (k % 10 + 1).cast("int"))
     return rows.select(
         F.concat(c.cast("string"), F.when(k % 11 == 0, "A").otherwise("")).alias("asset_num"),
@@ -67,6 +78,7 @@ def loans(spark: SparkSession, folder: str) -> DataFrame:
         _money(k % 500 + 1000).alias("total_scheduled_prin_intr_due_amt"),
         _money(k % 300 + 400).alias("scheduled_prin_amt"),
         _money(k % 200 + 300).alias("scheduled_intr_amt"),
+        *([c.cast("string").alias("_base")] if parts else []),
     )
 
 

@@ -10,6 +10,7 @@ from cairnbook.operators.groups import with_group_means
 from cairnbook.operators.rows import as_of_versions
 from cairnbook.plans import queries, warehouse
 from cairnbook.plans.metrics import metric
+from cairnbook.sources import testbook
 
 
 def plan(df):
@@ -92,6 +93,22 @@ def test_lines_are_dealt_as_numbers(spark, folder):
     assert rows["cast(c as string)"] == "c, half, d, l_orderkey, l_partkey"
 
 
+@pytest.mark.parametrize("name", ["metric_herfindahl_index", "metric_pct_of_balance", "metric_top_property_type_concentration"])
+def test_loans_are_dealt_as_numbers(spark, folder, monkeypatch, name):
+    """Names, files and numbers of assets are made behind."""
+    stored = []
+    monkeypatch.setattr(warehouse, "kept", lambda df, name: stored.append(df) or df)
+    queries.QUERIES[name](spark, folder)
+    rows = dict(dealt(stored[0]))
+    assert rows["cast(o_custkey as string)"] == "o_orderkey, o_custkey, o_orderdate, o_totalprice, c_nationkey"
+
+
+def test_dealt_loans_are_the_loans(spark, folder):
+    loans, rows = testbook.loans(spark, folder), testbook.loans(spark, folder, 7)
+    assert rows.columns == [*loans.columns, "_base"] and not rows.where(~F.col("_base").eqNullSafe(home("asset_num"))).count()
+    assert rows.rdd.getNumPartitions() == 7 and sorted(map(repr, rows.drop("_base").collect())) == sorted(map(repr, loans.collect()))
+
+
 @pytest.mark.parametrize("name", ["property_performance_metrics", "property_performance_fixed"])
 def test_lean_rows_are_the_models_rows(spark, folder, name):
     lean = queries.warehouse(spark, folder).rows(name, "noi_trend")
