@@ -26,7 +26,7 @@ _MORE = {"vintage_spread": SPREAD_SQL}
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     parts = testbook.parts(spark, folder)
-    return Warehouse(testbook.loans(spark, folder), testbook.properties(spark, folder), parts=parts, dealt_loans=testbook.loans(spark, folder, parts))
+    return Warehouse(testbook.loans(spark, folder, parts, dealt=False), testbook.properties(spark, folder), parts=parts, dealt_loans=testbook.loans(spark, folder, parts))
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Lines of orders whose property rows one task gets, so that its memory does not grow with the tables.
 LINES = 100_000
+#: So many parts' lines, at most, one task joins with their orders: it sorts both, and holds what it deals behind.
+JOINED = 12
 
 #: Codes that the snapshots draw from.
 TYPES = ("RT", "OF", "MF", "IN", "HC", "LO", "MU", "SS", "WH", "MH", "XX")
@@ -46,14 +48,29 @@ def parts(spark: SparkSession, folder: str) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-_read(spark, folder, "lineitem").count() // LINES))
 
 
-def loans(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+def _joined(rows: DataFrame, more: DataFrame, key: str, own: str, parts: int | None) -> DataFrame:
+    """Rows with those of ``more`` where ``key`` and ``own`` are equal. parts: how many the tables' lines make (``parts``).
+
+    Spark makes parts of a join by what they have on disk, which is several times as much in memory. So both sides of larger
+    tables are dealt by the key in parts that grow with the lines, and are as many as Spark's shuffles have at least.
+    """
+    n = -(-(parts or 0) // JOINED)
+    if n > rows.sparkSession.sparkContext.defaultParallelism:
+        rows, more = rows.repartition(n, key), more.repartition(n, own)
+    return rows.join(more, F.col(key) == F.col(own))
+
+
+def loans(spark: SparkSession, folder: str, parts: int | None = None, dealt: bool = True) -> DataFrame:
     """One row per order: a monthly loan snapshot.
 
     parts: rows are dealt by asset number into so many (``_base``, as ``home`` gives it) while they are keys, a date and a
-    price. A task holds what it deals in memory, so texts and all that follows from keys are made behind.
+    price. A task holds what it deals in memory, so texts and all that follows from keys are made behind. Not dealt: parts
+    only tell how large the tables are.
     """
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    rows = _read(spark, folder, "orders").join(_read(spark, folder, "customer").select("c_custkey", "c_nationkey"), c == F.col("c_custkey"))
+    orders = _read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    rows = _joined(orders, _read(spark, folder, "customer").select("c_custkey", "c_nationkey"), "o_custkey", "c_custkey", parts)
+    parts = parts if dealt else None
     rows = rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "c_nationkey")
     if parts:
         rows = rows.repartition(parts, c.cast("string"))
@@ -90,9 +107,10 @@ def properties(spark: SparkSession, folder: str) -> DataFrame:
     """
     orders = _read(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c"))
     lines = _read(spark, folder, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).alias("half"), F.last_day(F.to_date("l_shipdate")).alias("d"), _money(F.col("l_extendedprice")).alias("price"))
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("c", "half", "d", "l_orderkey", "l_partkey", "price")
+    n = parts(spark, folder)
+    rows = _joined(lines, orders, "l_orderkey", "o_orderkey", n).select("c", "half", "d", "l_orderkey", "l_partkey", "price")
     home = F.col("c").cast("string")
-    rows = rows.repartition(parts(spark, folder), home).withColumn("_base", home)
+    rows = rows.repartition(n, home).withColumn("_base", home)
     rows = rows.groupBy("_base", "c", "half", "d").agg(F.min("l_orderkey").alias("k"), F.min("l_partkey").alias("p"), _money(F.sum("price")).alias("revenue"))
     c, k, y, rev = F.col("c"), F.col("k"), F.year("d").cast("long"), F.col("revenue")
     pick = lambda values, i: F.get(F.array(*(F.lit(v) for v in values)), i.cast("int"))

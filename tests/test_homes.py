@@ -103,6 +103,25 @@ def test_loans_are_dealt_as_numbers(spark, folder, monkeypatch, name):
     assert rows["cast(o_custkey as string)"] == "o_orderkey, o_custkey, o_orderdate, o_totalprice, c_nationkey"
 
 
+@pytest.mark.parametrize("name", ["metric_pct_of_balance", "metric_top_property_type_concentration"])
+def test_joins_with_orders_have_parts_that_grow_with_the_tables(spark, folder, monkeypatch, name):
+    """A task sorts both sides and holds what it deals: Spark's own parts, by what is on disk, are more than that."""
+    stored = []
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    usual = sorted(map(repr, queries.QUERIES[name](spark, folder).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(testbook, "LINES", 50)
+        dealt = sorted(map(repr, queries.QUERIES[name](spark, folder).collect()))
+        monkeypatch.setattr(warehouse, "kept", lambda df, name: stored.append(df) or df)
+        queries.QUERIES[name](spark, folder)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = dict(re.findall(r"Exchange hashpartitioning\((\w+), (\d+)\)", re.sub(r"#\d+L?", "", plan(stored[0]))))
+    n = -(-lines // 600)
+    assert all(int(found[k]) == n > 4 for k in ("l_orderkey", "o_orderkey", "o_custkey", "c_custkey")) and dealt == usual
+
+
 def test_dealt_loans_are_the_loans(spark, folder):
     loans, rows = testbook.loans(spark, folder), testbook.loans(spark, folder, 7)
     assert rows.columns == [*loans.columns, "_base"] and not rows.where(~F.col("_base").eqNullSafe(home("asset_num"))).count()
